@@ -50,8 +50,18 @@ def make_key_ring(
 
 
 def key_ring_column(key_ring: DataFrame) -> Column:
-    """The one row of a key ring as a struct column; more than one row is an error."""
-    return key_ring.select(F.struct("default_key", "ring")).scalar()
+    """The one row of a key ring as a struct column; more than one row is an error.
+
+    What depends on the ring alone, each key bound to its own name, is derived here, once.
+    """
+
+    def entry(e: Column) -> Column:
+        return F.struct(
+            e["key"].alias("key"), _if_named(e["name"], e["key"]).alias("bound_to_name")
+        )
+
+    ring = F.transform("ring", entry).alias("ring")
+    return key_ring.select(F.struct("default_key", ring)).scalar()
 
 
 def _zero_key() -> Column:
@@ -79,21 +89,26 @@ def ring_candidates(channel: Column, keys: Column) -> Column:
     """Per ring entry: the key as it is, bound to the topic channel, bound to its own name."""
 
     def steps(entry: Column) -> Column:
-        name, key = entry["name"], entry["key"]
-        return F.array(derive_key(F.lit(""), key), _if_named(channel, key), _if_named(name, key))
+        key = entry["key"]
+        return F.array(derive_key(F.lit(""), key), _if_named(channel, key), entry["bound_to_name"])
 
     return F.filter(F.flatten(F.transform(keys["ring"], steps)), lambda k: k.isNotNull())
 
 
 def candidate_keys(channel: Column, keys: Column) -> Column:
-    """All keys to try, in order."""
+    """All keys to try, in order. `keys` comes from key_ring_column, `channel` from the topic."""
     return F.concat(default_candidates(channel, keys), ring_candidates(channel, keys))
 
 
-def _little_endian_hex(number: Column, size: int) -> Column:
-    digits = F.lpad(F.hex(number), 2 * size, "0")
-    pairs = [F.substring(digits, 2 * i + 1, 2) for i in reversed(range(size))]
-    return F.concat(*pairs)
+def _swapped_hex(number: Column) -> Column:
+    """The low 32 bits as 8 hex digits, least significant byte first."""
+    swapped = (
+        F.shiftleft(number.bitwiseAND(0xFF), 24)
+        .bitwiseOR(F.shiftleft(number.bitwiseAND(0xFF00), 8))
+        .bitwiseOR(F.shiftright(number, 8).bitwiseAND(0xFF00))
+        .bitwiseOR(F.shiftright(number, 24).bitwiseAND(0xFF))
+    )
+    return F.lpad(F.hex(swapped), 8, "0")
 
 
 def counter_blocks(size: Column, packet_id: Column, sender_id: Column) -> Column:
@@ -103,12 +118,13 @@ def counter_blocks(size: Column, packet_id: Column, sender_id: Column) -> Column
     index without a carry. NULL when there is nothing to cover or an id is out of range.
     """
     usable = (size > 0) & (packet_id >= 0) & sender_id.between(0, 0xFFFFFFFF)
-    head = F.concat(_little_endian_hex(packet_id, 8), _little_endian_hex(sender_id, 4))
-    last = F.floor((size - 1) / F.lit(_BLOCK)).cast("int")
-    blocks = F.transform(
-        F.sequence(F.lit(0), last), lambda j: F.concat(head, F.lpad(F.hex(j), 8, "0"))
+    head = F.concat(
+        _swapped_hex(packet_id), _swapped_hex(F.shiftright(packet_id, 32)), _swapped_hex(sender_id)
     )
-    return F.when(usable, F.unhex(F.array_join(blocks, "")))
+    count = F.ceil(size / F.lit(_BLOCK)).cast("int")
+    indexes = F.transform(F.sequence(F.lit(0), count - 1), lambda j: F.lpad(F.hex(j), 8, "0"))
+    joined = F.call_function("array_join", indexes, head)
+    return F.when(usable, F.unhex(F.concat(head, joined)))
 
 
 def keystream(blocks: Column, key: Column) -> Column:

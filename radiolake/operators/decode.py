@@ -130,6 +130,14 @@ def _fields(record: type) -> dict:
     return record.DESCRIPTOR.fields_by_name
 
 
+def _once(function):
+    """Keep the optimizer from copying a parse into every filter and projection above it.
+
+    The functions are deterministic; the mark only makes their result a boundary.
+    """
+    return function.asNondeterministic()
+
+
 def _columns(messages: list, present: Iterable[str], schema: T.StructType) -> list[pa.Array]:
     """One Arrow array per scalar field; NULL for a field the descriptor lacks or a failed parse."""
     arrays = []
@@ -207,7 +215,7 @@ def envelope_udf(spec: RecordSpec):
             names=ENVELOPE.fieldNames(),
         )
 
-    return parse_envelope
+    return _once(parse_envelope)
 
 
 def decode_envelope(df: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -248,7 +256,7 @@ def decode_data(candidates: Column, spec: RecordSpec) -> Column:
         record = _record(descriptor, name)
         return _found_array([b and _first_valid(record, b) or None for b in blobs.to_pylist()])
 
-    return first_valid(candidates)
+    return _once(first_valid)(candidates)
 
 
 def open_data(sealed: Column, streams: Column, spec: RecordSpec) -> Column:
@@ -264,7 +272,7 @@ def open_data(sealed: Column, streams: Column, spec: RecordSpec) -> Column:
         ]
         return _found_array(rows)
 
-    return first_opened(sealed, streams)
+    return _once(first_opened)(sealed, streams)
 
 
 def decode_user(df: DataFrame, spec: RecordSpec, payload: Column | None = None) -> DataFrame:
@@ -280,4 +288,4 @@ def decode_user(df: DataFrame, spec: RecordSpec, payload: Column | None = None)
         return _struct(_columns(users, _fields(record), USER), USER, missing)
 
     source = F.col("env.packet.decoded.payload") if payload is None else payload
-    return df.withColumn("user", parse_user(source))
+    return df.withColumn("user", _once(parse_user)(source))

@@ -29,14 +29,18 @@ def decrypt_packets(
     Narrow: no shuffle, and the same for a stream. The default key is tried on its own first, so
     the ring's key streams are only computed for packets it did not open.
     """
-    keys = F.col("__keys")
-    packet = F.col("env.packet")
-    channel = topic_channel(F.col("topic"))
+    keys, channel, packet = F.col("__keys"), F.col("__channel"), F.col("env.packet")
     blocks = F.when(
         is_encrypted(packet, unknown_port),
         counter_blocks(F.length(packet["encrypted"]), packet["id"], packet["from"]),
     )
-    prepared = df.withColumn("__keys", key_ring_column(key_ring)).withColumn("__blocks", blocks)
+    prepared = df.withColumns(
+        {
+            "__keys": key_ring_column(key_ring),
+            "__channel": topic_channel(F.col("topic")),
+            "__blocks": blocks,
+        }
+    )
     streams = _streams(F.col("__blocks"), default_candidates(channel, keys))
     first = prepared.withColumn("__default", open_data(packet["encrypted"], streams, spec))
     rest = F.when(F.col("__default").isNull(), F.col("__blocks"))
@@ -47,5 +51,5 @@ def decrypt_packets(
     decoded = F.when(found.isNotNull(), opened).otherwise(packet["decoded"])
     replaced = F.when(packet.isNotNull(), packet.withField("decoded", decoded))
     return second.withColumn("env", F.col("env").withField("packet", replaced)).drop(
-        "__keys", "__blocks", "__default", "__ring"
+        "__keys", "__channel", "__blocks", "__default", "__ring"
     )

@@ -58,21 +58,19 @@ def skip_json(df: DataFrame) -> DataFrame:
 
 
 def is_encrypted(packet: Column, unknown_port: int = 0) -> Column:
-    """No readable port, but ciphertext is there. False, never NULL, for a failed parse."""
-    sealed = (packet["decoded"]["portnum"] == unknown_port) & (F.length(packet["encrypted"]) > 0)
-    return F.coalesce(sealed, F.lit(False))
+    """No readable port, but ciphertext is there. NULL for a failed parse, as in the next two."""
+    return (packet["decoded"]["portnum"] == unknown_port) & (F.length(packet["encrypted"]) > 0)
 
 
 def is_nodeinfo(packet: Column, nodeinfo_port: int) -> Column:
-    """A node describing itself; test it after decryption."""
-    return F.coalesce(packet["decoded"]["portnum"] == nodeinfo_port, F.lit(False))
+    """A node describing itself; test it after decryption. A scan can evaluate it on statistics."""
+    return packet["decoded"]["portnum"] == nodeinfo_port
 
 
 def has_gateway(env: Column) -> Column:
-    """The message parsed and names a gateway whose id is hex."""
+    """The message names a gateway whose id is hex; a failed parse names none."""
     gateway = env["gateway_id"]
-    named = env["packet"].isNotNull() & (F.length(gateway) > 0)
-    return F.coalesce(named, F.lit(False)) & hex_to_node_id(gateway).isNotNull()
+    return (F.length(gateway) > 0) & hex_to_node_id(gateway).isNotNull()
 
 
 def _has_nul(names: tuple[str, ...]) -> Column:

@@ -65,7 +65,7 @@ def gateway_edges(df: DataFrame) -> DataFrame:
     numbers are aggregated in fixed-width buffers before the exchange, and the id is parsed once
     per gateway instead of once per message.
     """
-    named = df.filter(F.col("env.packet").isNotNull() & (F.length("env.gateway_id") > 0))
+    named = df.filter(F.length("env.gateway_id") > 0)
     gateway = F.col("env.gateway_id").alias("gateway_id")
     moment = F.struct("ingest_ts", "seq")
     edges = (

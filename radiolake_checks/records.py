@@ -118,4 +118,4 @@ def encode(spec: RecordSpec, name: str, fields: Column) -> Column:
             pa.binary(),
         )
 
-    return write(fields)
+    return write.asNondeterministic()(fields)
