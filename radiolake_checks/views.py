@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radiolake.functions.crypto import DEFAULT_KEY, aes_ctr, derive_key, make_key_ring
+from radiolake.session import stage
 from radiolake_checks.records import SPEC, encode
 
 # Runs unchanged in Spark SQL and in DuckDB.
@@ -165,6 +166,12 @@ def messages_from(df: DataFrame) -> DataFrame:
     return with_data(df).select("topic", payload.alias("payload"), "ingest_ts", "seq")
 
 
+_written: dict[tuple[str, str], DataFrame] = {}
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw message per event."""
-    return messages_from(packets(spark, sf_dir))
+    """One raw message per event, written once per application and read by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        _written[key] = stage(messages_from(packets(spark, sf_dir)), "raw_messages")
+    return _written[key]
