@@ -18,6 +18,16 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def keyed_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
+    """Rows whose key is whole."""
+    return df.filter(~_any_null(keys))
+
+
+def keyless_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
+    """Rows with a NULL key part: no other row is ever equal to them."""
+    return df.filter(_any_null(keys))
+
+
 def first_arrival(
     df: DataFrame,
     keys: Sequence[str] = PACKET_KEY,
@@ -37,29 +47,46 @@ def first_arrival(
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
 
-def new_only(
-    batch: DataFrame,
+def not_stored(
+    keyed: DataFrame,
     history: DataFrame,
     keys: Sequence[str] = PACKET_KEY,
+    candidates: DataFrame | None = None,
     batch_rows: int | None = None,
 ) -> DataFrame:
-    """Drop rows whose key is stored already; a NULL key part matches nothing.
+    """Rows, all with whole keys, whose key is not in the history.
 
     History grows without end, a batch does not. When the caller knows that the batch is small,
     its key hashes are broadcast and the history is thinned to possible matches while it is
     scanned, without a shuffle; the exact comparison then meets few rows. A batch of unknown or
-    large size is compared by a plain shuffled anti join.
+    large size is compared by a plain shuffled anti join. `candidates` may be any frame with at
+    least the keys of `keyed` that is cheaper to read a second time.
     """
-    stored = history.select(*keys)
+    stored = keyed_rows(history, keys).select(*keys)
     if batch_rows is not None and batch_rows <= MAX_BROADCAST_KEYS:
         key_hash = F.xxhash64(*keys).alias("__hash")
-        wanted = batch.filter(~_any_null(keys)).select(key_hash)
+        wanted = (keyed if candidates is None else candidates).select(key_hash)
         stored = (
             stored.withColumn("__hash", key_hash)
             .join(F.broadcast(wanted), "__hash", "left_semi")
             .drop("__hash")
         )
-    return batch.join(stored, list(keys), "left_anti")
+    return keyed.join(stored, list(keys), "left_anti")
+
+
+def new_only(
+    batch: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str] = PACKET_KEY,
+    batch_rows: int | None = None,
+) -> DataFrame:
+    """Drop rows whose key is stored already; rows with a NULL key part match nothing and all stay.
+
+    Those rows never meet the join, which would send them all to one task. The batch is read
+    twice, so persist or stage it first.
+    """
+    fresh = not_stored(keyed_rows(batch, keys), history, keys, batch_rows=batch_rows)
+    return fresh.unionByName(keyless_rows(batch, keys))
 
 
 def first_arrival_stream(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
@@ -69,5 +96,5 @@ def first_arrival_stream(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> Dat
     of several copies inside one micro-batch stays is up to Spark, so use the history sink where
     that matters.
     """
-    keyed = df.filter(~_any_null(keys)).dropDuplicates(list(keys))
-    return keyed.unionByName(df.filter(_any_null(keys)))
+    once = keyed_rows(df, keys).dropDuplicates(list(keys))
+    return once.unionByName(keyless_rows(df, keys))

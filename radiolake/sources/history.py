@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from radiolake.operators.dedup import first_arrival, new_only
+from radiolake.operators.dedup import first_arrival, keyed_rows, keyless_rows, not_stored
 from radiolake.schemas import PACKET_HISTORY, conform
 from radiolake.sources.storage import exists
 
@@ -28,10 +28,17 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _replace_batch(df: DataFrame, path: str, schema: T.StructType, batch_id: int) -> None:
+    """Write the partitions of one batch over whatever an earlier attempt left.
+
+    Rows arrive spread by key, every task holding every date. The rebalance gathers each date into
+    files of the advised size, and splits a date too large for one, so a backfill of many dates
+    does not end in dates x tasks small files.
+    """
     placed = conform(df, schema).select(
         "*", F.to_date("timestamp").alias("ingest_date"), F.lit(batch_id).cast("bigint").alias("batch")
     )
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    sized = placed.hint("rebalance", "ingest_date")
+    sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "ingest_date", "batch"
     ).parquet(path)
 
@@ -43,16 +50,18 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def append_history(
     rows: DataFrame, path: str, batch_id: int, batch_rows: int | None = None
 ) -> None:
-    """Store the rows whose key is new. `rows` are storable packet rows with `seq`.
+    """Store the rows whose key is new. `rows` are storable packet rows with `seq`, read twice.
 
     `batch_rows`, when known, bounds the batch and lets the key check avoid shuffling the history.
+    Failed parses have no key: they skip every shuffle but the one that sizes the files.
     """
     spark = rows.sparkSession
-    once = first_arrival(rows)
+    keyed = keyed_rows(rows)
+    once = first_arrival(keyed)
     if exists(spark, path):
         earlier = _stored(spark, path, PACKET_HISTORY).filter(F.col("batch") < batch_id)
-        once = new_only(once, earlier, batch_rows=batch_rows)
-    _replace_batch(once, path, PACKET_HISTORY, batch_id)
+        once = not_stored(once, earlier, candidates=keyed, batch_rows=batch_rows)
+    _replace_batch(once.unionByName(keyless_rows(rows)), path, PACKET_HISTORY, batch_id)
 
 
 def append_rejected(rows: DataFrame, path: str, batch_id: int) -> None:
