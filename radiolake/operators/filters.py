@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,26 +72,20 @@ def has_gateway(env: Column) -> Column:
     return (F.length(gateway) > 0) & hex_to_node_id(gateway).isNotNull()
 
 
-def _has_nul(names: tuple[str, ...]) -> Column:
-    checks = [F.coalesce(F.col(n).contains("\u0000"), F.lit(False)) for n in names]
-    return reduce(lambda a, b: a | b, checks)
+def _has_nul(names: tuple[str, ...]) -> str:
+    return " OR ".join(f"coalesce(contains({n}, '\\u0000'), false)" for n in names)
 
 
-def reject_reason(df: DataFrame) -> Column:
-    """Why a typed table would refuse this packet row; NULL when it would not."""
-    present = set(df.columns)
-    out_of_range = [
-        F.when(~F.col(n).between(*_INT_RANGE), F.lit(f"{n} out of range"))
+def reject_reason() -> Column:
+    """Why a typed table would refuse a packet row; NULL when it would not."""
+    low, high = _INT_RANGE
+    unnamed = "CASE WHEN portnum IS NOT NULL AND portnum_name IS NULL THEN 'portnum has no name' END"
+    ranges = [
+        f"CASE WHEN {n} NOT BETWEEN {low} AND {high} THEN '{n} out of range' END"
         for n in _INT_COLUMNS
-        if n in present
     ]
-    unnamed = F.col("portnum").isNotNull() & F.col("portnum_name").isNull()
-    texts = tuple(n for n in _TEXT_COLUMNS if n in present)
-    return F.coalesce(
-        F.when(unnamed, F.lit("portnum has no name")),
-        *out_of_range,
-        F.when(_has_nul(texts), F.lit("text holds a NUL")) if texts else F.lit(None).cast("string"),
-    )
+    nul = f"CASE WHEN {_has_nul(_TEXT_COLUMNS)} THEN 'text holds a NUL' END"
+    return F.expr(f"coalesce({', '.join([unnamed, *ranges, nul])})")
 
 
 def storable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,11 +93,11 @@ def storable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both halves filter one frame; persist or stage it first when both are written.
     """
-    marked = df.withColumn("reject_reason", reject_reason(df))
+    marked = df.withColumn("reject_reason", reject_reason())
     kept = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     return kept, marked.filter(F.col("reject_reason").isNotNull())
 
 
 def storable_changes(changes: DataFrame) -> DataFrame:
     """Node changes that the node table can hold."""
-    return changes.filter(~_has_nul(_NODE_TEXT_COLUMNS))
+    return changes.filter(f"NOT ({_has_nul(_NODE_TEXT_COLUMNS)})")

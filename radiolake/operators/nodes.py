@@ -145,13 +145,6 @@ def merge_nodes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """The stored directory brought up to date with a later batch of changes."""
     new = fold_nodes(changes).alias("new")
     joined = snapshot.alias("old").join(new, "node_id", "full_outer")
-
-    def pick(column: str, *sides: str) -> Column:
-        return F.coalesce(*[F.col(f"{side}.{column}") for side in sides]).alias(column)
-
-    return joined.select(
-        "node_id",
-        *[pick(c, "new", "old") for c in NODE_VALUES],
-        pick("first_seen", "old", "new"),
-        pick("last_updated", "new", "old"),
-    ).select(*NODE_INFO.fieldNames())
+    latest = {c: f"coalesce(new.{c}, old.{c})" for c in (*NODE_VALUES, "last_updated")}
+    merged = {"node_id": "node_id", "first_seen": "coalesce(old.first_seen, new.first_seen)", **latest}
+    return joined.selectExpr(*[f"{merged[n]} AS {n}" for n in NODE_INFO.fieldNames()])

@@ -47,15 +47,15 @@ def status_columns(df: DataFrame) -> DataFrame:
 
 def packet_rows(df: DataFrame, port_names: Mapping[int, str] | DataFrame) -> DataFrame:
     """The 29 history columns plus `seq`. Integers stay wide, so that storable() can judge them."""
-    packet = F.col("env.packet")
-    size, content = payload_columns(packet["decoded"]["payload"])
+    size, content = payload_columns(F.col("env.packet.decoded.payload"))
+    copied = [F.expr(f"env.packet.`{field}` AS {column}") for column, field in _COPIED.items()]
     flat = status_columns(df).select(
         F.col("ingest_ts").alias("timestamp"),
         "topic",
-        packet["decoded"]["portnum"].alias("portnum"),
-        F.col("env.gateway_id").alias("gateway_id"),
-        F.col("env.channel_id").alias("channel_id"),
-        *[packet[field].alias(column) for column, field in _COPIED.items()],
+        F.expr("env.packet.decoded.portnum AS portnum"),
+        F.expr("env.gateway_id AS gateway_id"),
+        F.expr("env.channel_id AS channel_id"),
+        *copied,
         size,
         content,
         "processed_successfully",

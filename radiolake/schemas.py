@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -89,7 +88,9 @@ CHANGE_ORDER = ("last_updated", "seq", "step")
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select exactly the columns of `schema`, in its order and with its types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]
+    )
 
 
 def ensure_table(
