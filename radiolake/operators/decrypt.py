@@ -17,8 +17,11 @@ from radiolake.operators.decode import RecordSpec, open_data
 from radiolake.operators.filters import is_encrypted
 
 
-def _streams(blocks: Column, keys: Column) -> Column:
-    return F.when(blocks.isNotNull(), F.transform(keys, lambda k: keystream(blocks, k)))
+def _opened(blocks: Column, keys: Column, spec: RecordSpec) -> Column:
+    """The first key that opens the packet; without blocks nothing is computed or sent to Python."""
+    wanted = blocks.isNotNull()
+    streams = F.when(wanted, F.transform(keys, lambda k: keystream(blocks, k)))
+    return open_data(F.when(wanted, F.col("env.packet.encrypted")), streams, spec)
 
 
 def decrypt_packets(
@@ -41,11 +44,11 @@ def decrypt_packets(
             "__blocks": blocks,
         }
     )
-    streams = _streams(F.col("__blocks"), default_candidates(channel, keys))
-    first = prepared.withColumn("__default", open_data(packet["encrypted"], streams, spec))
+    first = prepared.withColumn(
+        "__default", _opened(F.col("__blocks"), default_candidates(channel, keys), spec)
+    )
     rest = F.when(F.col("__default").isNull(), F.col("__blocks"))
-    streams = _streams(rest, ring_candidates(channel, keys))
-    second = first.withColumn("__ring", open_data(packet["encrypted"], streams, spec))
+    second = first.withColumn("__ring", _opened(rest, ring_candidates(channel, keys), spec))
     found = F.coalesce(F.col("__default"), F.col("__ring"))
     opened = F.struct(found["portnum"].alias("portnum"), found["payload"].alias("payload"))
     decoded = F.when(found.isNotNull(), opened).otherwise(packet["decoded"])

@@ -29,7 +29,7 @@ from radiolake.operators.nodes import (
 )
 from radiolake.operators.packets import packet_rows
 from radiolake.schemas import NODE_INFO, PACKET_HISTORY, conform
-from radiolake.session import stage
+from radiolake.session import staged
 from radiolake.sources.directory import write_nodes
 from radiolake.sources.history import append_history, append_rejected
 
@@ -72,7 +72,10 @@ def decoded_messages(messages: DataFrame, settings: Settings, key_ring: DataFram
 
 
 def directory_changes(decoded: DataFrame, settings: Settings) -> DataFrame:
-    """Storable node changes, the gateway part already thinned to what can matter."""
+    """Storable node changes, the gateway part already thinned to what can matter.
+
+    Both parts read the frame; persist or stage it first, or it is parsed twice.
+    """
     described = nodeinfo_changes(decoded, settings.spec, settings.names)
     return storable_changes(node_changes(gateway_edges(decoded), described))
 
@@ -105,5 +108,5 @@ def load_batch(
     messages: DataFrame, settings: Settings, key_ring: DataFrame, out: str, batch_id: int = 0
 ) -> None:
     """Batch job, e.g. a backfill: parse and decrypt once into a staged table, then write all three."""
-    decoded = stage(decoded_messages(messages, settings, key_ring), "decoded")
-    write_tables(decoded, settings, out, batch_id)
+    with staged(decoded_messages(messages, settings, key_ring), "decoded") as decoded:
+        write_tables(decoded, settings, out, batch_id)

@@ -5,10 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from radiolake.sources.storage import delete
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _shipped: set[tuple[str, str]] = set()
 _own_scratch: dict[str, str] = {}
@@ -47,16 +51,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: computed once, lineage cut.
 
     Unlike a cached frame it survives the loss of any executor, and readers prune its columns.
     """
-    path = scratch_dir(df.sparkSession, name)
+    path = path or scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """stage() for the length of a block; the folder goes when the block ends, either way."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    try:
+        yield stage(df, name, path)
+    finally:
+        delete(spark, path)
+
+
 def ship_package(spark: SparkSession, *names: str) -> None:
     """Send packages next to this one to the Python workers, once per application."""
     context = spark.sparkContext

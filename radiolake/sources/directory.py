@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from radiolake.operators.nodes import merge_nodes
 from radiolake.schemas import NODE_INFO, conform
-from radiolake.sources.storage import drop_version, finished_versions
+from radiolake.sources.storage import delete, finished_versions
 
 # Readers that opened an older snapshot get this many batches to finish.
 KEEP_VERSIONS = 5
@@ -35,4 +35,4 @@ def write_nodes(changes: DataFrame, path: str, batch_id: int, keep: int = KEEP_V
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
     ).parquet(f"{path}/v={batch_id}")
     for version in earlier[: -max(keep - 1, 1)]:
-        drop_version(spark, path, version)
+        delete(spark, f"{path}/v={version}")

@@ -37,8 +37,10 @@ def _replace_batch(df: DataFrame, path: str, schema: T.StructType, batch_id: int
     placed = conform(df, schema).select(
         "*", F.to_date("timestamp").alias("ingest_date"), F.lit(batch_id).cast("bigint").alias("batch")
     )
-    sized = placed.hint("rebalance", "ingest_date")
-    sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    if placed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        # Without adaptive execution a large date would be one task.
+        placed = placed.hint("rebalance", "ingest_date")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "ingest_date", "batch"
     ).parquet(path)
 
@@ -48,18 +50,27 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_history(
-    rows: DataFrame, path: str, batch_id: int, batch_rows: int | None = None
+    rows: DataFrame,
+    path: str,
+    batch_id: int,
+    batch_rows: int | None = None,
+    lookback_days: int | None = None,
 ) -> None:
     """Store the rows whose key is new. `rows` are storable packet rows with `seq`, read twice.
 
     `batch_rows`, when known, bounds the batch and lets the key check avoid shuffling the history.
-    Failed parses have no key: they skip every shuffle but the one that sizes the files.
+    `lookback_days` limits the check to partitions that many days before the batch: a key is then
+    unique within that time only, which is not what the full check promises. Failed parses have no
+    key: they skip every shuffle but the one that sizes the files.
     """
     spark = rows.sparkSession
     keyed = keyed_rows(rows)
     once = first_arrival(keyed)
     if exists(spark, path):
         earlier = _stored(spark, path, PACKET_HISTORY).filter(F.col("batch") < batch_id)
+        if lookback_days is not None:
+            oldest = keyed.agg(F.date_sub(F.min(F.to_date("timestamp")), lookback_days)).first()[0]
+            earlier = earlier.filter(F.col("ingest_date") >= F.lit(oldest))
         once = not_stored(once, earlier, candidates=keyed, batch_rows=batch_rows)
     _replace_batch(once.unionByName(keyless_rows(rows)), path, PACKET_HISTORY, batch_id)
 

@@ -25,6 +25,7 @@ def finished_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(m.group(1)) for m in map(re.compile(r"v=(\d+)").fullmatch, names) if m)
 
 
-def drop_version(spark: SparkSession, path: str, version: int) -> None:
-    files, folder = _open(spark, f"{path}/v={version}")
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this application wrote."""
+    files, folder = _open(spark, path)
     files.delete(folder, True)

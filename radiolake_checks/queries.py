@@ -358,28 +358,21 @@ def o19_status_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _nodeinfo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nodes.nodeinfo_changes(_decoded(spark, sf_dir), SPEC, SETTINGS.names)
-
-
-def _gateways(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nodes.gateway_changes(_decoded(spark, sf_dir))
-
-
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.storable_changes(
-        nodes.node_changes(_gateways(spark, sf_dir), _nodeinfo(spark, sf_dir))
-    )
+    decoded = stage(_decoded(spark, sf_dir), "decoded")
+    described = nodes.nodeinfo_changes(decoded, SPEC, SETTINGS.names)
+    return filters.storable_changes(nodes.node_changes(nodes.gateway_changes(decoded), described))
 
 
 @query
 def o20_nodeinfo_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_nodes(_nodeinfo(spark, sf_dir)).drop("step")
+    described = nodes.nodeinfo_changes(_decoded(spark, sf_dir), SPEC, SETTINGS.names)
+    return _show_nodes(described).drop("step")
 
 
 @query
 def o21_gateway_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_nodes(_gateways(spark, sf_dir)).drop("step")
+    return _show_nodes(nodes.gateway_changes(_decoded(spark, sf_dir))).drop("step")
 
 
 # --- scalar functions ---
@@ -572,4 +565,5 @@ def packet_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def node_info_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_nodes(node_directory(_decoded(spark, sf_dir), SETTINGS))
+    decoded = stage(_decoded(spark, sf_dir), "decoded")
+    return _show_nodes(node_directory(decoded, SETTINGS))

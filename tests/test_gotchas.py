@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import random
 
 import pytest
 from fx import TOPIC, data, envelope, nodeinfo, user
@@ -279,6 +280,17 @@ def test_changes_come_from_rows_the_history_loses(raw, ring):
     assert {r.node_id for r in directory_changes(decoded, SETTINGS).collect()} == {5, 0xABCDEF12}
 
 
+def test_any_bytes_make_a_row(raw, ring):
+    """Random and cut-off payloads: never an exception, always one history row or a refusal."""
+    rng = random.Random(5)
+    good = envelope(portnum=1, payload=b"x" * 40)
+    blobs = [rng.randbytes(rng.randrange(60)) for _ in range(200)]
+    blobs += [good[:n] for n in range(0, len(good), 3)]
+    decoded = decoded_messages(raw([(TOPIC, b) for b in blobs]), SETTINGS, ring)
+    kept, rejected = storable(packet_rows(decoded, PORTS))
+    assert kept.count() + rejected.count() == len(blobs)
+
+
 def test_decode_keeps_the_input(raw):
     df = decode_envelope(raw([(TOPIC, envelope()), (TOPIC, BROKEN)]), SPEC)
     first, second = df.orderBy("seq").collect()

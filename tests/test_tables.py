@@ -87,6 +87,10 @@ def test_order_of_rows_does_not_matter(sample, decoded, seed):
 
 def test_batch_job(spark, sample, ring):
     out = scratch_dir(spark, "batch")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    load_batch(sample[1].filter("seq < 50"), SETTINGS, ring, f"{out}/plain")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    check_history(read_history(spark, f"{out}/plain/packet_history"), sample[0][:50])
     load_batch(sample[1], SETTINGS, ring, out)
     check_history(read_history(spark, f"{out}/packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
@@ -182,6 +186,25 @@ def test_new_only(spark, bound):
     assert sorted(r.seq for r in left.collect()) == [5, 6, 7, 9]
 
 
+def test_lookback_limits_the_key_check(spark, raw, ring):
+    from datetime import timedelta
+
+    from fx import TOPIC, envelope
+
+    from radiolake.operators.filters import storable
+    from radiolake.operators.packets import packet_rows
+    from radiolake.sources.history import append_history
+
+    first = raw([(TOPIC, envelope(id=5))])
+    rows, _ = storable(packet_rows(decoded_messages(first, SETTINGS, ring), SETTINGS.ports))
+    later = rows.withColumn("timestamp", F.col("timestamp") + F.lit(timedelta(days=10)))
+    for days, count in ((None, 1), (20, 1), (2, 2)):
+        out = scratch_dir(spark, "lookback")
+        append_history(rows, out, 0, 1, days)
+        append_history(later, out, 1, 1, days)
+        assert read_history(spark, out).count() == count
+
+
 def test_merge_with_nothing_stored_and_nothing_new(spark, decoded):
     changes = nodes.gateway_changes(decoded)
     empty = spark.createDataFrame([], NODE_INFO)
