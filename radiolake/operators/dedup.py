@@ -14,10 +14,21 @@ from radiolake.schemas import PACKET_KEY
 MAX_BROADCAST_KEYS = 2_000_000
 
 
+# Holds 0 for a whole key and the row's own number otherwise; see _spread.
+_SPREAD = "__spread"
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add a third part to the partitioning: rows without a whole key would all hash alike."""
+    if _SPREAD in df.columns:
+        return df
+    return df.withColumn(_SPREAD, F.when(_any_null(keys), F.col("seq")).otherwise(F.lit(0)))
+
+
 def keyed_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
     """Rows whose key is whole."""
     return df.filter(~_any_null(keys))
@@ -28,6 +39,12 @@ def keyless_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
     return df.filter(_any_null(keys))
 
 
+def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    window = Window.partitionBy(*keys, _SPREAD).orderBy(*order)
+    ranked = _spread(df, keys).withColumn("__rank", F.row_number().over(window))
+    return ranked.filter(F.col("__rank") == 1).drop("__rank")
+
+
 def first_arrival(
     df: DataFrame,
     keys: Sequence[str] = PACKET_KEY,
@@ -36,65 +53,67 @@ def first_arrival(
     """Keep the first row per key; a NULL key part equals nothing, so such rows all stay.
 
     One pass, one exchange. The rank filter runs before the exchange too (WindowGroupLimit), so a
-    key that holds a third of all rows leaves one row per input partition. Rows with a NULL key
-    part carry their own `seq` in the partitioning and therefore spread evenly.
+    key that holds a third of all rows leaves one row per input partition, and rows without a
+    whole key spread evenly.
     """
-    spread = F.when(_any_null(keys), F.col("seq"))
-    ranked = df.withColumn(
-        "__rank",
-        F.row_number().over(Window.partitionBy(*keys, spread).orderBy(*order)),
-    )
-    return ranked.filter(F.col("__rank") == 1).drop("__rank")
+    return _first(df, keys, order).drop(_SPREAD)
 
 
-def not_stored(
-    keyed: DataFrame,
+def new_only(
+    batch: DataFrame,
     history: DataFrame,
     keys: Sequence[str] = PACKET_KEY,
-    candidates: DataFrame | None = None,
     batch_rows: int | None = None,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows, all with whole keys, whose key is not in the history.
+    """Drop rows whose key is stored already; rows with a NULL key part match nothing and all stay.
 
     History grows without end, a batch does not. When the caller knows that the batch is small,
     its key hashes are broadcast and the history is thinned to possible matches while it is
     scanned, without a shuffle; the exact comparison then meets few rows. A batch of unknown or
-    large size is compared by a plain shuffled anti join. `candidates` may be any frame with at
-    least the keys of `keyed` that is cheaper to read a second time.
+    large size is compared by a plain shuffled anti join. `candidates`, read for the hashes, may be
+    any frame that has at least the keys of the batch and is cheaper to read.
     """
     stored = keyed_rows(history, keys).select(*keys)
     if batch_rows is not None and batch_rows <= MAX_BROADCAST_KEYS:
         key_hash = F.xxhash64(*keys).alias("__hash")
-        wanted = (keyed if candidates is None else candidates).select(key_hash)
+        wanted = keyed_rows(batch if candidates is None else candidates, keys).select(key_hash)
         stored = (
             stored.withColumn("__hash", key_hash)
             .join(F.broadcast(wanted), "__hash", "left_semi")
             .drop("__hash")
         )
-    return keyed.join(stored, list(keys), "left_anti")
+    # Always 0, as for every whole key; computed, because a literal would be folded out of the join.
+    stored = stored.withColumn(_SPREAD, F.xxhash64(*keys).bitwiseAND(F.lit(0)))
+    return _spread(batch, keys).join(stored, [*keys, _SPREAD], "left_anti").drop(_SPREAD)
 
 
-def new_only(
-    batch: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str] = PACKET_KEY,
-    batch_rows: int | None = None,
+def first_new(
+    batch: DataFrame, history: DataFrame, batch_rows: int | None = None
 ) -> DataFrame:
-    """Drop rows whose key is stored already; rows with a NULL key part match nothing and all stay.
+    """first_arrival, then new_only, on packet keys: the batch is read and exchanged once for both.
 
-    Those rows never meet the join, which would send them all to one task. The batch is read
-    twice, so persist or stage it first.
+    With a known small batch its key columns are read a second time; persist or stage it.
     """
-    fresh = not_stored(keyed_rows(batch, keys), history, keys, batch_rows=batch_rows)
-    return fresh.unionByName(keyless_rows(batch, keys))
+    once = _first(batch, PACKET_KEY, ("timestamp", "seq"))
+    return new_only(once, history, batch_rows=batch_rows, candidates=batch)
 
 
-def first_arrival_stream(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
+def first_arrival_stream(
+    df: DataFrame,
+    keys: Sequence[str] = PACKET_KEY,
+    within: str | None = None,
+    time_column: str = "timestamp",
+) -> DataFrame:
     """Endless dedup held in Spark's own state: one small entry per key, cost per batch only.
 
     Rows with a NULL key part bypass the state. Across micro-batches the first arrival wins; which
     of several copies inside one micro-batch stays is up to Spark, so use the history sink where
-    that matters.
+    that matters. `within` bounds the state: a key is then unique within that time only.
     """
-    once = keyed_rows(df, keys).dropDuplicates(list(keys))
+    keyed = keyed_rows(df, keys)
+    if within is None:
+        once = keyed.dropDuplicates(list(keys))
+    else:
+        once = keyed.withWatermark(time_column, within).dropDuplicatesWithinWatermark(list(keys))
     return once.unionByName(keyless_rows(df, keys))

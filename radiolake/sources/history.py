@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from radiolake.operators.dedup import first_arrival, keyed_rows, keyless_rows, not_stored
+from radiolake.operators.dedup import first_arrival, first_new
 from radiolake.schemas import PACKET_HISTORY, conform
 from radiolake.sources.storage import exists
 
@@ -56,23 +56,21 @@ def append_history(
     batch_rows: int | None = None,
     lookback_days: int | None = None,
 ) -> None:
-    """Store the rows whose key is new. `rows` are storable packet rows with `seq`, read twice.
+    """Store the rows whose key is new. `rows` are storable packet rows with `seq`.
 
     `batch_rows`, when known, bounds the batch and lets the key check avoid shuffling the history.
     `lookback_days` limits the check to partitions that many days before the batch: a key is then
-    unique within that time only, which is not what the full check promises. Failed parses have no
-    key: they skip every shuffle but the one that sizes the files.
+    unique within that time only, which is not what the full check promises.
     """
     spark = rows.sparkSession
-    keyed = keyed_rows(rows)
-    once = first_arrival(keyed)
-    if exists(spark, path):
-        earlier = _stored(spark, path, PACKET_HISTORY).filter(F.col("batch") < batch_id)
-        if lookback_days is not None:
-            oldest = keyed.agg(F.date_sub(F.min(F.to_date("timestamp")), lookback_days)).first()[0]
-            earlier = earlier.filter(F.col("ingest_date") >= F.lit(oldest))
-        once = not_stored(once, earlier, candidates=keyed, batch_rows=batch_rows)
-    _replace_batch(once.unionByName(keyless_rows(rows)), path, PACKET_HISTORY, batch_id)
+    if not exists(spark, path):
+        _replace_batch(first_arrival(rows), path, PACKET_HISTORY, batch_id)
+        return
+    earlier = _stored(spark, path, PACKET_HISTORY).filter(F.col("batch") < batch_id)
+    if lookback_days is not None:
+        oldest = rows.agg(F.date_sub(F.min(F.to_date("timestamp")), lookback_days)).first()[0]
+        earlier = earlier.filter(F.col("ingest_date") >= F.lit(oldest))
+    _replace_batch(first_new(rows, earlier, batch_rows), path, PACKET_HISTORY, batch_id)
 
 
 def append_rejected(rows: DataFrame, path: str, batch_id: int) -> None:

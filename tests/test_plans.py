@@ -104,5 +104,25 @@ def test_small_batch_does_not_shuffle_the_history(spark):
     assert "ReadSchema: struct<mesh_packet_id:bigint,gateway_id:string>" in text
 
 
+@pytest.mark.parametrize("bound", [1, None])
+def test_dedup_and_history_check_share_one_exchange(spark, bound):
+    schema = "mesh_packet_id bigint, gateway_id string, topic string, seq bigint, timestamp timestamp"
+    path = scratch_dir(spark, "history")
+    spark.range(3).selectExpr(
+        "id AS mesh_packet_id", "'g' AS gateway_id", "'t' AS topic", "id AS seq", "current_timestamp() AS timestamp"
+    ).write.parquet(path)
+    history = spark.read.schema(schema).parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = dedup.first_new(history, history, bound)
+        text = plan(df)
+        exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)
+        assert len(exchanges) == 2 and all("__spread" in e for e in exchanges)
+        assert "WindowGroupLimit" in text and "LeftAnti" in text
+        assert df.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_input_schema_is_never_inferred(stored):
     assert stored.schema.fieldNames() == RAW_MESSAGES.fieldNames()

@@ -175,6 +175,19 @@ def test_endless_dedup_keeps_the_earlier_batch(spark):
     assert sorted(r.seq for r in spark.read.parquet(out).collect()) == [0, 1, 3, 4]
 
 
+def test_bounded_endless_dedup(spark):
+    source, out = scratch_dir(spark, "keys"), scratch_dir(spark, "once")
+    schema = "mesh_packet_id bigint, gateway_id string, seq bigint, timestamp timestamp"
+    rows = [(1, "a", 0, START), (1, "a", 1, START), (None, "", 2, START), (None, "", 3, START)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    writer = dedup.first_arrival_stream(stream, within="1 hour").writeStream
+    writer = writer.option("checkpointLocation", scratch_dir(spark, "progress"))
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    stored = spark.read.parquet(out).collect()
+    assert len(stored) == 3 and {r.seq for r in stored} >= {2, 3}
+
+
 @pytest.mark.parametrize("bound", [None, 10, 10**9])
 def test_new_only(spark, bound):
     schema = "mesh_packet_id bigint, gateway_id string, seq bigint"
