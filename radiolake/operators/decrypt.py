@@ -30,7 +30,8 @@ def decrypt_packets(
     """Replace `env.packet.decoded` where a key opens the packet; leave every other row as it is.
 
     Narrow: no shuffle, and the same for a stream. The default key is tried on its own first, so
-    the ring's key streams are only computed for packets it did not open.
+    the ring's key streams are only computed for packets it did not open. The one row of the ring
+    is asked for its size here; an empty ring needs no second step.
     """
     keys, channel, packet = F.col("__keys"), F.col("__channel"), F.col("env.packet")
     blocks = F.when(
@@ -44,15 +45,18 @@ def decrypt_packets(
             "__blocks": blocks,
         }
     )
-    first = prepared.withColumn(
-        "__default", _opened(F.col("__blocks"), default_candidates(channel, keys), spec)
+    opened = prepared.withColumn(
+        "__found", _opened(F.col("__blocks"), default_candidates(channel, keys), spec)
     )
-    rest = F.when(F.col("__default").isNull(), F.col("__blocks"))
-    second = first.withColumn("__ring", _opened(rest, ring_candidates(channel, keys), spec))
-    found = F.coalesce(F.col("__default"), F.col("__ring"))
-    opened = F.struct(found["portnum"].alias("portnum"), found["payload"].alias("payload"))
-    decoded = F.when(found.isNotNull(), opened).otherwise(packet["decoded"])
+    if key_ring.select(F.size("ring")).first()[0] > 0:
+        rest = F.when(F.col("__found").isNull(), F.col("__blocks"))
+        opened = opened.withColumn(
+            "__by_ring", _opened(rest, ring_candidates(channel, keys), spec)
+        ).withColumn("__found", F.coalesce("__found", "__by_ring"))
+    found = F.col("__found")
+    data = F.struct(found["portnum"].alias("portnum"), found["payload"].alias("payload"))
+    decoded = F.when(found.isNotNull(), data).otherwise(packet["decoded"])
     replaced = F.when(packet.isNotNull(), packet.withField("decoded", decoded))
-    return second.withColumn("env", F.col("env").withField("packet", replaced)).drop(
-        "__keys", "__channel", "__blocks", "__default", "__ring"
+    return opened.withColumn("env", F.col("env").withField("packet", replaced)).drop(
+        "__keys", "__channel", "__blocks", "__found", "__by_ring"
     )

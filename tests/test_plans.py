@@ -33,11 +33,13 @@ def plan(df) -> str:
 
 
 def test_filters_reach_the_scan_and_decoding_is_narrow(spark, stored):
-    text = plan(decoded_messages(stored, SETTINGS, make_key_ring(spark)))
+    ring = make_key_ring(spark, [("Wx", "AQ==")])
+    text = plan(decoded_messages(stored, SETTINGS, ring))
     assert "Exchange" not in text and "Join" not in text
     assert "StringStartsWith(topic,msh/)" in text and "StringContains(topic,/json/)" in text
     assert text.count("ArrowEvalPython") == 3
     assert text.index("parse_envelope") < text.index("RLIKE")
+    assert plan(decoded_messages(stored, SETTINGS, make_key_ring(spark))).count("ArrowEvalPython") == 2
 
 
 def test_each_record_is_parsed_once_per_table(spark, stored):
