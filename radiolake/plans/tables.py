@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radiolake.operators.decode import RecordSpec, decode_envelope
@@ -31,7 +31,8 @@ from radiolake.operators.packets import packet_rows
 from radiolake.schemas import NODE_INFO, PACKET_HISTORY, conform
 from radiolake.session import staged
 from radiolake.sources.directory import write_nodes
-from radiolake.sources.history import append_history, append_rejected
+from radiolake.sources.history import append_history, append_rejected, last_batch
+from radiolake.sources.storage import finished_versions
 
 
 @dataclass(frozen=True)
@@ -104,9 +105,25 @@ def write_tables(
     write_nodes(directory_changes(decoded, settings), f"{out}/node_info", batch_id)
 
 
+def next_batch(spark: SparkSession, out: str) -> int:
+    """A batch number that no table under `out` has used."""
+    versions = finished_versions(spark, f"{out}/node_info")
+    used = (last_batch(spark, f"{out}/{t}") for t in ("packet_history", "rejected"))
+    return max(*used, *versions, -1) + 1
+
+
 def load_batch(
-    messages: DataFrame, settings: Settings, key_ring: DataFrame, out: str, batch_id: int = 0
+    messages: DataFrame,
+    settings: Settings,
+    key_ring: DataFrame,
+    out: str,
+    batch_id: int | None = None,
 ) -> None:
-    """Batch job, e.g. a backfill: parse and decrypt once into a staged table, then write all three."""
+    """Batch job, e.g. a backfill: parse and decrypt once into a staged table, then write all three.
+
+    Give the number of a failed batch to run that batch again; otherwise the next one is taken.
+    """
+    if batch_id is None:
+        batch_id = next_batch(messages.sparkSession, out)
     with staged(decoded_messages(messages, settings, key_ring), "decoded") as decoded:
         write_tables(decoded, settings, out, batch_id)

@@ -49,6 +49,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path, PACKET_HISTORY).drop("ingest_date", "batch")
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The highest batch with stored rows, finished or not; -1 when there is none."""
+    found = _stored(spark, path, PACKET_HISTORY).agg(F.max("batch")).first()[0]
+    return -1 if found is None else found
+
+
 def append_history(
     rows: DataFrame,
     path: str,

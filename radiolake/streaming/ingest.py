@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from radiolake.plans.tables import Settings, decoded_messages, write_tables
+from radiolake.plans.tables import Settings, decoded_messages, next_batch, write_tables
+from radiolake.sources.storage import exists
+
+
+def _first_batch(spark: SparkSession, checkpoint: str, out: str) -> int:
+    """The table batch of this checkpoint's batch 0, fixed when the checkpoint is new.
+
+    A stream counts its batches from 0. Tables that a batch job or another stream has filled
+    already must not see those numbers again: a batch overwrites its own partitions.
+    """
+    place = f"{checkpoint}/first_batch"
+    if not exists(spark, f"{place}/_SUCCESS"):
+        number = spark.range(1).select(F.lit(next_batch(spark, out)).cast("bigint").alias("number"))
+        number.write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
+        ).parquet(place)
+    return spark.read.schema("number bigint").parquet(place).first()[0]
 
 
 def start_ingest(
@@ -24,14 +41,16 @@ def start_ingest(
     only, a lost part is computed again from the source.
     """
 
+    first = _first_batch(messages.sparkSession, checkpoint, out)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_tables(kept, settings, out, batch_id, batch_rows=kept.count())
+            write_tables(kept, settings, out, first + batch_id, batch_rows=kept.count())
         finally:
             kept.unpersist()
 
     writer = decoded_messages(messages, settings, key_ring).writeStream.foreachBatch(write)
-    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.option("checkpointLocation", f"{checkpoint}/query")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()

@@ -13,6 +13,7 @@ from radiolake.plans.tables import (
     decoded_messages,
     directory_changes,
     load_batch,
+    next_batch,
     node_directory,
     packet_history,
     write_tables,
@@ -121,20 +122,22 @@ def test_old_snapshots_are_dropped(spark, decoded):
     assert finished_versions(spark, out) == [3, 4]
 
 
-def test_stream_equals_batch_across_a_restart(spark, sample, ring):
+def test_stream_after_a_batch_job_and_across_a_restart(spark, sample, ring):
     source, out = scratch_dir(spark, "incoming"), scratch_dir(spark, "tables")
     progress = scratch_dir(spark, "progress")
-    half = F.col("seq") < COUNT // 2
-    for step, part in enumerate([sample[1].filter(half), sample[1].filter(~half)]):
-        low = COUNT // 2 * step
-        for piece in range(2):
-            cut = F.floor((F.col("seq") - low) / (COUNT // 4)) == piece
-            conform(part.filter(cut), RAW_MESSAGES).coalesce(1).write.mode("append").parquet(source)
+    place = F.floor(F.col("seq") / (COUNT // 5))
+    load_batch(sample[1].filter(place == 0), SETTINGS, ring, out)
+    for pieces in ((1, 2), (3, 4)):
+        for piece in pieces:
+            part = conform(sample[1].filter(place == piece), RAW_MESSAGES)
+            part.coalesce(1).write.mode("append").parquet(source)
         stream = read_messages(spark, source, streaming=True, max_files_per_trigger=1)
         query = start_ingest(stream, SETTINGS, ring, out, progress)
         query.awaitTermination()
     check_history(read_history(spark, f"{out}/packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
+    assert finished_versions(spark, f"{out}/node_info") == [0, 1, 2, 3, 4]
+    assert next_batch(spark, out) == 5
 
 
 def test_directory_held_in_state(spark, sample, decoded):
