@@ -79,7 +79,7 @@ def test_arrival_timestamp(spark):
     epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
     assert got == [(m - epoch) // dt.timedelta(microseconds=1) for m in made]
     now = each(spark, [None], "double", scalars.arrival_timestamp)[0]
-    assert abs((dt.datetime.utcnow() - now).total_seconds()) < 3600 * 24
+    assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - now).total_seconds()) < 3600 * 24
 
 
 @pytest.mark.parametrize(
