@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from radiolake_checks.oracle import all_sql
+from radiolake_checks.queries import all_queries
 from radiolake.functions.scalars import enum_name
 from radiolake.operators import dedup, filters
 from radiolake_checks.compare import difference, tables
@@ -25,9 +27,9 @@ def connection():
     return tables(SMALL)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, connection, name):
-    assert difference(driver.queries()[name](spark, SMALL), connection, driver.oracle_sql()[name]) == ""
+    assert difference(all_queries()[name](spark, SMALL), connection, all_sql()[name]) == ""
 
 
 def test_entry(spark):
@@ -35,9 +37,10 @@ def test_entry(spark):
 
 
 def test_every_operator_is_registered():
-    numbers = {name[:3] for name in driver.queries() if name.startswith("o")}
+    numbers = {name[:3] for name in all_queries() if name.startswith("o")}
     assert numbers == {f"o{n:02d}" for n in range(1, 38)}
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(driver.queries())
 
 
 def test_known_counts(spark):
