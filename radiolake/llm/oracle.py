@@ -63,4 +63,29 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, CAST(n
 FROM base"""
 
 
-SQL: dict[str, str] = {"op10_quality_rules": quality_sql()}
+def decontamination_sql() -> str:
+    words = (
+        "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        " 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    )
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS ws FROM documents),
+b AS (SELECT item_id, {words} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[i:i+9], ' ') AS g
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+grams AS (SELECT doc_id, i, k, array_to_string(ws[i:i+k-1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, ks WHERE len(ws) >= k)),
+occ AS (SELECT DISTINCT doc_id, i, grams.k, item_id FROM grams JOIN win ON win.k = grams.k AND win.g = grams.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY 1),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n,
+  string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM occ GROUP BY 1)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+  sha256(coalesce(its.s, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
+
+
+SQL: dict[str, str] = {
+    "op7_decontamination": decontamination_sql(),
+    "op10_quality_rules": quality_sql(),
+}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from radiolake.llm import quality_rules
+from radiolake.llm import decontamination, hmm, minhash, packing, quality_rules, sharding
 from radiolake.session import ship_package
 
 
@@ -28,6 +29,54 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return hmm.scores(table(spark, sf_dir, "documents"))
+
+
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.sharded(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hmm_scoring": op1_hmm_scoring,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sharding": op3_sharding,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_decontamination": op7_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
