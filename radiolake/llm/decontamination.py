@@ -96,8 +96,9 @@ def _hits(documents: DataFrame, bitmap: Column, single: bool) -> DataFrame:
         return F.concat(*parts)
 
     # The list is never empty; the outer form keeps Spark from adding a filter that computes it twice.
-    each = documents.select(
-        F.monotonically_increasing_id().alias("row"),
+    numbered = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    each = numbered.select(
+        "row",
         "doc_id",
         F.xxhash64(text_of()).alias("text_hash"),
         F.posexplode_outer(let(words_of(), tokens)).alias("p", "t"),
