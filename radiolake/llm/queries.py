@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolake.llm import decontamination, hmm, minhash, packing, quality_rules, sharding
+from radiolake.llm import decontamination, hmm, minhash, packing, pii, quality_rules, sharding
 from radiolake.session import ship_package
 
 
@@ -58,6 +58,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_pii": op5_pii,
     "op7_decontamination": op7_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
