@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from radiolake.llm import quality_rules
+from radiolake.llm import decontamination, minhash, packing, pii, quality_rules
 from radiolake.session import ship_package, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,17 +17,42 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the least id."""
+    ship_package(spark)
+    return minhash.deduplicate(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by their kinds."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their place in the packed rows."""
+    ship_package(spark)
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("personal_data", redacted),
+    ("packing", packed),
 ]
 
-#: Scores, signatures and tokens of the stages have no SQL form.
+#: Signatures, trees and tokens have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline_{name}")

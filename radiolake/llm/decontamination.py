@@ -27,7 +27,7 @@ def words_of(column: str = "text") -> Column:
     return alnum_words(ascii_lower(text_of(column)))
 
 
-def _pairs(words: Column) -> Column:
+def pair_tokens(words: Column) -> Column:
     """Tokens of a list of two words or more, by position."""
     return F.transform(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
@@ -46,7 +46,7 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return each.select(
         "item_id",
         F.when(F.size("w") == 1, F.array(F.xxhash64(F.col("w")[0], F.lit(_SINGLE))))
-        .otherwise(_pairs(F.col("w")))
+        .otherwise(pair_tokens(F.col("w")))
         .alias("tokens"),
         F.size("w").alias("k"),
     ).distinct()
@@ -56,7 +56,7 @@ def _slot(token: Column) -> Column:
     return F.shiftrightunsigned(token, 64 - BITMAP_BITS)
 
 
-def _bitmap(tokens: DataFrame) -> Column:
+def bitmap_of(tokens: DataFrame) -> Column:
     """A scalar subquery with the bits of all values of column `token`, as one array of longs."""
     longs = 1 << (BITMAP_BITS - 6)
     bits = tokens.select(_slot(F.col("token")).alias("s")).select(
@@ -80,14 +80,14 @@ def _in_bitmap(bitmap: Column, token: Column) -> Column:
     return held.bitwiseAND(bit) != 0
 
 
-def _hits(documents: DataFrame, bitmap: Column, single: bool) -> DataFrame:
+def token_hits(documents: DataFrame, bitmap: Column, single: bool) -> DataFrame:
     """row, doc_id, text_hash, p, t: the tokens of each document that the bitmap holds, with their
     positions, and at position -1 its number of words. One pass over the texts, one row in a few
     leaves it. Words by themselves are looked up only where an item consists of one."""
 
     def tokens(words: Column) -> Column:
         """The number of words, the token at each position, then the words, if they are wanted."""
-        parts = [F.array(F.size(words).cast("long")), _pairs(words)]
+        parts = [F.array(F.size(words).cast("long")), pair_tokens(words)]
         if single:
             parts += [
                 F.array(F.lit(None).cast("long")),
@@ -145,7 +145,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     single = wanted.filter("k = 1").limit(1).count() > 0
     every = stage(
-        _hits(documents, _bitmap(wanted.select(F.explode("tokens").alias("token"))), single), "token_hits"
+        token_hits(documents, bitmap_of(wanted.select(F.explode("tokens").alias("token"))), single), "token_hits"
     )
     counts = every.filter("p = -1").select("row", "doc_id", "text_hash", F.col("t").alias("n_words"))
     hits = every.filter("p >= 0").select("row", "p", "t")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from radiolake.llm.license_scan import PERCENT, SHINGLE, STRIDES, TEMPLATES
 from radiolake.llm.quality_rules import FENCES, MEASURES, MIN_GROUP
 
 _MEASURE_SQL = {
@@ -85,7 +86,51 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id"""
 
 
+def preference_sql() -> str:
+    return """
+WITH t AS (SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id,
+  CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side, role, text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS position
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.position, r.position) AS position,
+  c.pair_id IS NOT NULL AND r.pair_id IS NOT NULL AND c.role IS NOT DISTINCT FROM r.role
+    AND c.text IS NOT DISTINCT FROM r.text AS same
+  FROM (SELECT * FROM t WHERE side = 'chosen') c FULL JOIN (SELECT * FROM t WHERE side = 'rejected') r
+    ON c.pair_id = r.pair_id AND c.position = r.position),
+l AS (SELECT pair_id, coalesce(min(position) FILTER (NOT same), max(position) + 1) AS n FROM s GROUP BY 1)
+SELECT t.pair_id, CASE WHEN position < n THEN 'prompt' ELSE side END AS part, position, role,
+  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10) AS rendered,
+  position >= n AND coalesce(role = 'assistant', false) AS trained
+FROM t JOIN l ON t.pair_id = l.pair_id WHERE position >= n OR side = 'chosen'"""
+
+
+def license_sql() -> str:
+    words = (
+        "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        " 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    )
+    given = ", ".join(f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in TEMPLATES)
+    stride = " ".join(f"WHEN len(ws) <= {s} THEN {s}" for s in STRIDES)
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS ws FROM documents),
+t AS (SELECT license, {words} AS ws FROM (VALUES {given}) v(license, text)),
+ts AS (SELECT DISTINCT license, stride, k, array_to_string(ws[i:i+k-1], ' ') AS g FROM (
+  SELECT license, ws, least(len(ws), {SHINGLE}) AS k, CASE {stride} ELSE len(ws) END AS stride,
+    unnest(range(1, len(ws) - least(len(ws), {SHINGLE}) + 2)) AS i FROM t)),
+n AS (SELECT license, count(*) AS n FROM ts GROUP BY 1),
+ks AS (SELECT DISTINCT k FROM ts),
+grams AS (SELECT doc_id, i - 1 AS p, k, array_to_string(ws[i:i+k-1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, ks WHERE len(ws) >= k)),
+m AS (SELECT doc_id, license, p // stride AS w, g FROM grams JOIN ts USING (k, g)
+  UNION SELECT doc_id, license, p // stride - 1, g FROM grams JOIN ts USING (k, g)),
+f AS (SELECT doc_id, license FROM m JOIN n USING (license) GROUP BY doc_id, license, w, n HAVING 100 * count(*) >= {PERCENT} * n),
+u AS (SELECT doc_id, count(DISTINCT license) AS c, string_agg(DISTINCT license, ',' ORDER BY license) AS s FROM f GROUP BY 1)
+SELECT d.doc_id, coalesce(u.c, 0) AS n_licenses, coalesce(u.s, '') AS licenses FROM d LEFT JOIN u ON u.doc_id = d.doc_id"""
+
+
 SQL: dict[str, str] = {
+    "op6_license_scan": license_sql(),
     "op7_decontamination": decontamination_sql(),
+    "op9_preference_formatting": preference_sql(),
     "op10_quality_rules": quality_sql(),
 }

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolake.llm import decontamination, hmm, minhash, packing, pii, quality_rules, sharding
+from radiolake.llm import (
+    decontamination,
+    empirical_bayes,
+    hmm,
+    license_scan,
+    minhash,
+    packing,
+    pii,
+    preference,
+    quality_rules,
+    sharding,
+)
 from radiolake.session import ship_package
 
 
@@ -15,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the host; the documents have no path, so the language stands for it."""
+    ship_package(spark)
+    return empirical_bayes.quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang")
+    )
+
+
+def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return preference.format_preferences(turns, preference.neighbours(turns))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,6 +86,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"), license_scan.templates(spark))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -82,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_pii": op5_pii,
+    "op6_license_scan": op6_license_scan,
     "op7_decontamination": op7_decontamination,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op9_preference_formatting": op9_preference_formatting,
     "op10_quality_rules": op10_quality_rules,
 }
