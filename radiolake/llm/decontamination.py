@@ -13,13 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from radiolake.llm.bitmap import bitmap_of, in_bitmap
 from radiolake.llm.text import alnum_words, ascii_lower, let, text_of
 from radiolake.session import stage
 
 WINDOW = 10
-#: The bitmap has 2 ** BITMAP_BITS bits, 512 KB: its size does not follow the benchmark. More
-#: windows let more wrong tokens through it, which the joins then drop.
-BITMAP_BITS = 22
 _SINGLE = "\x00"
 
 
@@ -52,34 +50,6 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     ).distinct()
 
 
-def _slot(token: Column) -> Column:
-    return F.shiftrightunsigned(token, 64 - BITMAP_BITS)
-
-
-def bitmap_of(tokens: DataFrame) -> Column:
-    """A scalar subquery with the bits of all values of column `token`, as one array of longs."""
-    longs = 1 << (BITMAP_BITS - 6)
-    bits = tokens.select(_slot(F.col("token")).alias("s")).select(
-        F.shiftright("s", 6).alias("i"),
-        F.expr("shiftleft(1L, cast(s & 63 AS INT))").alias("bit"),
-    )
-    held = bits.groupBy("i").agg(F.bit_or("bit").alias("bits"))
-    every = tokens.sparkSession.range(longs).withColumnRenamed("id", "i")
-    full = every.join(held, "i", "left").select("i", F.coalesce("bits", F.lit(0)).alias("bits"))
-    return full.agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("i", "bits"))), lambda x: x["bits"]
-        ).alias("bitmap")
-    ).scalar()
-
-
-def _in_bitmap(bitmap: Column, token: Column) -> Column:
-    slot = _slot(token)
-    held = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
-    return held.bitwiseAND(bit) != 0
-
-
 def token_hits(documents: DataFrame, bitmap: Column, single: bool) -> DataFrame:
     """row, doc_id, text_hash, p, t: the tokens of each document that the bitmap holds, with their
     positions, and at position -1 its number of words. One pass over the texts, one row in a few
@@ -103,7 +73,7 @@ def token_hits(documents: DataFrame, bitmap: Column, single: bool) -> DataFrame:
         F.xxhash64(text_of()).alias("text_hash"),
         F.posexplode_outer(let(words_of(), tokens)).alias("p", "t"),
     )
-    return each.filter((F.col("p") == 0) | _in_bitmap(bitmap, F.col("t"))).withColumn("p", F.col("p") - 1)
+    return each.filter((F.col("p") == 0) | in_bitmap(bitmap, F.col("t"))).withColumn("p", F.col("p") - 1)
 
 
 def _occurrences(hits: DataFrame, counts: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -199,8 +169,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     hit = (
         contamination(documents, benchmark)
         .filter("n_hit > 0")
-        .select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+        .select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"))
         .distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_of()) == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text_of()) == F.col("__hash"))
     return documents.join(hit, same, "left_anti")

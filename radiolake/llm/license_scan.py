@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from radiolake.llm.decontamination import bitmap_of, pair_tokens, token_hits, words_of
+from radiolake.llm.bitmap import bitmap_of
+from radiolake.llm.decontamination import pair_tokens, token_hits, words_of
 from radiolake.session import stage
 
 SHINGLE = 5

@@ -2,18 +2,18 @@
 
 Each permutation is evaluated once per shingle and gives two signature values, its minimum and its
 maximum. 64 permutations give 128 values in 32 bands of four. Two documents of similarity 0.75
-share no band with a probability of 0.684 ** 32 = 5e-6, and agree in fewer than half of all values
-(a pair that is then not verified) with about 1e-10; larger similarities are missed less. All else
+share no band with a probability of 0.684 ** 32 = 5e-6, and agree in fewer than 70 of the values
+(a pair that is then not confirmed) with about 1e-7; larger similarities are missed less. All else
 is exact: no bucket is cut, and every link is confirmed on the full sets.
 
-Documents with equal sets are one node from the start, so copies cost a row each and no pair. In
-the buckets of the bands, two rounds choose the pairs to verify:
+Documents with equal sets are one node from the start, so copies cost a row each and no pair.
 
-1. each bucket gives the edges of a spanning forest over its confident pairs, at most one less than
-   its members, and the verified ones form components;
-2. only pairs in different components are left, and those the signatures do not exclude are verified.
+1. Each bucket of a band gives a spanning forest over the pairs its signatures do not exclude, at most
+   one edge less than it has members. The components of all these edges are clusters: no link leaves one.
+2. Each node brings its set to its cluster once. There pairs are confirmed on full sets, the most
+   alike first, and give a spanning forest of confirmed links; pairs a tree holds already need no test.
 
-Large buckets are dealt over several tasks in blocks of BLOCK nodes.
+Pairs are compared inside tasks and never become rows. Large groups are dealt over many tasks in blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radiolake.llm.bitmap import bitmap_of, in_bitmap
 from radiolake.llm.components import components
 from radiolake.llm.text import ascii_lower, space_words, text_of
 from radiolake.session import stage
@@ -35,9 +36,10 @@ SHINGLE = 5
 PERMUTATIONS, BANDS, BAND_WIDTH = 64, 32, 4
 #: A link needs 100 * shared >= PERCENT * union.
 PERCENT = 75
-#: Of 128 signature values, how many agree in a confident pair and in one worth verifying.
-CONFIDENT, POSSIBLE = 96, 64
-BLOCK = 512
+#: Of 128 signature values, how many agree at least in a pair worth confirming.
+POSSIBLE = 70
+#: Rows of a block: of a bucket's signatures, and of a cluster's sets.
+BUCKET_BLOCK, CLUSTER_BLOCK = 512, 256
 _STRIDE = 8192
 
 _seeded = np.random.default_rng(20240501)
@@ -138,143 +140,128 @@ def _pairs_of(size: int, first: np.ndarray, diagonal: bool) -> tuple[np.ndarray,
     return np.repeat(left, len(right)), np.tile(right, len(left))
 
 
-def _forest(a: np.ndarray, b: np.ndarray, score: np.ndarray, size: int) -> list[int]:
-    """Places of the pairs that a spanning forest takes, best pairs first."""
+def _possible(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a group that the signatures do not exclude, those that agree most first."""
+    n = rows.num_rows
+    values = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(n, -1)
+    sizes = rows.column("n_shingles").to_numpy()
+    i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+    a, b = _pairs_of(n, rows.column("block").to_numpy() == i, i == j)
+    low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+    near = 100 * low >= PERCENT * high
+    a, b = a[near], b[near]
+    score = np.empty(len(a), np.int16)
+    for k in range(0, len(a), 1 << 16):
+        cut = slice(k, k + (1 << 16))
+        score[cut] = (values[a[cut]] == values[b[cut]]).sum(axis=1)
+    order = np.argsort(-score, kind="stable")
+    order = order[score[order] >= POSSIBLE]
+    return a[order], b[order]
+
+
+def _forest(a: np.ndarray, b: np.ndarray, size: int, holds=None) -> list[tuple[int, int]]:
+    """Pairs that make a spanning forest of those that hold; no pair inside a tree is tried."""
     parent, taken = list(range(size)), []
-    for k in np.argsort(-score, kind="stable"):
-        x, y = int(a[k]), int(b[k])
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        while parent[y] != y:
-            parent[y] = y = parent[parent[y]]
-        if x != y:
-            parent[x] = y
-            taken.append(int(k))
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = x, y
+        while parent[p] != p:
+            parent[p] = p = parent[parent[p]]
+        while parent[q] != q:
+            parent[q] = q = parent[parent[q]]
+        if p != q and (holds is None or holds(x, y)):
+            parent[p] = q
+            taken.append((x, y))
     return taken
 
 
+def _bucket_forest(rows: pa.Table) -> list[tuple[int, int]]:
+    a, b = _possible(rows)
+    return _forest(a, b, rows.num_rows)
+
+
+def _verified_forest(rows: pa.Table) -> list[tuple[int, int]]:
+    lists = rows.column("shingles").combine_chunks()
+    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    sets = [flat[x:y] for x, y in pairwise(lists.offsets.to_numpy())]
+
+    def linked(x: int, y: int) -> bool:
+        small, large = sorted((sets[x], sets[y]), key=len)
+        place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        shared = int((large[place] == small).sum())
+        return 100 * shared >= PERCENT * (len(small) + len(large) - shared)
+
+    a, b = _possible(rows)
+    return _forest(a, b, rows.num_rows, linked)
+
+
 _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
-def _chosen(final: bool):
-    """Per bucket (rows of a key lie together) the pairs to verify."""
-
-    def of_group(rows: pa.Table) -> tuple[list[bytes], list[bytes]]:
-        n = rows.num_rows
-        nodes = rows.column("node").to_pylist()
-        values = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(n, -1)
-        i, j, band = (rows.column(c)[0].as_py() for c in ("i", "j", "band"))
-        block = rows.column("block").to_numpy()
-        label = rows.column("label").to_pylist()
-        ids = {x: k for k, x in enumerate(dict.fromkeys(label))}
-        part = np.array([ids[x] for x in label])
-        left, right = [], []
-        a, b = _pairs_of(n, block == i, i == j)
-        for k in range(0, len(a), 1 << 16):
-            x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
-            if final:
-                apart = part[x] != part[y]
-                x, y = x[apart], y[apart]
-            equal = values[x] == values[y]
-            score = equal.sum(axis=1)
-            if final:
-                # A pair is named by the first band it shares, and by no other.
-                shared = equal.reshape(len(x), BANDS, BAND_WIDTH).all(axis=2)
-                keep = (score >= POSSIBLE) & (shared.argmax(axis=1) == band)
-                x, y = x[keep], y[keep]
-            else:
-                keep = score >= CONFIDENT
-                x, y, score = x[keep], y[keep], score[keep]
-                taken = _forest(x, y, score, n)
-                x, y = x[taken], y[taken]
-            left += [nodes[k] for k in x]
-            right += [nodes[k] for k in y]
-        return left, right
+def _by_group(choose):
+    """Apply choose to each run of rows with equal key, i, j; give its pairs as nodes a < b."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.Table] = []
-
-        def flush(table: pa.Table) -> pa.RecordBatch | None:
-            if table.num_rows == 0:
-                return None
-            key = table.column("key").to_numpy()
-            i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            left, right = [], []
-            for x, y in pairwise([0, *cut.tolist(), table.num_rows]):
-                if y - x > 1:
-                    p, q = of_group(table.slice(x, y - x))
-                    left += p
-                    right += q
-            low = [min(p, q) for p, q in zip(left, right, strict=True)]
-            high = [max(p, q) for p, q in zip(left, right, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(low, pa.binary()), pa.array(high, pa.binary())], schema=_PAIR)
+    def breaks(table: pa.Table) -> np.ndarray:
+        parts = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+        return np.flatnonzero(np.any([x[1:] != x[:-1] for x in parts], axis=0)) + 1
+
+    def chosen(table: pa.Table) -> pa.RecordBatch:
+        nodes = table.column("node").to_pylist()
+        pairs = []
+        for x, y in pairwise([0, *breaks(table).tolist(), table.num_rows]):
+            if y - x > 1:
+                pairs += [sorted((nodes[x + p], nodes[x + q])) for p, q in choose(table.slice(x, y - x))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], schema=_PAIR
+        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            waiting.append(pa.Table.from_batches([batch]))
-            table = pa.concat_tables(waiting).combine_chunks()
-            key = table.column("key").to_numpy()
-            i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
-            # The last group may go on in the next batch; a group has at most two blocks.
-            whole = int(np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1])).max(initial=-1)) + 1
-            if (out := flush(table.slice(0, whole))) is not None:
-                yield out
-            waiting = [table.slice(whole)]
-        if waiting and (out := flush(waiting[0])) is not None:
-            yield out
+            table = pa.Table.from_batches([*waiting, batch]).combine_chunks()
+            # The last group may go on in the next batch; a group has two blocks at most.
+            whole = int(breaks(table).max(initial=0))
+            if whole:
+                yield chosen(table.slice(0, whole))
+            waiting = table.slice(whole).to_batches()
+        if waiting:
+            yield chosen(pa.Table.from_batches(waiting).combine_chunks())
 
     return run
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """node, key, band, members: the nodes of each bucket with two or more."""
+    """node, key, members: the nodes of each bucket with two or more."""
     width = BAND_WIDTH * 4
     keys = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("band"),
-                F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)).alias("key"),
-            )
-            for b in range(BANDS)
-        ]
+        *[F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(BANDS)]
     )
-    each = nodes.select("node", F.explode(keys).alias("b")).select("node", "b.band", "b.key")
+    each = nodes.select("node", F.explode(keys).alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     return each.join(shared, "key")
 
 
-def _to_verify(members: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs a < b of nodes."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("block", F.expr("cast(pmod(xxhash64(node), ceil(members / %d)) AS INT)" % BLOCK))
-    with_label = (
-        dealt.withColumn("label", F.col("node"))
-        if labels is None
-        else dealt.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    )
-    signed = with_label.join(nodes.select("node", "signature"), "node")
-    spread = signed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "band",
-        "block",
-        "node",
-        "label",
-        "signature",
+def _forests(grouped: DataFrame, block: int, choose) -> DataFrame:
+    """Distinct pairs that choose gives for the groups (key, members). A large group is dealt into
+    blocks of about `block` rows, and every two blocks meet in a task of their own."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    carried = [c for c in grouped.columns if c not in ("key", "members")]
+    spread = grouped.withColumn(
+        "block", F.expr(f"cast(pmod(xxhash64(node), ceil(members / {block})) AS INT)")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    together = (
+        spread.select(
+            "key",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            "block",
+            *carried,
+        )
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
     )
-    together = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return together.mapInArrow(_chosen(labels is not None), "a binary, b binary").distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - shared
-    return pairs.join(left, "a").join(right, "b").filter(100 * shared >= PERCENT * union).select("a", "b")
+    return together.mapInArrow(_by_group(choose), "a binary, b binary").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -299,25 +286,33 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             F.min("doc_id").alias("first_id"),
             F.min("text_hash").alias("text_hash"),
             F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
         ),
         "nodes",
     )
-    members = stage(_buckets(nodes), "buckets")
-    hashes = members.select("node").distinct().join(nodes, "node").select("text_hash").distinct()
+    signatures = nodes.select("node", "signature", "n_shingles")
+    in_buckets = _buckets(nodes).join(signatures, "node")
+    clusters = components(stage(_forests(in_buckets, BUCKET_BLOCK, _bucket_forest), "candidates"))
+    sizes = clusters.groupBy("label").agg(F.count("*").alias("members"))
+    clustered = stage(
+        clusters.join(sizes, "label")
+        .withColumn("key", F.xxhash64("label"))
+        .select("key", "members", "node")
+        .join(nodes, "node"),
+        "clusters",
+    )
+    wanted = clustered.select("text_hash").distinct()
+    # Most texts are in no cluster; the bitmap drops them where they are read.
     texts = (
         documents.select(F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
-        .join(hashes, "text_hash", "left_semi")
+        .filter(in_bitmap(bitmap_of(wanted.withColumnRenamed("text_hash", "token")), F.col("text_hash")))
+        .join(wanted, "text_hash", "left_semi")
         .groupBy("text_hash")
         .agg(F.first("text").alias("text"))
     )
-    sets = stage(
-        texts.select(_word_hashes(F.col("text"))).mapInArrow(_expanded, "node binary, shingles array<long>"),
-        "shingle_sets",
-    )
-
-    first = stage(_verified(_to_verify(members, nodes, None), sets), "links_1")
-    second = stage(_verified(_to_verify(members, nodes, components(first)), sets), "links_2")
-    labels = components(first.union(second))
+    sets = texts.select(_word_hashes(F.col("text"))).mapInArrow(_expanded, "node binary, shingles array<long>")
+    with_sets = clustered.select("key", "members", "node", "signature", "n_shingles").join(sets, "node")
+    labels = components(stage(_forests(with_sets, CLUSTER_BLOCK, _verified_forest), "verified"))
 
     linked = nodes.join(labels, "node").select("node", "label", "first_id")
     ids = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -340,15 +335,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def deduplicate(documents: DataFrame) -> DataFrame:
     """One document of each component, with the columns they came with; repeated rows count once."""
     verdicts = stage(near_duplicates(documents), "verdicts")
-    keys = [F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")]
-    match = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_of()) == F.col("_hash"))
+    keys = [F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")]
+    match = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text_of()) == F.col("__hash"))
     kept = verdicts.filter("kept")
-    repeated = kept.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select("_doc", "_hash")
+    repeated = kept.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select("__doc", "__hash")
     others = verdicts.filter("NOT kept").select(*keys).distinct()
     once = (
         documents.join(repeated, match, "left_semi")
-        .withColumn("_hash", F.xxhash64(text_of()))
-        .dropDuplicates(["doc_id", "_hash"])
-        .drop("_hash")
+        .withColumn("__hash", F.xxhash64(text_of()))
+        .dropDuplicates(["doc_id", "__hash"])
+        .drop("__hash")
     )
     return documents.join(others.union(repeated), match, "left_anti").union(once)

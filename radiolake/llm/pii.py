@@ -330,13 +330,13 @@ def redact(documents: DataFrame) -> DataFrame:
         personal_data(documents)
         .filter(F.size("spans") > 0)
         .groupBy("doc_id", "text_hash")  # repeated rows have equal spans
-        .agg(F.first("spans").alias("_spans"))
-        .withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
+        .agg(F.first("spans").alias("__spans"))
+        .withColumnsRenamed({"doc_id": "__doc", "text_hash": "__hash"})
     )
-    match = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_of()) == F.col("_hash"))
+    match = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text_of()) == F.col("__hash"))
     in_place = F.sort_array(
         F.transform(
-            "_spans",
+            "__spans",
             lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind")),
         )
     )
@@ -365,11 +365,11 @@ def redact(documents: DataFrame) -> DataFrame:
         ),
     )
     out = documents.join(found, match, "left").withColumn(
-        "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted)
+        "text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(redacted)
     )
     if "n_chars" in documents.columns:
         out = out.withColumn(
             "n_chars",
-            F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")),
+            F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")),
         )
     return out.select(*documents.columns)
