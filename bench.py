@@ -8,6 +8,7 @@ query runs in full (the noop sink), once to warm up and then BENCH_RUNS times; t
 from __future__ import annotations
 
 import base64
+import itertools
 import json
 import os
 import time
@@ -27,7 +28,11 @@ from radiolake.plans.tables import (
     node_directory,
     packet_history,
 )
+from radiolake.schemas import RAW_MESSAGES, conform
 from radiolake.session import local_session, scratch_dir, ship_package, stage
+from radiolake.sources.history import append_history
+from radiolake.sources.messages import read_messages
+from radiolake.streaming.ingest import start_ingest
 from radiolake_checks.records import SETTINGS
 from radiolake_checks.views import CHANNEL_KEYS, key_ring, messages_from, packets
 
@@ -65,12 +70,18 @@ def main() -> None:
     decoded = stage(decoded_messages(raw, SETTINGS, key_ring(spark)), "bench_decoded")
     rows = stage(storable(packet_rows(decoded, SETTINGS.ports))[0], "bench_rows")
     changes = stage(directory_changes(decoded, SETTINGS), "bench_changes")
+    filled, number = scratch_dir(spark, "bench_history"), itertools.count(1)
+    append_history(rows, filled, 0)
+    files = max(4, int(CPUS) // 4 * 4)
+    landing = scratch_dir(spark, "bench_landing")
+    conform(raw, RAW_MESSAGES).repartition(files).write.parquet(landing)
     prepared = time.time() - start
 
     queries = {
         "o17_decrypt_0_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 0))),
         "o17_decrypt_1_key": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 1))),
         "o17_decrypt_8_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 8))),
+        "o17_decrypt_50_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 50))),
         "o18_o32_history_from_decoded": lambda: _run(packet_history(decoded, SETTINGS)),
         "o32_first_arrival": lambda: _run(first_arrival(rows)),
         "o34_o35_directory_from_decoded": lambda: _run(node_directory(decoded, SETTINGS)),
@@ -81,6 +92,14 @@ def main() -> None:
         "load_batch_all_tables": lambda: load_batch(
             raw, SETTINGS, key_ring(spark), scratch_dir(spark, "bench_tables")
         ),
+        "second_batch_against_a_filled_history": lambda: append_history(rows, filled, next(number)),
+        "stream_four_batches": lambda: start_ingest(
+            read_messages(spark, landing, streaming=True, max_files_per_trigger=files // 4),
+            SETTINGS,
+            key_ring(spark),
+            scratch_dir(spark, "bench_stream"),
+            scratch_dir(spark, "bench_progress"),
+        ).awaitTermination(),
     }
     seconds = {}
     for name, run in queries.items():

@@ -9,7 +9,9 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,14 +87,18 @@ def default_candidates(channel: Column, keys: Column) -> Column:
     return F.filter(steps, lambda k: k.isNotNull())
 
 
-def ring_candidates(channel: Column, keys: Column) -> Column:
-    """Per ring entry: the key as it is, bound to the topic channel, bound to its own name."""
+def ring_candidates(channel: Column, keys: Column, first: int = 0, count: int | None = None) -> Column:
+    """Per ring entry: the key as it is, bound to the topic channel, bound to its own name.
+
+    `first` and `count` take a part of the ring, in its order.
+    """
 
     def steps(entry: Column) -> Column:
         key = entry["key"]
         return F.array(derive_key(F.lit(""), key), _if_named(channel, key), entry["bound_to_name"])
 
-    return F.filter(F.flatten(F.transform(keys["ring"], steps)), lambda k: k.isNotNull())
+    ring = keys["ring"] if count is None else F.slice(keys["ring"], first + 1, count)
+    return F.filter(F.flatten(F.transform(ring, steps)), lambda k: k.isNotNull())
 
 
 def candidate_keys(channel: Column, keys: Column) -> Column:
@@ -133,21 +139,52 @@ def keystream(blocks: Column, key: Column) -> Column:
     return F.when(F.length(key).isin(*_KEY_SIZES), stream)
 
 
-def xor_prefix(data: bytes, stream: bytes) -> bytes:
-    """`data` XOR the first bytes of `stream`."""
-    size = len(data)
-    mixed = int.from_bytes(data, "big") ^ int.from_bytes(stream[:size], "big")
-    return mixed.to_bytes(size, "big")
+def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary array and where each value begins; offsets count from the first byte."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), offsets.astype(np.int64)
+
+
+def _xor(data: pa.Array, row: np.ndarray, streams: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """data[row[i]] XOR the first bytes of streams[i], for all i at once: the bytes, and where each begins.
+
+    A stream shorter than its data, or NULL, gives no bytes.
+    """
+    left, at = _flat(data)
+    right, place = _flat(streams)
+    size = (at[1:] - at[:-1])[row]
+    there = streams.is_valid().to_numpy(zero_copy_only=False) & (place[1:] - place[:-1] >= size)
+    size = np.where(there, size, 0)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    inside = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
+    mixed = left[np.repeat(at[:-1][row], size) + inside] ^ right[np.repeat(place[:-1], size) + inside]
+    return mixed, begin
+
+
+def xor_lists(data: pa.Array, streams: pa.Array) -> list[list[bytes] | None]:
+    """Per row the data XOR each of its streams; NULL data or streams give None, as does empty data."""
+    counts = streams.value_lengths().fill_null(0).to_numpy()
+    row = np.repeat(np.arange(len(data)), counts)
+    mixed, begin = _xor(data, row, streams.flatten())
+    whole, bounds = mixed.tobytes(), begin.tolist()
+    parts = [whole[a:b] for a, b in zip(bounds, bounds[1:])]
+    ends = np.cumsum(counts).tolist()
+    sizes = pc.binary_length(data).to_pylist()
+    return [parts[e - c : e] if c and n else None for c, e, n in zip(counts.tolist(), ends, sizes)]
 
 
 @F.arrow_udf(T.BinaryType())
 def xor_bytes(data: pa.Array, stream: pa.Array) -> pa.Array:
-    """Binary XOR, which Spark lacks; NULL in, NULL out."""
-    mixed = [
-        None if left is None or right is None else xor_prefix(left, right)
-        for left, right in zip(data.to_pylist(), stream.to_pylist())
-    ]
-    return pa.array(mixed, pa.binary())
+    """Binary XOR with the first bytes of the stream, which Spark lacks; NULL in, NULL out."""
+    mixed, begin = _xor(data, np.arange(len(data)), stream)
+    valid = pc.and_(data.is_valid(), stream.is_valid())
+    if begin[-1] > np.iinfo(np.int32).max:
+        raise ValueError("a batch of more than 2 GB; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    flat = pa.BinaryArray.from_buffers(
+        pa.binary(), len(data), [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(mixed)]
+    )
+    return pc.if_else(valid, flat, pa.scalar(None, pa.binary()))
 
 
 def aes_ctr(data: Column, packet_id: Column, sender_id: Column, key: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from radiolake.functions.crypto import xor_prefix
+from radiolake.functions.crypto import xor_lists
 
 
 def _row(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -224,7 +224,7 @@ def decode_envelope(df: DataFrame, spec: RecordSpec) -> DataFrame:
     return parsed.withColumn("decode_error", F.col("env.error"))
 
 
-def _first_valid(record: type, candidates: Iterable[bytes | None]) -> tuple | None:
+def _first_valid(record: type, candidates: Iterable[bytes | None], unknown_port: int) -> tuple | None:
     """The first candidate that parses and carries a port, named or not."""
     for rank, blob in enumerate(candidates):
         if not blob:
@@ -233,7 +233,7 @@ def _first_valid(record: type, candidates: Iterable[bytes | None]) -> tuple | No
             data = record.FromString(blob)
         except Exception:  # noqa: BLE001 - a wrong key, go on with the next
             continue
-        if data.portnum != 0:
+        if data.portnum != unknown_port:
             return rank, data.portnum, data.payload
     return None
 
@@ -247,30 +247,27 @@ def _found_array(rows: list[tuple | None]) -> pa.Array:
     return _struct(arrays, FOUND, missing)
 
 
-def decode_data(candidates: Column, spec: RecordSpec) -> Column:
+def decode_data(candidates: Column, spec: RecordSpec, unknown_port: int = 0) -> Column:
     """array of plain candidates -> FOUND of the first valid one, NULL when none is."""
     descriptor, name = spec.descriptor, spec.data
 
     @F.arrow_udf(FOUND)
     def first_valid(blobs: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
-        return _found_array([b and _first_valid(record, b) or None for b in blobs.to_pylist()])
+        return _found_array([b and _first_valid(record, b, unknown_port) or None for b in blobs.to_pylist()])
 
     return _once(first_valid)(candidates)
 
 
-def open_data(sealed: Column, streams: Column, spec: RecordSpec) -> Column:
+def open_data(sealed: Column, streams: Column, spec: RecordSpec, unknown_port: int = 0) -> Column:
     """Ciphertext and an array of key streams -> FOUND; XOR and parse stop at the first valid one."""
     descriptor, name = spec.descriptor, spec.data
 
     @F.arrow_udf(FOUND)
     def first_opened(data: pa.Array, keys: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
-        rows = [
-            _first_valid(record, (s and xor_prefix(d, s) for s in k)) if d and k else None
-            for d, k in zip(data.to_pylist(), keys.to_pylist())
-        ]
-        return _found_array(rows)
+        plain = xor_lists(data, keys)
+        return _found_array([p and _first_valid(record, p, unknown_port) or None for p in plain])
 
     return _once(first_opened)(sealed, streams)
 

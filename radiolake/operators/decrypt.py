@@ -17,22 +17,33 @@ from radiolake.operators.decode import RecordSpec, open_data
 from radiolake.operators.filters import is_encrypted
 
 
-def _opened(blocks: Column, keys: Column, spec: RecordSpec) -> Column:
+#: Ring entries tried in one step; a packet carries three key streams of its own size for each.
+RING_STEP = 4
+
+
+def _opened(blocks: Column, keys: Column, spec: RecordSpec, unknown_port: int) -> Column:
     """The first key that opens the packet; without blocks nothing is computed or sent to Python."""
     wanted = blocks.isNotNull()
     streams = F.when(wanted, F.transform(keys, lambda k: keystream(blocks, k)))
-    return open_data(F.when(wanted, F.col("env.packet.encrypted")), streams, spec)
+    return open_data(F.when(wanted, F.col("env.packet.encrypted")), streams, spec, unknown_port)
 
 
 def decrypt_packets(
-    df: DataFrame, spec: RecordSpec, key_ring: DataFrame, unknown_port: int = 0
+    df: DataFrame,
+    spec: RecordSpec,
+    key_ring: DataFrame,
+    unknown_port: int = 0,
+    ring_size: int | None = None,
 ) -> DataFrame:
     """Replace `env.packet.decoded` where a key opens the packet; leave every other row as it is.
 
-    Narrow: no shuffle, and the same for a stream. The default key is tried on its own first, so
-    the ring's key streams are only computed for packets it did not open. The one row of the ring
-    is asked for its size here; an empty ring needs no second step.
+    Narrow: no shuffle, and the same for a stream. The default key is tried on its own first, then
+    the ring in steps of RING_STEP entries, each only for packets that are still closed; so what a
+    packet sends to Python does not grow with the ring. The number of steps is part of the plan:
+    give `ring_size`, at least the number of entries, or the one row of the ring is asked for it.
     """
+    if ring_size is None:
+        ring_size = key_ring.select(F.size("ring")).first()[0]
     keys, channel, packet = F.col("__keys"), F.col("__channel"), F.col("env.packet")
     blocks = F.when(
         is_encrypted(packet, unknown_port),
@@ -46,12 +57,13 @@ def decrypt_packets(
         }
     )
     opened = prepared.withColumn(
-        "__found", _opened(F.col("__blocks"), default_candidates(channel, keys), spec)
+        "__found", _opened(F.col("__blocks"), default_candidates(channel, keys), spec, unknown_port)
     )
-    if key_ring.select(F.size("ring")).first()[0] > 0:
+    for first in range(0, ring_size, RING_STEP):
         rest = F.when(F.col("__found").isNull(), F.col("__blocks"))
+        candidates = ring_candidates(channel, keys, first, RING_STEP)
         opened = opened.withColumn(
-            "__by_ring", _opened(rest, ring_candidates(channel, keys), spec)
+            "__by_ring", _opened(rest, candidates, spec, unknown_port)
         ).withColumn("__found", F.coalesce("__found", "__by_ring"))
     found = F.col("__found")
     data = F.struct(found["portnum"].alias("portnum"), found["payload"].alias("payload"))

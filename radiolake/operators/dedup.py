@@ -10,25 +10,11 @@ from pyspark.sql import functions as F
 
 from radiolake.schemas import PACKET_KEY
 
-# A hash set of this many 8-byte values stays well under 100 MB per executor.
-MAX_BROADCAST_KEYS = 2_000_000
-
-
-# Holds 0 for a whole key and the row's own number otherwise; see _spread.
-_SPREAD = "__spread"
-
 
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add a third part to the partitioning: rows without a whole key would all hash alike."""
-    if _SPREAD in df.columns:
-        return df
-    return df.withColumn(_SPREAD, F.when(_any_null(keys), F.col("seq")).otherwise(F.lit(0)))
-
-
 def keyed_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
     """Rows whose key is whole."""
     return df.filter(~_any_null(keys))
@@ -39,9 +25,9 @@ def keyless_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
     return df.filter(_any_null(keys))
 
 
-def _first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    window = Window.partitionBy(*keys, _SPREAD).orderBy(*order)
-    ranked = _spread(df, keys).withColumn("__rank", F.row_number().over(window))
+def _first(keyed: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ranked = keyed.withColumn("__rank", F.row_number().over(window))
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
 
@@ -52,51 +38,31 @@ def first_arrival(
 ) -> DataFrame:
     """Keep the first row per key; a NULL key part equals nothing, so such rows all stay.
 
-    One pass, one exchange. The rank filter runs before the exchange too (WindowGroupLimit), so a
-    key that holds a third of all rows leaves one row per input partition, and rows without a
-    whole key spread evenly.
+    One exchange. The rank filter runs before it too (WindowGroupLimit), so a key that holds a third
+    of all rows leaves one row per input partition. Rows without a whole key take no part in it and
+    stay where they are; the frame is read for both parts, so stage what is costly to compute.
     """
-    return _first(df, keys, order).drop(_SPREAD)
+    return _first(keyed_rows(df, keys), keys, order).unionByName(keyless_rows(df, keys))
 
 
-def new_only(
-    batch: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str] = PACKET_KEY,
-    batch_rows: int | None = None,
-    candidates: DataFrame | None = None,
-) -> DataFrame:
+def new_only(batch: DataFrame, stored: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
     """Drop rows whose key is stored already; rows with a NULL key part match nothing and all stay.
 
-    History grows without end, a batch does not. When the caller knows that the batch is small,
-    its key hashes are broadcast and the history is thinned to possible matches while it is
-    scanned, without a shuffle; the exact comparison then meets few rows. A batch of unknown or
-    large size is compared by a plain shuffled anti join. `candidates`, read for the hashes, may be
-    any frame that has at least the keys of the batch and is cheaper to read.
+    `stored` may be any frame with the key columns. Spark chooses the join from real sizes.
     """
-    stored = keyed_rows(history, keys).select(*keys)
-    if batch_rows is not None and batch_rows <= MAX_BROADCAST_KEYS:
-        key_hash = F.xxhash64(*keys).alias("__hash")
-        wanted = keyed_rows(batch if candidates is None else candidates, keys).select(key_hash)
-        stored = (
-            stored.withColumn("__hash", key_hash)
-            .join(F.broadcast(wanted), "__hash", "left_semi")
-            .drop("__hash")
-        )
-    # Always 0, as for every whole key; computed, because a literal would be folded out of the join.
-    stored = stored.withColumn(_SPREAD, F.xxhash64(*keys).bitwiseAND(F.lit(0)))
-    return _spread(batch, keys).join(stored, [*keys, _SPREAD], "left_anti").drop(_SPREAD)
+    known = keyed_rows(stored, keys).select(*keys)
+    return keyed_rows(batch, keys).join(known, list(keys), "left_anti").unionByName(
+        keyless_rows(batch, keys)
+    )
 
 
 def first_new(
-    batch: DataFrame, history: DataFrame, batch_rows: int | None = None
+    batch: DataFrame, stored: DataFrame, order: Sequence[str] = ("timestamp", "seq")
 ) -> DataFrame:
-    """first_arrival, then new_only, on packet keys: the batch is read and exchanged once for both.
-
-    With a known small batch its key columns are read a second time; persist or stage it.
-    """
-    once = _first(batch, PACKET_KEY, ("timestamp", "seq"))
-    return new_only(once, history, batch_rows=batch_rows, candidates=batch)
+    """first_arrival, then new_only, on packet keys: keyed rows are exchanged once for both."""
+    once = _first(keyed_rows(batch), PACKET_KEY, order)
+    known = keyed_rows(stored).select(*PACKET_KEY)
+    return once.join(known, list(PACKET_KEY), "left_anti").unionByName(keyless_rows(batch))
 
 
 def first_arrival_stream(
@@ -108,8 +74,8 @@ def first_arrival_stream(
     """Endless dedup held in Spark's own state: one small entry per key, cost per batch only.
 
     Rows with a NULL key part bypass the state. Across micro-batches the first arrival wins; which
-    of several copies inside one micro-batch stays is up to Spark, so use the history sink where
-    that matters. `within` bounds the state: a key is then unique within that time only.
+    of several copies inside one micro-batch stays is up to Spark; where that matters use
+    radiolake.streaming.ingest.start_first_arrival. `within` bounds the state: a key is then unique within that time only.
     """
     keyed = keyed_rows(df, keys)
     if within is None:

@@ -99,5 +99,10 @@ def storable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def storable_changes(changes: DataFrame) -> DataFrame:
-    """Node changes that the node table can hold."""
-    return changes.filter(f"NOT ({_has_nul(_NODE_TEXT_COLUMNS)})")
+    """Node changes that the node table can hold; refused_nodes has the others."""
+    return changes.filter(f"NOT ({node_text_has_nul()})")
+
+
+def node_text_has_nul(names: tuple[str, ...] = _NODE_TEXT_COLUMNS) -> str:
+    """SQL condition: a text of a node holds a NUL."""
+    return _has_nul(names)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from radiolake.functions.scalars import (
     empty_to_null,
@@ -16,7 +17,7 @@ from radiolake.functions.scalars import (
     mac_text,
 )
 from radiolake.operators.decode import RecordSpec, decode_user
-from radiolake.operators.filters import has_gateway, is_nodeinfo
+from radiolake.operators.filters import has_gateway, is_nodeinfo, node_text_has_nul
 from radiolake.schemas import CHANGE_ORDER, NODE_INFO, NODE_VALUES
 
 _CHANGE_COLUMNS = (*NODE_INFO.fieldNames(), "seq", "step")
@@ -58,6 +59,25 @@ def gateway_changes(df: DataFrame) -> DataFrame:
     )
 
 
+# A moment as one decimal of 38 digits: seq shifted to be positive, and microseconds shifted by about
+# 31,000 years, which leaves room up to the year 140,000.
+_SEQ_RANGE, _SEQ_SHIFT = "18446744073709551616BD", "9223372036854775808BD"
+_TIME_SHIFT = "1000000000000000000BD"
+
+
+_NTZ_START = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _micros(df: DataFrame, name: str) -> tuple[str, str]:
+    """SQL for microseconds of a time column, and for the time back from {micros}, for either type."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return (
+            f"timestampdiff(MICROSECOND, {_NTZ_START}, {name})",
+            f"timestampadd(MICROSECOND, {{micros}}, {_NTZ_START})",
+        )
+    return f"unix_micros({name})", "timestamp_micros({micros})"
+
+
 def gateway_edges(df: DataFrame) -> DataFrame:
     """The first and the last of the gateway changes per gateway id: they fold to the same result.
 
@@ -66,12 +86,23 @@ def gateway_edges(df: DataFrame) -> DataFrame:
     """
     named = df.filter(F.length("env.gateway_id") > 0)
     gateway = F.col("env.gateway_id").alias("gateway_id")
-    moment = F.struct("ingest_ts", "seq")
+    # A moment as one number: a hash table can hold that, a struct it cannot.
+    micros, time = _micros(df, "ingest_ts")
+    moment = F.expr(
+        f"CAST((CAST({micros} AS DECIMAL(20, 0)) + {_TIME_SHIFT}) * {_SEQ_RANGE}"
+        f" + (CAST(seq AS DECIMAL(20, 0)) + {_SEQ_SHIFT}) AS DECIMAL(38, 0))"
+    )
     edges = (
         named.groupBy(gateway)
         .agg(F.min(moment).alias("first"), F.max(moment).alias("last"))
         .select("gateway_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("edge"))
-        .select("gateway_id", "edge.*")
+        .select(
+            "gateway_id",
+            F.expr(
+                time.format(micros=f"CAST(edge div {_SEQ_RANGE} - {_TIME_SHIFT} AS BIGINT)")
+            ).alias("ingest_ts"),
+            F.expr(f"CAST(edge % {_SEQ_RANGE} - {_SEQ_SHIFT} AS BIGINT)").alias("seq"),
+        )
     )
     known = edges.withColumn("node_id", hex_to_node_id(F.col("gateway_id"))).filter(
         F.col("node_id").isNotNull()
@@ -81,8 +112,8 @@ def gateway_edges(df: DataFrame) -> DataFrame:
     )
 
 
-def nodeinfo_changes(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFrame:
-    """One change per readable node description whose model and role have names."""
+def _described(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFrame:
+    """Node descriptions with their parsed `user`, the names of its numbers and `reject_reason`."""
     described = df.filter(is_nodeinfo(F.col("env.packet"), names.nodeinfo_port))
     slim = described.select(
         "ingest_ts",
@@ -91,17 +122,47 @@ def nodeinfo_changes(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataF
         F.col("env.channel_id").alias("channel_id"),
         F.col("env.packet.decoded.payload").alias("payload"),
     )
-    users = decode_user(slim, spec, F.col("payload")).filter(F.col("user").isNotNull())
-    return user_changes(users, names)
+    return named_users(decode_user(slim, spec, F.col("payload")), names)
 
 
-def user_changes(df: DataFrame, names: NodeNames) -> DataFrame:
-    """Change rows from frames that hold node_id, channel_id and a parsed `user`."""
+def named_users(df: DataFrame, names: NodeNames) -> DataFrame:
+    """Add `__hw`, `__role` and `reject_reason`, NULL for a user that the directory can hold."""
     user = F.col("user")
     named = enum_name(df, user["hw_model"], names.hw_models, "__hw")
     named = enum_name(named, user["role"], names.roles, "__role")
+    texts = ("user.id", "user.long_name", "user.short_name", "channel_id")
+    reason = (
+        F.when(user.isNull(), "node description does not parse")
+        .when(F.col("__hw").isNull(), "hw_model has no name")
+        .when(F.col("__role").isNull(), "role has no name")
+        .when(F.expr(node_text_has_nul(texts)), "text holds a NUL")
+    )
+    return named.withColumn("reject_reason", reason)
+
+
+def nodeinfo_changes(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFrame:
+    """One change per readable node description whose model and role have names."""
+    return _user_rows(_described(df, spec, names))
+
+
+def refused_nodes(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFrame:
+    """Node descriptions that change no node, with the reason: timestamp, seq, node_id, channel_id,
+    payload, reject_reason."""
+    refused = _described(df, spec, names).filter(F.col("reject_reason").isNotNull())
+    return refused.select(
+        F.col("ingest_ts").alias("timestamp"), "seq", "node_id", "channel_id", "payload", "reject_reason"
+    )
+
+
+def user_changes(df: DataFrame, names: NodeNames) -> DataFrame:
+    """Change rows from frames that hold node_id, channel_id and a parsed `user`."""
+    return _user_rows(named_users(df, names))
+
+
+def _user_rows(named: DataFrame) -> DataFrame:
+    user = F.col("user")
     return _change(
-        named.filter(F.col("__hw").isNotNull() & F.col("__role").isNotNull()),
+        named.filter(F.col("__hw").isNotNull() & F.col("__role").isNotNull() & user.isNotNull()),
         NODEINFO_STEP,
         {
             "node_id": F.col("node_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -26,13 +27,19 @@ from radiolake.operators.nodes import (
     gateway_edges,
     node_changes,
     nodeinfo_changes,
+    refused_nodes,
 )
 from radiolake.operators.packets import packet_rows
 from radiolake.schemas import NODE_INFO, PACKET_HISTORY, conform
 from radiolake.session import staged
-from radiolake.sources.directory import write_nodes
-from radiolake.sources.history import append_history, append_rejected, last_batch
-from radiolake.sources.storage import finished_versions
+from radiolake.sources.directory import drop_snapshot, write_nodes
+from radiolake.sources.history import (
+    append_history,
+    append_refused_nodes,
+    append_rejected,
+    drop_batch,
+)
+from radiolake.sources.ledger import Ledger
 
 
 @dataclass(frozen=True)
@@ -92,24 +99,37 @@ def node_directory(decoded: DataFrame, settings: Settings) -> DataFrame:
     return conform(fold_nodes(directory_changes(decoded, settings)), NODE_INFO)
 
 
-def write_tables(
-    decoded: DataFrame, settings: Settings, out: str, batch_id: int, batch_rows: int | None = None
-) -> None:
-    """Bring history, rejected rows and directory up to date with one batch of decoded messages.
+def write_tables(decoded: DataFrame, settings: Settings, out: str, writer: str, batch: int) -> bool:
+    """Bring all tables up to date with one batch of decoded messages of a writer.
 
-    The frame is read several times; the caller persists or stages it.
+    `batch` counts within the writer. A batch that is done already changes nothing and gives False,
+    so a replay is safe, whatever other writers have stored since. What a writer left that failed
+    before its batch was done is removed first. The frame is read several times; the caller
+    persists or stages it. Writers take turns.
     """
+    spark = decoded.sparkSession
+    ledger = Ledger(spark, out)
+    claim = ledger.claim(writer, batch)
+    if claim.done:
+        return False
+    if claim.left_over is not None:
+        _drop(spark, out, claim.left_over)
+        if claim.left_over != claim.number:
+            ledger.drop(claim.left_over)
     kept, rejected = storable(packet_rows(decoded, settings.ports))
-    append_history(kept, f"{out}/packet_history", batch_id, batch_rows)
-    append_rejected(rejected, f"{out}/rejected", batch_id)
-    write_nodes(directory_changes(decoded, settings), f"{out}/node_info", batch_id)
+    append_history(kept, f"{out}/packet_history", claim.number)
+    append_rejected(rejected, f"{out}/rejected", claim.number)
+    refused = refused_nodes(decoded, settings.spec, settings.names)
+    append_refused_nodes(refused, f"{out}/rejected_nodes", claim.number)
+    write_nodes(directory_changes(decoded, settings), f"{out}/node_info", claim.number)
+    ledger.finish(claim.number)
+    return True
 
 
-def next_batch(spark: SparkSession, out: str) -> int:
-    """A batch number that no table under `out` has used."""
-    versions = finished_versions(spark, f"{out}/node_info")
-    used = (last_batch(spark, f"{out}/{t}") for t in ("packet_history", "rejected"))
-    return max(*used, *versions, -1) + 1
+def _drop(spark: SparkSession, out: str, number: int) -> None:
+    for table in ("packet_history", "rejected", "rejected_nodes"):
+        drop_batch(spark, f"{out}/{table}", number)
+    drop_snapshot(spark, f"{out}/node_info", number)
 
 
 def load_batch(
@@ -117,13 +137,12 @@ def load_batch(
     settings: Settings,
     key_ring: DataFrame,
     out: str,
-    batch_id: int | None = None,
-) -> None:
-    """Batch job, e.g. a backfill: parse and decrypt once into a staged table, then write all three.
+    job: str | None = None,
+) -> bool:
+    """Batch job, e.g. a backfill: parse and decrypt once into a staged table, then write all tables.
 
-    Give the number of a failed batch to run that batch again; otherwise the next one is taken.
+    Name the job, and running it again after a failure goes on with its batch; once it is done,
+    running it again changes nothing and gives False. Without a name each call is a job of its own.
     """
-    if batch_id is None:
-        batch_id = next_batch(messages.sparkSession, out)
     with staged(decoded_messages(messages, settings, key_ring), "decoded") as decoded:
-        write_tables(decoded, settings, out, batch_id)
+        return write_tables(decoded, settings, out, f"job {job or uuid.uuid4().hex}", 0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -37,13 +38,21 @@ def local_session(cores: str = "8", app: str = "radiolake", **settings: str) ->
     return builder.getOrCreate()
 
 
+def check_local(master: str) -> None:
+    """Raise unless driver and executors are one process."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share; master is {master}")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the session's shared checkpoint folder.
 
-    Only a session without that setting (tests, one machine) gets a local folder of its own.
+    Without that setting a session on one machine gets a local folder of its own. On a cluster each
+    executor would write to its own disk and a later read would miss files, so that is refused.
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None)
     if not base:
+        check_local(spark.sparkContext.master)
         application = spark.sparkContext.applicationId
         if application not in _own_scratch:
             _own_scratch[application] = tempfile.mkdtemp(prefix="radiolake-")

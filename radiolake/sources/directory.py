@@ -12,10 +12,6 @@ from radiolake.operators.nodes import merge_nodes
 from radiolake.schemas import NODE_INFO, conform
 from radiolake.sources.storage import delete, finished_versions
 
-# Readers that opened an older snapshot get this many batches to finish.
-KEEP_VERSIONS = 5
-
-
 def _snapshot(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
     if not versions:
         return spark.createDataFrame([], NODE_INFO)
@@ -26,13 +22,28 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     return _snapshot(spark, path, finished_versions(spark, path))
 
 
-def write_nodes(changes: DataFrame, path: str, batch_id: int, keep: int = KEEP_VERSIONS) -> None:
-    """Merge a batch of changes into the directory. `keep` of at least 2 allows a replay."""
+def write_nodes(changes: DataFrame, path: str, batch_id: int) -> None:
+    """Merge a batch of changes into the directory. A batch older than the last one is refused."""
     spark = changes.sparkSession
-    earlier = [v for v in finished_versions(spark, path) if v < batch_id]
+    versions = finished_versions(spark, path)
+    if versions and versions[-1] > batch_id:
+        raise ValueError(f"batch {batch_id} comes after snapshot {versions[-1]} is stored in {path}")
+    earlier = [v for v in versions if v < batch_id]
     merged = merge_nodes(_snapshot(spark, path, earlier), changes)
     conform(merged, NODE_INFO).write.mode("overwrite").option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
     ).parquet(f"{path}/v={batch_id}")
-    for version in earlier[: -max(keep - 1, 1)]:
+
+
+def drop_snapshot(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove what a failed writer left under a number."""
+    delete(spark, f"{path}/v={batch_id}")
+
+
+def drop_old_snapshots(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove all but the newest snapshots, when asked: readers may still hold an older one.
+
+    Keep 2 at least, so that the last batch can run again.
+    """
+    for version in finished_versions(spark, path)[: -max(keep, 2)]:
         delete(spark, f"{path}/v={version}")

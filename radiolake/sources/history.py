@@ -1,7 +1,8 @@
 """The packet history: append-only, each key once, safe to replay batch by batch.
 
-Layout: ingest_date=D/batch=N. A batch replaces its own partitions, and looks for stored keys in
-earlier batches only, so running it again gives the same rows.
+Layout: batch=N/ingest_date=D, the date in UTC. A batch replaces its own folder as a whole and is
+checked against the keys of earlier batches, which lie in a table of their own, so running the last
+batch again gives the same rows. A batch older than the last one stored is refused.
 """
 
 from __future__ import annotations
@@ -10,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from radiolake.operators.dedup import first_arrival, first_new
-from radiolake.schemas import PACKET_HISTORY, conform
-from radiolake.sources.storage import exists
+from radiolake.operators.dedup import first_new
+from radiolake.schemas import PACKET_HISTORY, PACKET_KEY, conform
+from radiolake.sources.keys import drop_keys, earlier_keys, write_keys
+from radiolake.sources.storage import delete, exists, read_text, replace_text
 
 _PLACE = T.StructType(
-    [T.StructField("ingest_date", T.DateType()), T.StructField("batch", T.LongType())]
+    [T.StructField("batch", T.LongType()), T.StructField("ingest_date", T.DateType())]
 )
 _REASON = T.StructType([T.StructField("reject_reason", T.StringType())])
+_UTC_DATE = "date_from_unix_date(CAST(floor(unix_micros(timestamp) / 86400000000) AS INT))"
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -28,21 +31,26 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _replace_batch(df: DataFrame, path: str, schema: T.StructType, batch_id: int) -> None:
-    """Write the partitions of one batch over whatever an earlier attempt left.
+    """Write one batch over whatever an earlier attempt left, on whatever dates.
 
-    Rows arrive spread by key, every task holding every date. The rebalance gathers each date into
-    files of the advised size, and splits a date too large for one, so a backfill of many dates
-    does not end in dates x tasks small files.
+    Rows arrive spread by key, every task holding every date. They are gathered by date, and a date
+    too large for one file is split, so a backfill of many dates does not end in dates x tasks
+    small files.
     """
-    placed = conform(df, schema).select(
-        "*", F.to_date("timestamp").alias("ingest_date"), F.lit(batch_id).cast("bigint").alias("batch")
-    )
-    if placed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        # Without adaptive execution a large date would be one task.
+    spark = df.sparkSession
+    last = last_batch(spark, path)
+    if batch_id < last:
+        raise ValueError(f"batch {batch_id} comes after batch {last} is stored in {path}")
+    placed = conform(df, schema).withColumn("ingest_date", F.expr(_UTC_DATE))
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         placed = placed.hint("rebalance", "ingest_date")
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "ingest_date", "batch"
-    ).parquet(path)
+    else:
+        # A date is dealt over a few tasks, as nothing can split it later.
+        salt = F.pmod(F.xxhash64("timestamp"), F.lit(8))
+        placed = placed.repartition("ingest_date", salt)
+    placed.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch={batch_id}")
+    if batch_id > last:
+        replace_text(spark, f"{path}/_last", str(batch_id))
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -50,33 +58,32 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_batch(spark: SparkSession, path: str) -> int:
-    """The highest batch with stored rows, finished or not; -1 when there is none."""
-    found = _stored(spark, path, PACKET_HISTORY).agg(F.max("batch")).first()[0]
-    return -1 if found is None else found
-
-
-def append_history(
-    rows: DataFrame,
-    path: str,
-    batch_id: int,
-    batch_rows: int | None = None,
-    lookback_days: int | None = None,
-) -> None:
-    """Store the rows whose key is new. `rows` are storable packet rows with `seq`.
-
-    `batch_rows`, when known, bounds the batch and lets the key check avoid shuffling the history.
-    `lookback_days` limits the check to partitions that many days before the batch: a key is then
-    unique within that time only, which is not what the full check promises.
+    """The highest batch written, finished or not; -1 when there is none. Reads one small file."""
+    return int(read_text(spark, f"{path}/_last") or -1)
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove what a failed writer left under a number."""
+    delete(spark, f"{path}/batch={batch_id}")
+    drop_keys(spark, _keys(path), batch_id)
+
+
+def _keys(path: str) -> str:
+    return f"{path}_keys"
+
+
+def append_history(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Store the rows whose key is new. `rows` are storable packet rows with `seq`; they are read for
+    their buckets, their keyed and their keyless part, so stage or persist them.
+
+    Cost follows the batch and the keys in its buckets; the stored packets are not read.
     """
     spark = rows.sparkSession
-    if not exists(spark, path):
-        _replace_batch(first_arrival(rows), path, PACKET_HISTORY, batch_id)
-        return
-    earlier = _stored(spark, path, PACKET_HISTORY).filter(F.col("batch") < batch_id)
-    if lookback_days is not None:
-        oldest = rows.agg(F.date_sub(F.min(F.to_date("timestamp")), lookback_days)).first()[0]
-        earlier = earlier.filter(F.col("ingest_date") >= F.lit(oldest))
-    _replace_batch(first_new(rows, earlier, batch_rows), path, PACKET_HISTORY, batch_id)
+    fresh = first_new(rows, earlier_keys(rows, _keys(path), batch_id))
+    _replace_batch(fresh, path, PACKET_HISTORY, batch_id)
+    keys = T.StructType([PACKET_HISTORY[k] for k in PACKET_KEY])
+    stored = spark.read.schema(keys).parquet(f"{path}/batch={batch_id}")
+    write_keys(stored, _keys(path), batch_id)
 
 
 def append_rejected(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -87,6 +94,15 @@ def append_rejected(rows: DataFrame, path: str, batch_id: int) -> None:
     _replace_batch(rows, path, _REJECTED, batch_id)
 
 
+def append_refused_nodes(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Keep node descriptions that the directory cannot hold, with the reason."""
+    _replace_batch(rows, path, _REFUSED_NODES, batch_id)
+
+
+def read_refused_nodes(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, _REFUSED_NODES).drop("ingest_date", "batch")
+
+
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path, _REJECTED).drop("ingest_date", "batch")
 
@@ -106,3 +122,13 @@ _REJECTED = T.StructType(
     ]
     + _REASON.fields
 )
+
+_REFUSED_NODES = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("node_id", T.LongType()),
+        T.StructField("channel_id", T.StringType()),
+        T.StructField("payload", T.BinaryType()),
+    ]
+    + _REASON.fields
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,17 +26,25 @@ def read_messages(
     return reader.format(file_format).load(path)
 
 
-def messages_from_kafka(df: DataFrame) -> DataFrame:
+def messages_from_kafka(df: DataFrame, kafka_topics: Sequence[str] = ()) -> DataFrame:
     """Rows of Spark's Kafka source, whose key carries the message topic, as raw messages.
 
-    `seq` is unique because an offset is unique within its partition; it follows arrival order
-    within a partition, and `ingest_ts` orders across partitions.
+    An offset is unique within a partition of a Kafka topic. `kafka_topics` lists the topics that
+    are read; a topic's place in it is a part of `seq`, which is so unique over all of them, and a
+    row of any other topic is an error. With one topic the list may be left out. `seq` follows
+    arrival order within a partition, and `ingest_ts` orders across partitions. A row without a
+    key gets the topic '', so that a filter drops it by a value and not by a NULL.
     """
-    unique = F.shiftleft(F.col("offset"), _PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    number = F.shiftleft(F.col("offset"), _PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    if kafka_topics:
+        listed = F.array(*[F.lit(t) for t in kafka_topics])
+        place = F.array_position(listed, F.col("topic")) - 1
+        known = F.when(place < 0, F.raise_error(F.concat(F.lit("topic not listed: "), "topic"))).otherwise(place)
+        number = number * F.lit(len(kafka_topics)) + known
     rows = df.select(
-        F.col("key").cast("string").alias("topic"),
+        F.coalesce(F.col("key").cast("string"), F.lit("")).alias("topic"),
         F.col("value").alias("payload"),
         F.col("timestamp").alias("ingest_ts"),
-        unique.alias("seq"),
+        number.alias("seq"),
     )
     return conform(rows, RAW_MESSAGES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -29,3 +30,42 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder that this application wrote."""
     files, folder = _open(spark, path)
     files.delete(folder, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None where there is none."""
+    files, file = _open(spark, path)
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; False, and nothing changed, if it is there already."""
+    files, file = _open(spark, path)
+    if files.exists(file):
+        return False
+    try:
+        stream = files.create(file, False)
+    except Py4JJavaError:
+        if files.exists(file):  # another writer was faster
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    files, file = _open(spark, path)
+    stream = files.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

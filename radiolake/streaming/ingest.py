@@ -1,29 +1,65 @@
-"""One streaming query that keeps both tables up to date."""
+"""Streaming queries that keep tables up to date."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from radiolake.plans.tables import Settings, decoded_messages, next_batch, write_tables
-from radiolake.sources.storage import exists
+from radiolake.operators.dedup import first_new
+from radiolake.plans.tables import Settings, decoded_messages, write_tables
+from radiolake.sources.keys import earlier_keys, write_keys
+from radiolake.sources.storage import read_text, write_new
+
+
+def stream_writer(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which this checkpoint's batches are counted, fixed when the checkpoint is new."""
+    place = f"{checkpoint}/writer"
+    write_new(spark, place, f"stream {uuid.uuid4().hex}")
+    return read_text(spark, place)
+
+
+def _run(df: DataFrame, write, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Each micro-batch is kept while it is written. The persisted batch is a shortcut only, a lost
+    part is computed again from the source."""
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(held, batch_id)
+        finally:
+            held.unpersist()
+
+    writer = df.writeStream.foreachBatch(kept).option("checkpointLocation", f"{checkpoint}/query")
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.trigger(**trigger).start()
 
 
-def _first_batch(spark: SparkSession, checkpoint: str, out: str) -> int:
-    """The table batch of this checkpoint's batch 0, fixed when the checkpoint is new.
+def start_first_arrival(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: Sequence[str] = ("timestamp", "seq"),
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Endless dedup on packet keys with the first arrival kept, also inside a micro-batch.
 
-    A stream counts its batches from 0. Tables that a batch job or another stream has filled
-    already must not see those numbers again: a batch overwrites its own partitions.
+    Rows are appended to `path`, a folder per micro-batch, replaced on a replay. Each micro-batch is
+    cut to the first row per key before its one exchange, then checked against the stored keys of
+    its buckets, so a hot key costs a row per task. One stream writes to a path.
     """
-    place = f"{checkpoint}/first_batch"
-    if not exists(spark, f"{place}/_SUCCESS"):
-        number = spark.range(1).select(F.lit(next_batch(spark, out)).cast("bigint").alias("number"))
-        number.write.mode("overwrite").option(
-            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
-        ).parquet(place)
-    return spark.read.schema("number bigint").parquet(place).first()[0]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keys = f"{path}_keys"
+        fresh = first_new(batch, earlier_keys(batch, keys, batch_id), order)
+        folder = f"{path}/batch={batch_id}"
+        fresh.write.mode("overwrite").parquet(folder)
+        write_keys(batch.sparkSession.read.schema(df.schema).parquet(folder), keys, batch_id)
+
+    return _run(df, write, checkpoint, interval)
 
 
 def start_ingest(
@@ -36,21 +72,12 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the stream; without an interval it takes what is there and ends.
 
-    Each micro-batch is parsed and decrypted once, kept while three tables are written, and may be
-    replayed after a failure: every write replaces its own batch. The persisted batch is a shortcut
-    only, a lost part is computed again from the source.
+    Each micro-batch is parsed and decrypted once, kept while the tables are written, and may be
+    replayed after a failure: the ledger of the tables knows whether it is done.
     """
-
-    first = _first_batch(messages.sparkSession, checkpoint, out)
+    writer = stream_writer(messages.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_tables(kept, settings, out, first + batch_id, batch_rows=kept.count())
-        finally:
-            kept.unpersist()
+        write_tables(batch, settings, out, writer, batch_id)
 
-    writer = decoded_messages(messages, settings, key_ring).writeStream.foreachBatch(write)
-    writer = writer.option("checkpointLocation", f"{checkpoint}/query")
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return _run(decoded_messages(messages, settings, key_ring), write, checkpoint, interval)

@@ -37,14 +37,21 @@ def _node_id(text: str) -> str:
 _REASON = """CASE WHEN port IS NOT NULL AND portnum_name IS NULL THEN 'portnum has no name'
     WHEN rx_time > 2147483647 THEN 'rx_time out of range' END"""
 
-# The 29 columns; what a node description's bytes are is left out, see o13.
+# A node description's payload and a stored message are shown by the fields they parse to.
+_USER_SHOWN = """CASE WHEN bad_user THEN '' ELSE concat_ws('|', user_id, long_name, short_name, hw_model, role,
+    is_licensed, mac_hex) END"""
+_MESSAGE_SHOWN = f"""concat_ws('|', gateway_id, channel_id, from_node_id, to_node_id, mesh_packet_id, rssi,
+    {', '.join(PACKET_FIELDS)}, cipher <> 'plain')"""
+
+# The 29 columns.
 _ROWS = f"""{_HEARD}, rows_ AS (
   SELECT seq, ingest_ts AS "timestamp", topic, from_node_id, to_node_id, port, port AS portnum,
     {_PORT_NAME} AS portnum_name, gateway_id, channel_id, mesh_packet_id, rssi, snr,
-    CASE WHEN port = 4 THEN NULL WHEN failed OR cipher = 'lost' THEN 0 ELSE strlen(text) END AS payload_length,
-    CASE WHEN port = 4 THEN NULL WHEN failed OR cipher = 'lost' THEN '' ELSE hex(text) END AS raw_payload,
+    CASE WHEN port = 4 THEN 0 WHEN failed OR cipher = 'lost' THEN 0 ELSE strlen(text) END AS payload_length,
+    CASE WHEN port = 4 THEN {_USER_SHOWN} WHEN failed OR cipher = 'lost' THEN '' ELSE hex(text) END AS raw_payload,
     NOT failed AS processed_successfully, {', '.join(PACKET_FIELDS)},
-    {_KIND} AS message_type, CASE WHEN failed THEN '0A05' END AS raw_service_envelope,
+    {_KIND} AS message_type,
+    CASE WHEN failed THEN '0A05' ELSE {_MESSAGE_SHOWN} END AS raw_service_envelope,
     CASE WHEN failed THEN 'Parsing error: ' END AS parsing_error
   FROM heard), judged AS (SELECT *, {_REASON} AS reject_reason FROM rows_)"""
 
@@ -126,6 +133,10 @@ _CANDIDATES = ", ".join(
     ]
 )
 
+# Ciphertexts of the golden vectors, FIXTURES.md section 5.
+_GOLDEN_RAW = "A3A2399282716F39A1DD9A095BC7FD85EA119EF6AC5379AF3A70A40F4D1B0EC14E6E2309499B918A"
+_GOLDEN_BOUND = "D06F25C6A5945D2E0DED14D41BE662CC4FDB6AF8CFAAA8D9F6835540BE60B8FC7AAF101144A05BFA"
+
 _SHOWN = "seq, topic, mesh_packet_id, gateway_id, from_node_id, portnum"
 
 _NEW = f"""{_HEARD}, history AS (SELECT * FROM heard WHERE ingest_ts < TIMESTAMP '2024-01-16')
@@ -137,7 +148,9 @@ def all_sql() -> dict[str, str]:
     return {
         "o01_read_messages": _MESSAGES.format(seq="seq"),
         "o01_read_messages_stream": _MESSAGES.format(seq="seq"),
-        "o01_messages_from_kafka": _MESSAGES.format(seq="(seq // 4) * 65536 + seq % 4"),
+        "o01_messages_from_kafka": _MESSAGES.format(
+            seq="((seq // 8) * 65536 + seq // 2 % 4) * 2 + seq % 2"
+        ),
         "o02_append_history": _HISTORY,
         "o02_append_rejected": f"""{_ROWS} SELECT "timestamp", topic, from_node_id, portnum,
             gateway_id, mesh_packet_id, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
@@ -162,7 +175,8 @@ def all_sql() -> dict[str, str]:
             rssi, snr, {', '.join(PACKET_FIELDS)} FROM p""",
         "o12_decode_data": f"""{_P} SELECT seq, CASE WHEN portnum <> 0 THEN 3 END AS rank,
             CASE WHEN portnum <> 0 THEN portnum END AS portnum,
-            CASE WHEN portnum NOT IN (0, 4) THEN text END AS text FROM p""",
+            CASE WHEN portnum NOT IN (0, 4) THEN text END AS text,
+            CASE WHEN portnum <> 0 THEN true END AS same_payload FROM p""",
         "o13_decode_user": f"""{_P} SELECT seq, CASE WHEN NOT bad_user THEN user_id END AS user_id,
             CASE WHEN NOT bad_user THEN long_name END AS long_name,
             CASE WHEN NOT bad_user THEN short_name END AS short_name,
@@ -176,11 +190,13 @@ def all_sql() -> dict[str, str]:
             CASE WHEN source <> '' THEN upper(sha256(encode(text) || encode(source)))
                  ELSE hex(encode(text)) END AS channel_key,
             hex(encode(text)) AS plain_key, repeat('0', 64) AS bad_key FROM documents""",
-        "o16_aes_ctr": """SELECT doc_id, text, strlen(text) AS sealed_bytes, true AS differs
-            FROM documents""",
+        "o16_aes_ctr": f"""SELECT doc_id, text, strlen(text) AS sealed_bytes, true AS differs,
+            '{_GOLDEN_RAW}' AS golden_raw, '{_GOLDEN_BOUND}' AS golden_bound FROM documents""",
         "o17_decrypt_packets": f"""{_P} SELECT seq,
             CASE WHEN cipher = 'lost' THEN 0 ELSE portnum END AS portnum,
-            CASE WHEN cipher = 'lost' THEN '' WHEN failed OR portnum = 4 THEN NULL ELSE text END AS text
+            CASE WHEN cipher = 'lost' THEN '' WHEN failed OR portnum = 4 THEN NULL ELSE text END AS text,
+            CASE WHEN portnum = 4 AND cipher <> 'lost' AND NOT bad_user THEN long_name END AS long_name,
+            CASE WHEN portnum = 4 AND cipher <> 'lost' AND NOT bad_user THEN hw_model END AS hw_model
             FROM p""",
         "o18_packet_rows": f"""{_ROWS}
             SELECT {_COLUMNS.replace(', parsing_error', '').replace(' processed_successfully,', '')}
@@ -213,11 +229,18 @@ def all_sql() -> dict[str, str]:
         "o32_first_arrival": f"""{_HEARD} SELECT {_SHOWN} FROM heard
             QUALIFY {_FIRST.format(order='ingest_ts, seq')}""",
         "o33_first_arrival_stream": f"""{_HEARD}
-            SELECT DISTINCT mesh_packet_id, gateway_id,
-              CASE WHEN mesh_packet_id IS NULL THEN seq END AS seq FROM heard""",
+            SELECT mesh_packet_id, gateway_id, seq FROM heard QUALIFY {_FIRST.format(order='seq')}""",
+        "o32_keyless_repeats": f"""{_HEARD} SELECT CASE WHEN mesh_packet_id IS NULL THEN 0 ELSE seq END AS seq,
+            {_SHOWN.removeprefix('seq, ')} FROM heard QUALIFY {_FIRST.format(order='ingest_ts, seq')}""",
+        "o02_mixed_writers": _HISTORY,
+        "o03_mixed_writers": _NODES,
+        "o10_rejected_nodes": f"""{_HEARD} SELECT ingest_ts AS "timestamp", seq, from_node_id AS node_id, channel_id,
+            CASE WHEN bad_user THEN 'node description does not parse'
+              WHEN {_HW_NAME} IS NULL THEN 'hw_model has no name' ELSE 'role has no name' END AS reject_reason
+            FROM heard WHERE port = 4 AND (bad_user OR {_HW_NAME} IS NULL OR {_ROLE_NAME} IS NULL)""",
         "o33_ingest_history": _HISTORY,
         "o34_node_changes": f"""{_CHANGES}
-            SELECT seq, step, node_id, hex_id, long_name, last_updated FROM changes""",
+            SELECT * FROM changes""",
         "o35_fold_nodes": _NODES,
         "o35_gateway_edges": f"{_HEARD}, changes AS ({_GATEWAYS}) {_FOLD}",
         "o36_merge_nodes": _NODES,

@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 from radiolake.functions import crypto, scalars
 from radiolake.operators import decode, decrypt, dedup, filters, nodes
 from radiolake.operators.packets import packet_rows, status_columns
-from radiolake.plans.tables import decoded_messages, node_directory, packet_history
+from radiolake.plans.tables import (
+    decoded_messages,
+    load_batch,
+    node_directory,
+    packet_history,
+    write_tables,
+)
 from radiolake.schemas import PACKET_HISTORY, RAW_MESSAGES, conform, ensure_table
 from radiolake.session import scratch_dir, ship_package, stage
 from radiolake.sources.directory import read_nodes, write_nodes
+from radiolake.sources.keys import compact_keys, earlier_keys, write_keys
 from radiolake.sources.history import append_history, append_rejected, read_history, read_rejected
 from radiolake.sources.messages import messages_from_kafka, read_messages
-from radiolake.streaming.ingest import start_ingest
+from radiolake.streaming.ingest import start_first_arrival, start_ingest, stream_writer
 from radiolake_checks.records import HW_MODELS, PORTS, SETTINGS, SPEC
 from radiolake_checks.views import (
     PACKET_FIELDS,
@@ -30,10 +37,18 @@ from radiolake_checks.views import (
     with_data,
 )
 
+def _golden() -> tuple[Column, Column, Column]:
+    """Plaintext, packet id and sender of the golden vectors, FIXTURES.md section 5."""
+    plain = F.unhex(F.lit(bytes(range(40)).hex()))
+    return plain, F.lit(0x12345678).cast("bigint"), F.lit(0xDEADBEEF).cast("bigint")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 BATCHES = 3
+# Files of a batch; a stream that takes so many at a time meets the batches in order.
+FILES = 2
 
 
 def query(function: Query) -> Query:
@@ -73,19 +88,35 @@ def _hex(value: Column, name: str) -> Column:
 
 
 def _show_history(df: DataFrame) -> DataFrame:
-    """History rows in types every engine compares alike."""
-    describes = F.col("portnum") == 4
+    """History rows in types every engine compares alike.
+
+    SQL cannot build the bytes of a record. What a node description's payload holds is shown by its
+    fields, and a stored message by the fields of the packet it parses to.
+    """
+    described = F.coalesce(F.col("portnum") == 4, F.lit(False))
+    df = decode.decode_user(df, SPEC, F.when(described, F.col("raw_payload")))
+    df = decode.decode_envelope(df.withColumn("payload", F.col("raw_service_envelope")), SPEC)
+    failed = ~F.col("processed_successfully")
+    user, packet = F.col("user"), F.col("env.packet")
     changed = {
         "timestamp": _local_time("timestamp"),
         "snr": F.col("snr").cast("double").alias("snr"),
         "payload_length": F.when(
-            F.coalesce(describes, F.lit(False)), F.lit(None).cast("bigint")
-        ).otherwise(F.col("payload_length").cast("bigint")).alias("payload_length"),
-        "raw_payload": F.when(~F.coalesce(describes, F.lit(False)), F.hex("raw_payload")).alias(
-            "raw_payload"
-        ),
-        "raw_service_envelope": F.when(
-            ~F.col("processed_successfully"), F.hex("raw_service_envelope")
+            described, F.col("payload_length") - F.length("raw_payload")
+        ).otherwise(F.col("payload_length").cast("bigint")).cast("bigint").alias("payload_length"),
+        "raw_payload": F.when(
+            described,
+            F.concat_ws(
+                "|", user["id"], user["long_name"], user["short_name"], user["hw_model"], user["role"],
+                user["is_licensed"], F.hex(user["macaddr"]),
+            ),
+        ).otherwise(F.hex("raw_payload")).alias("raw_payload"),
+        "raw_service_envelope": F.when(failed, F.hex("raw_service_envelope")).otherwise(
+            F.concat_ws(
+                "|", "env.gateway_id", "env.channel_id", packet["from"], packet["to"], packet["id"],
+                packet["rx_rssi"], *[packet[f] for f in PACKET_FIELDS],
+                F.coalesce(F.length(packet["encrypted"]) > 0, F.lit(False)),
+            )
         ).alias("raw_service_envelope"),
         "parsing_error": F.substring("parsing_error", 1, 15).alias("parsing_error"),
     }
@@ -114,7 +145,7 @@ def _store(df: DataFrame, name: str) -> str:
     """Raw messages as files, one append per batch, so that a stream sees them in order."""
     path = scratch_dir(df.sparkSession, name)
     for part in _parts(df):
-        conform(part, RAW_MESSAGES).coalesce(1).write.mode("append").parquet(path)
+        conform(part, RAW_MESSAGES).repartition(FILES).write.mode("append").parquet(path)
     return path
 
 
@@ -139,7 +170,7 @@ def o01_read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def o01_read_messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _store(_text_messages(spark, sf_dir), "messages")
     out = scratch_dir(spark, "copied")
-    stream = read_messages(spark, source, streaming=True, max_files_per_trigger=1)
+    stream = read_messages(spark, source, streaming=True, max_files_per_trigger=FILES)
     writer = stream.writeStream.option("checkpointLocation", scratch_dir(spark, "progress"))
     writer.trigger(availableNow=True).start(out).awaitTermination()
     return _show_messages(spark.read.schema(RAW_MESSAGES).parquet(out))
@@ -150,12 +181,12 @@ def o01_messages_from_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packets(spark, sf_dir).select(
         F.col("topic").cast("binary").alias("key"),
         F.col("text").cast("binary").alias("value"),
-        F.lit("raw").alias("topic"),
-        (F.col("seq") % 4).cast("int").alias("partition"),
-        F.floor(F.col("seq") / 4).alias("offset"),
+        F.when(F.col("seq") % 2 == 0, "even").otherwise("odd").alias("topic"),
+        F.floor(F.col("seq") / 2 % 4).cast("int").alias("partition"),
+        F.floor(F.col("seq") / 8).alias("offset"),
         F.col("ingest_ts").cast("timestamp").alias("timestamp"),
     )
-    return _show_messages(messages_from_kafka(rows))
+    return _show_messages(messages_from_kafka(rows, ("even", "odd")))
 
 
 @query
@@ -163,7 +194,7 @@ def o02_append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "history")
     kept, _ = filters.storable(_rows(spark, sf_dir))
     for number, part in enumerate(_parts(kept)):
-        append_history(part, out, number, batch_rows=part.count())
+        append_history(part, out, number)
     return _show_history(read_history(spark, out))
 
 
@@ -251,6 +282,12 @@ def o10_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("seq", "portnum", "rx_time", "reject_reason")
 
 
+@query
+def o10_rejected_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refused = nodes.refused_nodes(_decoded(spark, sf_dir), SPEC, SETTINGS.names)
+    return refused.select(_local_time("timestamp"), "seq", "node_id", "channel_id", "reject_reason")
+
+
 # --- decode ---
 
 
@@ -278,8 +315,11 @@ def o12_decode_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = with_data(packets(spark, sf_dir))
     wrong = [F.unhex(F.lit("0A05")), F.lit(None).cast("binary"), F.lit("").cast("binary")]
     found = df.withColumn("found", decode.decode_data(F.array(*wrong, "data"), SPEC))
+    same = F.col("found.payload") == F.col("content")
     text = F.when(F.col("found.portnum") != 4, F.col("found.payload").cast("string"))
-    return found.select("seq", "found.rank", "found.portnum", text.alias("text"))
+    return found.select(
+        "seq", "found.rank", "found.portnum", text.alias("text"), same.alias("same_payload")
+    )
 
 
 @query
@@ -330,6 +370,8 @@ def o16_aes_ctr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("opened").cast("string").alias("text"),
         F.length("sealed").cast("bigint").alias("sealed_bytes"),
         (F.col("sealed") != F.col("plain")).alias("differs"),
+        _hex(crypto.aes_ctr(*_golden(), default), "golden_raw"),
+        _hex(crypto.aes_ctr(*_golden(), crypto.derive_key(F.lit("LongFast"), default)), "golden_bound"),
     )
 
 
@@ -339,7 +381,16 @@ def o17_decrypt_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = decrypt.decrypt_packets(parsed, SPEC, key_ring(spark))
     data = F.col("env.packet.decoded")
     text = F.when(data["portnum"] != 4, data["payload"].cast("string"))
-    return opened.select("seq", data["portnum"].alias("portnum"), text.alias("text"))
+    described = opened.withColumn("content", F.when(data["portnum"] == 4, data["payload"]))
+    described = decode.decode_user(described, SPEC, F.col("content"))
+    user = F.col("user")
+    return described.select(
+        "seq",
+        data["portnum"].alias("portnum"),
+        text.alias("text"),
+        user["long_name"].alias("long_name"),
+        user["hw_model"].alias("hw_model"),
+    )
 
 
 # --- projections ---
@@ -478,19 +529,28 @@ def o32_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_packets(dedup.first_arrival(_heard(spark, sf_dir), order=_HEARD_ORDER))
 
 
+@query
+def o32_keyless_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a whole key stay, however much they repeat: here all of them have one seq."""
+    df = _heard(spark, sf_dir)
+    keyless = F.col("mesh_packet_id").isNull()
+    return _show_packets(
+        dedup.first_arrival(
+            df.withColumn("seq", F.when(keyless, F.lit(0)).otherwise(F.col("seq"))), order=_HEARD_ORDER
+        )
+    )
+
+
 @query
 def o33_first_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys kept by the endless form; rows without a whole key keep their own number too."""
+    """Which copy the endless form keeps, also of several in one micro-batch."""
     source, out = scratch_dir(spark, "heard"), scratch_dir(spark, "once")
     df = _heard(spark, sf_dir).select("seq", "mesh_packet_id", "gateway_id")
     for part in _parts(df):
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    writer = dedup.first_arrival_stream(stream).writeStream.trigger(availableNow=True)
-    writer.option("checkpointLocation", scratch_dir(spark, "progress")).start(out).awaitTermination()
-    number = F.when(F.col("mesh_packet_id").isNull(), F.col("seq")).alias("seq")
-    stored = spark.read.schema(df.schema).parquet(out)
-    return stored.select("mesh_packet_id", "gateway_id", number)
+        part.repartition(FILES).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(source)
+    start_first_arrival(stream, out, scratch_dir(spark, "progress"), order=("seq",)).awaitTermination()
+    return spark.read.schema(df.schema).parquet(out).select(*df.columns)
 
 
 @query
@@ -503,9 +563,38 @@ def o36_ingest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_nodes(read_nodes(spark, f"{_ingest(spark, sf_dir)}/node_info"))
 
 
+def _mixed(spark: SparkSession, sf_dir: str) -> str:
+    """A stream, a batch job, the same stream again; then the last batch of each once more."""
+    source, out, progress = (scratch_dir(spark, n) for n in ("messages", "tables", "progress"))
+    first, second, third = _parts(messages(spark, sf_dir))
+
+    def stream(part: DataFrame) -> None:
+        conform(part, RAW_MESSAGES).repartition(FILES).write.mode("append").parquet(source)
+        read = read_messages(spark, source, streaming=True, max_files_per_trigger=FILES)
+        start_ingest(read, SETTINGS, key_ring(spark), out, progress).awaitTermination()
+
+    stream(first)
+    load_batch(second, SETTINGS, key_ring(spark), out, job="middle")
+    stream(third)
+    load_batch(second, SETTINGS, key_ring(spark), out, job="middle")
+    decoded = stage(decoded_messages(third, SETTINGS, key_ring(spark)), "again")
+    write_tables(decoded, SETTINGS, out, stream_writer(spark, progress), 1)
+    return out
+
+
+@query
+def o02_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show_history(read_history(spark, f"{_mixed(spark, sf_dir)}/packet_history"))
+
+
+@query
+def o03_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show_nodes(read_nodes(spark, f"{_mixed(spark, sf_dir)}/node_info"))
+
+
 def _ingest(spark: SparkSession, sf_dir: str) -> str:
     source, out = _store(messages(spark, sf_dir), "messages"), scratch_dir(spark, "tables")
-    stream = read_messages(spark, source, streaming=True, max_files_per_trigger=1)
+    stream = read_messages(spark, source, streaming=True, max_files_per_trigger=FILES)
     start_ingest(
         stream, SETTINGS, key_ring(spark), out, scratch_dir(spark, "progress")
     ).awaitTermination()
@@ -515,7 +604,7 @@ def _ingest(spark: SparkSession, sf_dir: str) -> str:
 @query
 def o34_node_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _show_nodes(_changes(spark, sf_dir))
-    return df.select("seq", "step", "node_id", "hex_id", "long_name", "last_updated")
+    return df
 
 
 @query
@@ -552,7 +641,12 @@ def o37_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def o37_new_only_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
     history, batch = _halves(spark, sf_dir)
-    return _show_packets(dedup.new_only(batch, history, batch_rows=batch.count()))
+    """Against a table of keys, of which only the buckets of the batch are read."""
+    keys = scratch_dir(spark, "keys")
+    write_keys(history, keys, 0)
+    compact_keys(spark, keys)
+    batch = stage(batch, "batch")
+    return _show_packets(dedup.new_only(batch, earlier_keys(batch, keys, 1)))
 
 
 # --- both tables, from binary messages ---

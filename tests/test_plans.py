@@ -11,7 +11,11 @@ from radiolake.functions.crypto import make_key_ring
 from radiolake.operators import dedup, nodes
 from radiolake.plans.tables import decoded_messages, node_directory, packet_history
 from radiolake.schemas import RAW_MESSAGES
-from radiolake.session import scratch_dir, stage
+from radiolake.operators.filters import storable
+from radiolake.operators.packets import packet_rows
+from radiolake.session import check_local, scratch_dir, stage
+from radiolake.sources.history import append_history
+from radiolake.sources.keys import earlier_keys
 from radiolake.sources.messages import read_messages
 from radiolake_checks.records import SETTINGS
 
@@ -44,7 +48,9 @@ def test_filters_reach_the_scan_and_decoding_is_narrow(spark, stored):
 
 def test_each_record_is_parsed_once_per_table(spark, stored):
     whole = decoded_messages(stored, SETTINGS, make_key_ring(spark))
-    assert plan(packet_history(whole, SETTINGS)).count("parse_envelope") == 1
+    text = plan(packet_history(stage(whole, "whole"), SETTINGS))
+    assert "parse_envelope" not in text
+    assert plan(packet_rows(whole, SETTINGS.ports)).count("parse_envelope") == 1
 
 
 def test_dedup_has_one_exchange_and_cuts_hot_keys_before_it(decoded):
@@ -75,7 +81,7 @@ def test_keyless_rows_spread_evenly(spark):
         F.timestamp_seconds("id").alias("timestamp"),
     )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
+    try:  # they stay in the partitions they came in
         sizes = dedup.first_arrival(df).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -95,19 +101,23 @@ def test_gateway_part_reads_three_columns(decoded):
     assert read == "ingest_ts:timestamp,seq:bigint,env:struct<gateway_id:string>"
 
 
-def test_small_batch_does_not_shuffle_the_history(spark):
-    keys = "mesh_packet_id bigint, gateway_id string, topic string, seq bigint"
-    path = scratch_dir(spark, "history")
-    spark.createDataFrame([(1, "a", "t", 1)], keys).write.parquet(path)
-    history = spark.read.schema(keys).parquet(path)
-    batch = spark.createDataFrame([(1, "a", "t", 2)], keys)
-    text = plan(dedup.new_only(batch, history, batch_rows=1))
-    assert "BroadcastHashJoin" in text and "LeftSemi" in text
-    assert "ReadSchema: struct<mesh_packet_id:bigint,gateway_id:string>" in text
+def test_gateway_part_combines_in_a_hash_table(decoded):
+    text = plan(nodes.gateway_edges(decoded))
+    assert "HashAggregate" in text and "Sort" not in text[text.index("Exchange") :]
+
+
+def test_key_check_reads_no_history(spark, decoded):
+    """A second batch meets the key table and nothing that the first one stored."""
+    out = scratch_dir(spark, "history")
+    kept, _ = storable(packet_rows(decoded, SETTINGS.ports))
+    append_history(kept, out, 0)
+    text = plan(dedup.first_new(kept, earlier_keys(kept, f"{out}_keys", 1)))
+    places = re.findall(r"Location: \w+(?: \[|\(1 paths\)\[)(.*?)\]", text)
+    assert places and not any(f"{out}/" in p or p.endswith(out) for p in places)
+    assert "LeftAnti" in text and "WindowGroupLimit" in text
 
 
-@pytest.mark.parametrize("bound", [1, None])
-def test_dedup_and_history_check_share_one_exchange(spark, bound):
+def test_dedup_and_key_check_share_one_exchange(spark):
     schema = "mesh_packet_id bigint, gateway_id string, topic string, seq bigint, timestamp timestamp"
     path = scratch_dir(spark, "history")
     spark.range(3).selectExpr(
@@ -116,15 +126,28 @@ def test_dedup_and_history_check_share_one_exchange(spark, bound):
     history = spark.read.schema(schema).parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = dedup.first_new(history, history, bound)
+        df = dedup.first_new(history, history)
         text = plan(df)
-        exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)
-        assert len(exchanges) == 2 and all("__spread" in e for e in exchanges)
+        assert len(re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)) == 2
         assert "WindowGroupLimit" in text and "LeftAnti" in text
         assert df.count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_ring_goes_to_python_in_steps(spark, stored):
+    long_ring = make_key_ring(spark, [(f"n{i}", "AQ==") for i in range(9)])
+    text = plan(decoded_messages(stored, SETTINGS, long_ring))
+    assert text.count("ArrowEvalPython") == 2 + 3
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    for master in ("local", "local[4]", "local[*]"):
+        check_local(master)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            check_local(master)
+
+
 def test_input_schema_is_never_inferred(stored):
     assert stored.schema.fieldNames() == RAW_MESSAGES.fieldNames()

@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 
 from radiolake.functions.crypto import make_key_ring
 from radiolake.operators import dedup, nodes
+from radiolake.operators.filters import storable
+from radiolake.operators.packets import packet_rows
 from radiolake.plans.tables import (
     decoded_messages,
     directory_changes,
     load_batch,
-    next_batch,
     node_directory,
     packet_history,
     write_tables,
 )
 from radiolake.schemas import NODE_INFO, NODE_VALUES, PACKET_HISTORY, RAW_MESSAGES, conform, ensure_table
 from radiolake.session import scratch_dir, stage
-from radiolake.sources.directory import read_nodes
-from radiolake.sources.history import read_history, read_rejected
+from radiolake.sources.directory import drop_old_snapshots, read_nodes, write_nodes
+from radiolake.sources.history import append_history, read_history, read_rejected
+from radiolake.sources.keys import compact_keys, earlier_keys, write_keys
+from radiolake.sources.ledger import Ledger
 from radiolake.sources.messages import messages_from_kafka, read_messages
 from radiolake.sources.storage import finished_versions
-from radiolake.streaming.ingest import start_ingest
+from radiolake.streaming.ingest import start_first_arrival, start_ingest
 from radiolake_checks.records import SETTINGS
 
 COUNT = 240
@@ -101,43 +104,103 @@ def test_batch_job(spark, sample, ring):
     assert read_nodes(spark, f"{out}/node_info").columns == NODE_INFO.fieldNames()
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_batches_in_turn_and_again(spark, sample, decoded, bounded):
+def test_batches_in_turn_and_again(spark, sample, decoded):
     """Four batches, the last two run twice as after a failure: the tables do not change."""
     out = scratch_dir(spark, "turns")
     for batch in (0, 1, 2, 1, 2, 3, 3):
         part = decoded.filter(F.floor(F.col("seq") / (COUNT // 4)) == batch)
-        write_tables(part, SETTINGS, out, batch, batch_rows=part.count() if bounded else None)
+        write_tables(part, SETTINGS, out, "writer", batch)
     check_history(read_history(spark, f"{out}/packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
 
 
-def test_old_snapshots_are_dropped(spark, decoded):
-    out = scratch_dir(spark, "versions")
+def test_a_failed_batch_goes_before_the_next_writer(spark, sample, decoded):
+    """The first writer fails after its history is written; another writer comes; the first one again."""
+    out = scratch_dir(spark, "failed")
+    half = F.col("seq") < COUNT // 2
+    first, second = decoded.filter(half), decoded.filter(~half)
+    claim = Ledger(spark, out).claim("a", 0)
+    kept, _ = storable(packet_rows(first, SETTINGS.ports))
+    append_history(kept, f"{out}/packet_history", claim.number)
+    write_tables(second, SETTINGS, out, "b", 0)
+    assert read_history(spark, f"{out}/packet_history").filter(F.col("mesh_packet_id").isNull()).count() < COUNT
+    assert write_tables(first, SETTINGS, out, "a", 0)
+    assert not write_tables(first, SETTINGS, out, "a", 0)
+    once = scratch_dir(spark, "once")
+    write_tables(decoded, SETTINGS, once, "c", 0)
+    keys = ("mesh_packet_id", "gateway_id")
+    stored, wanted = (read_history(spark, f"{p}/packet_history").select(*keys) for p in (out, once))
+    assert stored.count() == wanted.count()
+    assert stored.exceptAll(wanted).count() == 0
+
+
+def test_numbers_are_claimed_once(spark):
+    ledger = Ledger(spark, scratch_dir(spark, "ledger"))
+    assert ledger.last() == -1
+    a = ledger.claim("a", 0)
+    assert (a.number, a.done, a.left_over) == (0, False, None)
+    assert ledger.claim("a", 0).left_over == 0
+    ledger.finish(0)
+    assert ledger.claim("a", 0).done
+    assert ledger.claim("b", 0).number == 1
+    later = ledger.claim("a", 1)
+    assert (later.number, later.left_over) == (2, 1)
+    ledger.drop(1)
+    ledger.finish(2)
+    assert ledger.claim("b", 0).number == 3
+
+
+def test_older_batches_are_refused(spark, decoded):
+    out = scratch_dir(spark, "older")
+    kept, _ = storable(packet_rows(decoded, SETTINGS.ports))
     changes = directory_changes(decoded, SETTINGS)
-    from radiolake.sources.directory import write_nodes
+    append_history(kept, f"{out}/h", 1)
+    write_nodes(changes, f"{out}/n", 1)
+    with pytest.raises(ValueError, match="comes after"):
+        append_history(kept, f"{out}/h", 0)
+    with pytest.raises(ValueError, match="comes after"):
+        write_nodes(changes, f"{out}/n", 0)
+
 
-    for batch in range(5):
-        write_nodes(changes, out, batch, keep=2)
-    assert finished_versions(spark, out) == [3, 4]
+def test_a_rerun_replaces_all_dates_of_its_batch(spark, decoded):
+    out = scratch_dir(spark, "rerun")
+    kept, _ = storable(packet_rows(decoded.filter("seq < 20"), SETTINGS.ports))
+    other_day = kept.withColumn("timestamp", F.expr("timestamp + INTERVAL 3 DAYS"))
+    append_history(kept, out, 0)
+    count = read_history(spark, out).count()
+    append_history(other_day, out, 0)
+    assert read_history(spark, out).count() == count
 
 
-def test_stream_after_a_batch_job_and_across_a_restart(spark, sample, ring):
+def test_old_snapshots_are_dropped_when_asked(spark, decoded):
+    out = scratch_dir(spark, "versions")
+    changes = directory_changes(decoded, SETTINGS)
+    for batch in range(4):
+        write_nodes(changes, out, batch)
+    assert finished_versions(spark, out) == [0, 1, 2, 3]
+    drop_old_snapshots(spark, out, keep=2)
+    assert finished_versions(spark, out) == [2, 3]
+
+
+def test_stream_batch_job_and_the_stream_again(spark, sample, ring):
     source, out = scratch_dir(spark, "incoming"), scratch_dir(spark, "tables")
     progress = scratch_dir(spark, "progress")
     place = F.floor(F.col("seq") / (COUNT // 5))
-    load_batch(sample[1].filter(place == 0), SETTINGS, ring, out)
-    for pieces in ((1, 2), (3, 4)):
+
+    def stream(*pieces):
         for piece in pieces:
             part = conform(sample[1].filter(place == piece), RAW_MESSAGES)
             part.coalesce(1).write.mode("append").parquet(source)
-        stream = read_messages(spark, source, streaming=True, max_files_per_trigger=1)
-        query = start_ingest(stream, SETTINGS, ring, out, progress)
-        query.awaitTermination()
+        read = read_messages(spark, source, streaming=True, max_files_per_trigger=1)
+        start_ingest(read, SETTINGS, ring, out, progress).awaitTermination()
+
+    stream(0, 1)
+    assert load_batch(sample[1].filter(place == 2), SETTINGS, ring, out, job="middle")
+    stream(3, 4)
+    assert not load_batch(sample[1].filter(place == 2), SETTINGS, ring, out, job="middle")
     check_history(read_history(spark, f"{out}/packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
     assert finished_versions(spark, f"{out}/node_info") == [0, 1, 2, 3, 4]
-    assert next_batch(spark, out) == 5
 
 
 def test_directory_held_in_state(spark, sample, decoded):
@@ -191,34 +254,39 @@ def test_bounded_endless_dedup(spark):
     assert len(stored) == 3 and {r.seq for r in stored} >= {2, 3}
 
 
-@pytest.mark.parametrize("bound", [None, 10, 10**9])
-def test_new_only(spark, bound):
+def test_new_only(spark):
     schema = "mesh_packet_id bigint, gateway_id string, seq bigint"
     history = spark.createDataFrame([(1, "a", 0), (None, "", 1), (3, None, 2), (0, "", 3)], schema)
     batch = spark.createDataFrame(
         [(1, "a", 4), (1, "b", 5), (None, "", 6), (3, None, 7), (0, "", 8), (2, "a", 9)], schema
     )
-    left = dedup.new_only(batch, history, batch_rows=bound)
-    assert sorted(r.seq for r in left.collect()) == [5, 6, 7, 9]
-
+    keys = scratch_dir(spark, "keys")
+    write_keys(history.limit(1), keys, 0)
+    write_keys(history, keys, 1)
+    for _ in range(2):
+        for stored in (history, earlier_keys(batch, keys, 2)):
+            left = dedup.new_only(batch, stored)
+            assert sorted(r.seq for r in left.collect()) == [5, 6, 7, 9]
+        assert earlier_keys(batch, keys, 0).count() == 0
+        compact_keys(spark, keys)
 
-def test_lookback_limits_the_key_check(spark, raw, ring):
-    from datetime import timedelta
 
-    from fx import TOPIC, envelope
+def test_keyless_rows_stay_when_they_repeat(spark):
+    schema = "mesh_packet_id bigint, gateway_id string, seq bigint, timestamp timestamp"
+    rows = [(None, "", 7, START)] * 3 + [(1, "a", 8, START), (1, "a", 9, START)]
+    once = dedup.first_arrival(spark.createDataFrame(rows, schema))
+    assert sorted(r.seq for r in once.collect()) == [7, 7, 7, 8]
 
-    from radiolake.operators.filters import storable
-    from radiolake.operators.packets import packet_rows
-    from radiolake.sources.history import append_history
 
-    first = raw([(TOPIC, envelope(id=5))])
-    rows, _ = storable(packet_rows(decoded_messages(first, SETTINGS, ring), SETTINGS.ports))
-    later = rows.withColumn("timestamp", F.col("timestamp") + F.lit(timedelta(days=10)))
-    for days, count in ((None, 1), (20, 1), (2, 2)):
-        out = scratch_dir(spark, "lookback")
-        append_history(rows, out, 0, 1, days)
-        append_history(later, out, 1, 1, days)
-        assert read_history(spark, out).count() == count
+def test_endless_first_arrival_inside_a_micro_batch(spark):
+    source, out = scratch_dir(spark, "keys"), scratch_dir(spark, "once")
+    schema = "mesh_packet_id bigint, gateway_id string, seq bigint"
+    progress = scratch_dir(spark, "progress")
+    for rows in ([(1, "a", 5), (1, "a", 0), (None, "", 1), (None, "", 1)], [(1, "a", 2), (2, "a", 4), (2, "a", 3)]):
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        start_first_arrival(stream, out, progress, order=("seq",)).awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(out).collect()) == [0, 1, 1, 3]
 
 
 def test_merge_with_nothing_stored_and_nothing_new(spark, decoded):
@@ -236,6 +304,11 @@ def test_kafka_rows(spark):
     rows = [(b"msh/a", b"x", "t", p, o, START) for p in (0, 1) for o in (0, 1, 2**40)]
     df = messages_from_kafka(spark.createDataFrame(rows, schema))
     got = df.collect()
+    two = [(None, b"x", t, p, o, START) for t in ("t", "u") for p in (0, 1) for o in (0, 1, 2**40)]
+    several = messages_from_kafka(spark.createDataFrame(two, schema), ("t", "u")).collect()
+    assert len({r.seq for r in several}) == 12 and several[0].topic == ""
+    with pytest.raises(Exception, match="topic not listed"):
+        messages_from_kafka(spark.createDataFrame(two, schema), ("t",)).collect()
     assert len({r.seq for r in got}) == 6 and got[0].topic == "msh/a"
     assert df.schema.fieldNames() == RAW_MESSAGES.fieldNames()
 
