@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from radiolake.llm.text import ascii_lower, join_same, space_words, text_of
 from radiolake.session import stage
 
-CLASSES, STATES, ROUNDS = 8192, 8, 6
+CLASSES, STATES, ROUNDS = 8192, 8, 7
 END = CLASSES  # the class of the end
 #: Words with 1 / HEAVY of all tokens or more are broadcast: there cannot be more than HEAVY.
 HEAVY = 1 << 16
@@ -47,12 +47,13 @@ class Model:
 
 
 def first_model(class_counts: np.ndarray) -> Model:
-    """Each state prefers an eighth of the classes, by a fixed random draw; rounds refine that."""
+    """Each state prefers an eighth of the classes and some states to follow it, by a fixed random
+    draw. Equal moves would be a point that rounds leave slowly."""
     draw = np.random.default_rng(7)
     favoured = draw.integers(0, STATES, len(class_counts))
-    weight = np.where(favoured[:, None] == np.arange(STATES)[None, :], 1.0, 0.15)
+    weight = np.where(favoured[:, None] == np.arange(STATES)[None, :], 1.0, 0.05)
     emit = (class_counts[:, None] + SMOOTH_CLASS) * weight
-    move = np.full((STATES, STATES), 1.0) + np.eye(STATES)
+    move = draw.gamma(0.5, size=(STATES, STATES)) + 0.02
     even = np.full(STATES, 1 / STATES)
     return Model(even, even, move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
@@ -171,8 +172,9 @@ def _expected(model: Model):
     return run
 
 
-def trained(training: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch from `first_model` over the column `classes` of all training rows."""
+def trained(training: DataFrame, class_counts: np.ndarray, kinds: int, rounds: int = ROUNDS) -> Model:
+    """Baum-Welch from `first_model` over the column `classes` of all training rows, which have
+    `kinds` different words."""
     model = first_model(class_counts)
     for _ in range(rounds):
         each = training.select("classes").mapInArrow(_expected(model), "kind int, place int, v array<double>")
@@ -190,8 +192,9 @@ def trained(training: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS)
         move = np.zeros((STATES, STATES))
         move[place[kind == 1]] = values[kind == 1]
         start, inner = values[kind == 2].sum(axis=0) + SMOOTH_MOVE, values[kind == 3].sum(axis=0) + SMOOTH_MOVE
-        # A class is smoothed towards its share of all tokens.
-        share = (class_counts + 1) / (class_counts.sum() + len(class_counts))
+        # A class is smoothed towards its share of all tokens, where new words have as many tokens
+        # as there are known words.
+        share = (class_counts + max(kinds, 1) / len(class_counts)) / (class_counts.sum() + max(kinds, 1))
         emit += SMOOTH_CLASS * CLASSES * share[:, None]
         move += SMOOTH_MOVE
         model = Model(start / start.sum(), inner / inner.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
@@ -313,7 +316,7 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     tokens[END], kinds[END] = ends, min(ends, 1)
     n, v = int(tokens.sum()), int(kinds.sum())
 
-    model = trained(training, tokens, rounds)
+    model = trained(training, tokens, v, rounds)
     by_model = slim.mapInArrow(
         _scored(model), "doc_id long, text_hash long, held_out boolean, n_words long, class_score double"
     )
@@ -321,7 +324,9 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         [(c, int(tokens[c]), int(kinds[c])) for c in range(CLASSES)], "class int, tokens long, kinds long"
     )
     # explode_outer: for the inner form Spark adds a filter that splits every text once more.
-    words = documents.select("doc_id", _text_hash(), F.explode_outer(_words()).alias("word"))
+    # The hash comes first: what stands beside a generator is computed for each word.
+    hashed = documents.select("doc_id", "text", _text_hash())
+    words = hashed.select("doc_id", "text_hash", F.explode_outer(_words()).alias("word"))
     by_word = _word_scores(words.filter("word IS NOT NULL"), counted, sizes, n, v)
     # Rows that repeat are summed together; the mean over their words is that of each.
     end = float(np.log10((ends + 1) / (n + v + 1)))
