@@ -360,7 +360,7 @@ def test_sparse_sites_stay_near_their_prior(spark):
 def test_held_out_quality(spark):
     found = QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    rows = found.join(labels, "doc_id").select("kept", "quality", "toxic").collect()
+    rows = found.select("doc_id", "kept").join(labels, "doc_id").collect()
     good = [r.kept for r in rows if r.quality == 1 and r.toxic == 0]
     bad = [r.kept for r in rows if r.quality == 0]
     # Half of 399 labels for the words and half for the regression: a small fit, but far apart.
