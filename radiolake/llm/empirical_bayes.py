@@ -6,6 +6,10 @@ a bounded sample of the other half, calibrates them. Hosts and paths then lend s
 of good documents of a host is shrunk towards the global share, that of a path towards its host's,
 each by a weight estimated from how much the shares spread: sparse sites stay near their prior, well
 known ones are themselves. All of that is grouped sums, combined before their exchange.
+
+Toxic texts are found apart from quality, as a few words in ordinary prose would be lost in a mean:
+slots have weights of their own, toxic against not toxic, and a text's measures are its strongest
+slots. A second regression calibrates them. A document goes if either says so.
 """
 
 from __future__ import annotations
@@ -31,6 +35,12 @@ FIT_ROWS = 20_000
 STRENGTH = (2.0, 1000.0)
 #: Documents below this probability are dropped.
 KEEP = 0.5
+#: Documents at or above this probability of being toxic are dropped.
+TOXIC = 0.5
+#: So many of a text's strongest slots speak for its being toxic.
+STRONGEST = 5
+#: A slot's share of toxic documents is shrunk towards the share of all by so many documents.
+TOXIC_PRIOR = 4.0
 
 
 def _slots(text: Column) -> Column:
@@ -47,6 +57,7 @@ def _slots(text: Column) -> Column:
 
 
 MEASURES = ("evidence", "marks", "capitals", "size", "repeats")
+TOXIC_MEASURES = ("toxic_first", "toxic_sum", "size")
 
 
 def _measured(documents: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -66,32 +77,61 @@ def _measured(documents: DataFrame, host: Column, path: Column) -> DataFrame:
     )
 
 
-def _weights(labelled: DataFrame) -> np.ndarray:
-    """Log-odds of each slot; SLOTS x 2 counts reach the driver."""
+def _weights(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each slot, for good and for toxic; SLOTS x 4 counts reach the driver.
+
+    A document counts for the labels it has.
+    """
+    named = ("good", "toxic")
+    sums = [a for c in named for a in (F.coalesce(F.sum(c), F.lit(0)).alias(c), F.count(c).alias(f"n_{c}"))]
     counts = (
-        labelled.select("good", F.explode(F.array_distinct("slots")).alias("slot"))
-        .groupBy("slot")
-        .agg(F.sum("good").alias("good"), F.count("*").alias("n"))
-        .toPandas()
+        labelled.select(*named, F.explode(F.array_distinct("slots")).alias("slot")).groupBy("slot").agg(*sums).toPandas()
     )
-    good, bad = np.zeros(SLOTS), np.zeros(SLOTS)
+    good, bad, toxic, judged = np.zeros((4, SLOTS))
     good[counts["slot"]] = counts["good"]
-    bad[counts["slot"]] = counts["n"] - counts["good"]
+    bad[counts["slot"]] = counts["n_good"] - counts["good"]
+    toxic[counts["slot"]] = counts["toxic"]
+    judged[counts["slot"]] = counts["n_toxic"]
     total_good, total_bad = good.sum(), bad.sum()
-    return np.log((good + 1) / (total_good + SLOTS)) - np.log((bad + 1) / (total_bad + SLOTS))
-
-
-def _evidence(weights: np.ndarray, kept: list[str]):
+    weights = np.log((good + 1) / (total_good + SLOTS)) - np.log((bad + 1) / (total_bad + SLOTS))
+
+    n, n_toxic = labelled.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    share = (n_toxic + 0.5) / (n + 1)
+    p = (toxic + TOXIC_PRIOR * share) / (judged + TOXIC_PRIOR)
+    return weights, np.log(p / (1 - p)) - np.log(share / (1 - share))
+
+
+def _strongest(values: np.ndarray, slots: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the greatest value above zero, and the sum of the STRONGEST greatest, each slot once."""
+    above = values > 0
+    pairs = np.unique(row[above] * SLOTS + slots[above])  # by row
+    row, slot = pairs // SLOTS, pairs % SLOTS
+    by_slot = np.zeros(SLOTS)
+    by_slot[slots] = values
+    value = by_slot[slot]
+    order = np.lexsort((-value, row))
+    row, value = row[order], value[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    first, some = np.zeros(rows), np.zeros(rows)
+    first[row[rank == 0]] = value[rank == 0]
+    np.add.at(some, row[rank < STRONGEST], value[rank < STRONGEST])
+    return first, some
+
+
+def _evidence(weights: np.ndarray, toxic: np.ndarray, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("slots")
-            flat = weights[lists.values.to_numpy()]
             offsets = lists.offsets.to_numpy()
-            sums = np.concatenate([[0.0], np.cumsum(flat)])
+            slots = lists.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
+            sums = np.concatenate([[0.0], np.cumsum(weights[slots])])
             lengths = np.maximum(np.diff(offsets), 1)
             mean = (sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]) / lengths
+            row = np.repeat(np.arange(len(lists)), np.diff(offsets))
+            added = (mean, *_strongest(toxic[slots], slots, row, len(lists)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(mean)], names=[*kept, "evidence"]
+                [*(batch.column(c) for c in kept), *map(pa.array, added)],
+                names=[*kept, "evidence", "toxic_first", "toxic_sum"],
             )
 
     return run
@@ -120,51 +160,67 @@ def _strength(groups: DataFrame, prior: str) -> Column:
     ).scalar()
 
 
-def quality(documents: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
-    """doc_id, host, path, evidence_score, host_share, path_share, quality, kept: one row for each row.
+def _fitted(scored: DataFrame, fit: DataFrame, label: str, measures: tuple[str, ...], share: float, name: str) -> DataFrame:
+    """scored with the probability of the label as column `name`; the share where all labels are equal."""
+    fit = stage(fit.filter(F.col(label).isNotNull()).orderBy(F.xxhash64("doc_id", F.lit(4))).limit(FIT_ROWS), "evidence_fit")
+    if fit.select(label).distinct().count() < 2:
+        return scored.withColumn(name, F.lit(share))
+    assemble = VectorAssembler(inputCols=list(measures), outputCol="features")
+    model = LogisticRegression(labelCol=label, regParam=1e-3, maxIter=50).fit(assemble.transform(fit))
+    return (
+        model.transform(assemble.transform(scored))
+        .withColumn(name, vector_to_array("probability")[1])
+        .drop("features", "rawPrediction", "probability", "prediction")
+    )
+
 
-    `labels` has doc_id, quality and toxic; a document is good with quality 1 and toxic 0. NULL
-    labels do not count; of repeated labels the worst counts. NULL hosts and paths are sites of
-    their own. NULL and empty texts have no words, and only their measures speak. With labels of
-    one kind only, or none, evidence is the global share and everything follows it.
+def quality(documents: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
+    """doc_id, host, path, evidence_score, host_share, path_share, quality, toxic_score, kept: one row
+    for each row.
+
+    `labels` has doc_id, quality and toxic; a document is good with quality 1. It is kept where
+    quality is at least KEEP and toxic_score is below TOXIC. NULL labels do not count; of repeated
+    labels the worst counts. NULL hosts and paths are sites of their own. NULL and empty texts have
+    no words, and only their measures speak. With labels of one kind only, or none, evidence is the
+    global share and everything follows it; without toxic labels nothing is toxic.
     """
     judged = (
-        labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+        labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
         .groupBy("doc_id")
         .agg(
-            F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good")
+            F.min((F.col("quality") == 1).cast("int")).alias("good"),
+            F.max((F.col("toxic") == 1).cast("int")).alias("toxic"),
         )
     )
     features = _measured(documents.select("doc_id", "text", *_inputs(documents)), host, path)
     with_label = features.join(judged, "doc_id", "left")
     half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2))
-    weights = _weights(features.join(judged, "doc_id").filter(half == 0).select("good", "slots"))
+    words = stage(features.join(judged, "doc_id").filter(half == 0).select("good", "toxic", "slots"), "evidence_words")
+    weights, toxic = _weights(words)
     kept = [c for c in with_label.columns if c != "slots"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_label.schema if f.name != "slots")
-    scored = stage(with_label.select(*kept, "slots").mapInArrow(_evidence(weights, kept), f"{schema}, evidence double"), "evidence")
-
-    known = scored.filter("good IS NOT NULL")
-    share = known.agg(F.coalesce(F.avg("good"), F.lit(0.5))).first()[0]
-    fit = known.filter(half == 1).orderBy(F.xxhash64("doc_id", F.lit(4))).limit(FIT_ROWS)
-    fit = stage(fit, "evidence_fit")
-    assemble = VectorAssembler(inputCols=list(MEASURES), outputCol="features")
-    if fit.select("good").distinct().count() < 2:
-        p = scored.withColumn("evidence_score", F.lit(float(share)))
-    else:
-        model = LogisticRegression(labelCol="good", regParam=1e-3, maxIter=50).fit(assemble.transform(fit))
-        p = (
-            model.transform(assemble.transform(scored))
-            .withColumn("evidence_score", vector_to_array("probability")[1])
-            .drop("features", "rawPrediction", "probability", "prediction")
-        )
-    return _with_sites(p, float(share))
+    scored = stage(
+        with_label.select(*kept, "slots").mapInArrow(
+            _evidence(weights, toxic, kept), f"{schema}, evidence double, toxic_first double, toxic_sum double"
+        ),
+        "evidence",
+    )
+
+    share, toxic_share = scored.agg(
+        F.coalesce(F.avg("good"), F.lit(0.5)), F.coalesce(F.avg("toxic"), F.lit(0.0))
+    ).first()
+    fit = scored.filter(half == 1)
+    p = _fitted(scored, fit, "good", MEASURES, float(share), "evidence_score")
+    p = _fitted(p, fit, "toxic", TOXIC_MEASURES, float(toxic_share), "toxic_score")
+    kept = (F.col("quality") >= KEEP) & (F.col("toxic_score") < TOXIC)
+    return _with_sites(p, float(share), "toxic_score").withColumn("kept", kept)
 
 
 def _inputs(documents: DataFrame) -> list[str]:
     return [c for c in documents.columns if c not in ("doc_id", "text")]
 
 
-def _with_sites(scored: DataFrame, share: float) -> DataFrame:
+def _with_sites(scored: DataFrame, share: float, *others: str) -> DataFrame:
     # A label, where there is one, is better evidence of the site than the text's.
     value = F.coalesce(F.col("good").cast("double"), F.col("evidence_score"))
     paths = scored.groupBy("host", "path").agg(F.sum(value).alias("good"), F.count("*").alias("n"))
@@ -189,7 +245,6 @@ def _with_sites(scored: DataFrame, share: float) -> DataFrame:
         join_same(scored, path_share, ["host", "path"], "left")
         .withColumn("quality", 1 / (1 + F.exp(-odds)))
         .select(
-            "doc_id", "host", "path", "evidence_score", "host_share", "path_share", "quality",
-            (F.col("quality") >= KEEP).alias("kept"),
+            "doc_id", "host", "path", "evidence_score", "host_share", "path_share", "quality", *others,
         )
     )

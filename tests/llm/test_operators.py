@@ -367,6 +367,37 @@ def test_held_out_quality(spark):
     assert sum(good) / len(good) > 0.85 and sum(bad) / len(bad) < 0.5
 
 
+def test_texts_with_toxic_words_go(spark):
+    """Judged by the planted words, as half of the toxic labels are on texts without any."""
+    insults = "trash pathetic idiot disgusting worthless stupid clown loser scum moron".split()
+    folder = "/root/testdata/sf0.01"
+    n = F.size(F.regexp_extract_all(F.lower("text"), F.lit(rf"\b({'|'.join(insults)})\b"), F.lit(1)))
+    counts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", n.alias("n"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = (
+        QUERIES["op8_quality_classifier"](spark, folder)
+        .select("doc_id", "kept")
+        .join(counts, "doc_id")
+        .join(labels, "doc_id", "left")
+        .collect()
+    )
+    # Those without a label were in no fit.
+    for several in ([r.kept for r in rows if r.n >= 3 and r.quality == 1], [r.kept for r in rows if r.n >= 3 and r.quality is None]):
+        assert len(several) >= 20 and sum(several) <= 0.1 * len(several)
+    good = [r.kept for r in rows if r.quality == 1 and r.toxic == 0]
+    assert sum(good) >= 0.95 * len(good)
+
+
+def test_labels_count_apart(spark, documents):
+    """A NULL quality leaves the toxic label; without toxic labels nothing is toxic."""
+    pairs = [(i, f"plain words of text {i % 7} here" + " awful vile" * (i % 4 == 0)) for i in range(200)]
+    toxic = F.when(F.col("doc_id") % 4 == 0, 1).otherwise(0)
+    for label, wanted in ((toxic, {i for i in range(200) if i % 4}), (F.lit(None).cast("int"), set(range(200)))):
+        labels = documents(pairs).select("doc_id", F.lit(None).cast("int").alias("quality"), label.alias("toxic"))
+        found = empirical_bayes.quality(documents(pairs), labels, F.col("source"), F.col("lang"))
+        assert {r.doc_id for r in found.filter("kept").collect()} == wanted
+
+
 def test_common_prompt(spark):
     turns = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "r"), (1, 0, "user", "q"), (1, 1, "assistant", "b"), (2, 5, None, None), (None, 0, "user", "x")]
     frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
