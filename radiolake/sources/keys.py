@@ -3,7 +3,8 @@
 Layout: v=V/batch=N/bucket=B. BUCKETS is fixed for the life of a table. Within a bucket rows are
 sorted by key. A batch replaces its own folder, reads only earlier batches, and only the buckets that
 its own keys fall in; the history itself is never read or listed. compact_keys, called when there are
-many small batches, rewrites them as one, in a new version that readers turn to once it is whole.
+many small batches, rewrites all but the last as one, in a new version that readers turn to once it is
+whole.
 """
 
 from __future__ import annotations
@@ -67,12 +68,22 @@ def earlier_keys(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
 
 
 def compact_keys(spark: SparkSession, path: str) -> None:
-    """Rewrite all batches as one folder. Call it while no writer runs; a failure changes nothing."""
+    """Rewrite the batches below the last one as one folder, under the highest of their numbers.
+
+    The last batch keeps a folder of its own: its writer may have failed after its keys were stored,
+    and then the batch is dropped or comes again. Call it while no writer runs; a failure changes nothing.
+    """
     old = _version(spark, path)
-    last = _all_keys(spark, path).agg(F.max("batch")).first()[0]
+    stored = _all_keys(spark, path)
+    last = stored.agg(F.max("batch")).first()[0]
     if last is None:
         return
-    number = int(old.rsplit("=", 1)[1]) + 1
-    _write(_all_keys(spark, path).select(*PACKET_KEY), f"{path}/v={number}/batch={last}")
-    replace_text(spark, f"{path}/_version", str(number))
+    new = f"{path}/v={int(old.rsplit('=', 1)[1]) + 1}"
+    delete(spark, new)  # what a failed call left
+    below = stored.filter(F.col("batch") < last)
+    before = below.agg(F.max("batch")).first()[0]
+    if before is not None:
+        _write(below.select(*PACKET_KEY), f"{new}/batch={before}")
+    _write(stored.filter(F.col("batch") == last).select(*PACKET_KEY), f"{new}/batch={last}")
+    replace_text(spark, f"{path}/_version", new.rsplit("=", 1)[1])
     delete(spark, old)

@@ -23,7 +23,7 @@ from radiolake.schemas import NODE_INFO, NODE_VALUES, PACKET_HISTORY, RAW_MESSAG
 from radiolake.session import scratch_dir, stage
 from radiolake.sources.directory import drop_old_snapshots, read_nodes, write_nodes
 from radiolake.sources.history import append_history, read_history, read_rejected
-from radiolake.sources.keys import compact_keys, earlier_keys, write_keys
+from radiolake.sources.keys import compact_keys, drop_keys, earlier_keys, write_keys
 from radiolake.sources.ledger import Ledger
 from radiolake.sources.messages import messages_from_kafka, read_messages
 from radiolake.sources.storage import finished_versions
@@ -271,6 +271,24 @@ def test_new_only(spark):
         compact_keys(spark, keys)
 
 
+@pytest.mark.parametrize("dropped", [True, False])
+def test_keys_of_earlier_batches_outlive_a_compacted_failed_one(spark, dropped):
+    schema = "mesh_packet_id bigint, gateway_id string"
+    keys = scratch_dir(spark, "keys")
+    batches = [spark.createDataFrame([(i, "a")], schema) for i in range(4)]
+    for i, batch in enumerate(batches):
+        write_keys(batch, keys, i)
+    compact_keys(spark, keys)  # batch 3 was not finished
+    if dropped:
+        drop_keys(spark, keys, 3)
+    write_keys(spark.createDataFrame([(7, "a")], schema), keys, 3)
+    every = spark.createDataFrame([(i, "a") for i in range(9)], schema)
+    for _ in range(2):
+        assert sorted(r.mesh_packet_id for r in earlier_keys(every, keys, 4).collect()) == [0, 1, 2, 7]
+        assert sorted(r.mesh_packet_id for r in earlier_keys(every, keys, 3).collect()) == [0, 1, 2]
+        compact_keys(spark, keys)
+
+
 def test_keyless_rows_stay_when_they_repeat(spark):
     schema = "mesh_packet_id bigint, gateway_id string, seq bigint, timestamp timestamp"
     rows = [(None, "", 7, START)] * 3 + [(1, "a", 8, START), (1, "a", 9, START)]
