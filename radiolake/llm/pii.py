@@ -2,8 +2,10 @@
 
 Generators propose spans on the whole text of each document: the four base rules before their
 checks, and wide forms of them that may overlap the others. A base match that passes its check is
-found for good. Base matches are labelled by their check, wide spans by the base matches they cover
-or touch; boosted trees learn from these which format and which surroundings mean personal data. For
+found for good. Base matches are labelled by their check, wide spans by the checked matches they
+overlap; boosted trees learn from these which format and which surroundings mean personal data. Wide
+forms match base forms too, and features do not show the marks that only base forms have, as otherwise
+all that lacks them would be labelled wrong or look unlike what is right. For
 each kind a threshold is calibrated on labelled wide spans the trees did not see, and wide spans
 without a label that score above it are added. A kind with too few spans to calibrate adds none.
 
@@ -30,17 +32,18 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Wide forms: spelt-out addresses, addresses of sixteen bytes, digit groups with other separators.
+#: Wide forms: base forms and spelt-out addresses, addresses of sixteen bytes, digit groups with other
+#: separators, phones without a plus.
 _DIGITS = r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20()./-]{0,2}+[0-9]){6,30}+"
 WIDE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}+(?:::?[0-9A-Fa-f]{1,4}+){3,7}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\[at\]|\(at\))\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}+(?:::?[0-9A-Fa-f]{1,4}+|\.[0-9]{1,4}+){3,7}+",
     "card": _DIGITS,
-    "phone": _DIGITS,
+    "phone": _DIGITS.replace("(?<![0-9A-Za-z])", r"(?:\+|(?<![0-9A-Za-z+]))", 1),
 }
 #: What a text must contain for a rule to be tried.
 _NEEDS = {"email": "@", "ip": "[0-9]", "card": "[0-9]", "phone": r"\+"}
-_WIDE_NEEDS = {"email": r"[\[(]at[\])]", "ip": "[0-9A-Fa-f]:", "card": "[0-9]", "phone": "[0-9]"}
+_WIDE_NEEDS = {"email": r"@|[\[(]at[\])]", "ip": r"[0-9A-Fa-f]:|\.[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 #: Words before a span that speak for its kind.
 CUES = {
     "email": "mail|contact|write",
@@ -156,14 +159,17 @@ def proposals(documents: DataFrame) -> DataFrame:
         return check
 
     def judged(good: Column, s: Column) -> Column:
-        """A wide span that holds a checked one of its kind is right, one that touches any other is
-        wrong, and one by itself is open."""
-        held = F.exists(
-            good,
-            lambda g: (g["kind"] == s["kind"]) & (g["start"] >= s["start"]) & (g["end"] <= s["end"]),
-        )
-        met = F.exists(good, lambda g: (g["start"] < s["end"]) & (s["start"] < g["end"]))
-        return F.when(held, F.lit(1)).when(met, F.lit(0))
+        """A wide span that overlaps a checked one of its kind is right, one that overlaps any other or
+        is of the base form and fails the check is wrong, and one by itself is open."""
+
+        def overlaps(g: Column) -> Column:
+            return (g["start"] < s["end"]) & (s["start"] < g["end"])
+
+        same = F.exists(good, lambda g: (g["kind"] == s["kind"]) & overlaps(g))
+        form = F.lit(False)
+        for k in KINDS:
+            form = F.when(s["kind"] == k, s["match"].rlike(f"^{BASE[k]}$")).otherwise(form)
+        return F.when(same, F.lit(1)).when(F.exists(good, overlaps) | (form & ~passes(s)), F.lit(0))
 
     found = let(
         raw,
@@ -186,13 +192,27 @@ def proposals(documents: DataFrame) -> DataFrame:
 
 FEATURES = (
     "f_length", "f_digits", "f_letters", "f_separators", "f_kinds_of_separators", "f_groups",
-    "f_longest_group", "f_plus", "f_parenthesis", "f_luhn", "f_cue", "f_joined_before",
+    "f_longest_group", "f_parenthesis", "f_luhn", "f_cue", "f_joined_before",
     "f_joined_after", *[f"f_is_{k}" for k in KINDS],
 )
 
 
+def _plain(kind: Column, match: Column) -> Column:
+    """A match without the marks that tell base forms from wide ones of the same kind."""
+    email = F.regexp_replace(match, r"\x20?(?:@|\[at\]|\(at\))\x20?", "@")
+    email = F.regexp_replace(email, r"\x20?(?:\.|\[dot\]|\(dot\))\x20?", ".")
+    return (
+        F.when(kind == "email", email)
+        .when(kind == "ip", F.regexp_replace(match, "::?", "."))
+        .when(kind == "phone", F.translate(match, "+", ""))
+        .otherwise(match)
+    )
+
+
 def featured(spans: DataFrame) -> DataFrame:
-    match, digits = F.col("match"), _digits(F.col("match"))
+    """spans with FEATURES; they need kind, match, before and after."""
+    spans = spans.withColumn("plain", _plain(F.col("kind"), F.col("match")))
+    match, digits = F.col("plain"), _digits(F.col("plain"))
     separators = F.regexp_replace(match, "[0-9A-Za-z]", "")
     groups = F.array_remove(F.split(match, "[^0-9A-Za-z]+"), "")
     cue = F.lit(False)
@@ -206,14 +226,15 @@ def featured(spans: DataFrame) -> DataFrame:
         "f_kinds_of_separators": F.size(F.array_distinct(F.split(separators, ""))),
         "f_groups": F.size(groups),
         "f_longest_group": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
-        "f_plus": match.contains("+"),
         "f_parenthesis": match.contains("("),
         "f_luhn": _luhn(digits),
         "f_cue": cue,
         "f_joined_before": F.col("before").rlike("[0-9a-z]$"),
         "f_joined_after": F.col("after").rlike("^[0-9A-Za-z]"),
     } | {f"f_is_{k}": F.col("kind") == k for k in KINDS}
-    return spans.withColumns({n: F.coalesce(c.cast("double"), F.lit(0.0)) for n, c in columns.items()})
+    return spans.withColumns(
+        {n: F.coalesce(c.cast("double"), F.lit(0.0)) for n, c in columns.items()}
+    ).drop("plain")
 
 
 def _fitted(labelled: DataFrame) -> GBTClassificationModel | None:

@@ -324,6 +324,40 @@ def test_redaction(spark, documents):
     assert pii.redact(frame).columns == frame.columns
 
 
+def test_each_kind_can_be_added(spark, documents):
+    """Forms without the marks of the base rules, beside enough checked ones to learn from."""
+    draw = random.Random(12)
+
+    def number(k):
+        return "".join(draw.choices("123456789", k=k))
+
+    def card(separator):
+        head = "4" + number(14)
+        digits = head + next(c for c in "0123456789" if luhn(head + c))
+        return separator.join(digits[k : k + 4] for k in range(0, 16, 4))
+
+    def checked():
+        ip = ".".join(str(draw.randrange(1, 255)) for _ in range(4))
+        name, host = ("".join(draw.choices("aehjnorst", k=draw.randrange(3, 8))) for _ in range(2))
+        return f"write to {name}@{host}.org now, server {ip} up, card {card(' ')} paid, call +44 20 {number(4)} {number(4)} today"
+
+    pairs = [(i, checked()) for i in range(500)]
+    # Of the base forms, and wrong.
+    pairs += [(500 + i, f"build 9{number(2)}.{number(1)}.{number(2)}.{number(1)} out, code {card(' ')[:-1]}x {card('-')}-{number(4)} end") for i in range(200)]
+    pairs += [
+        (1000, "write to jane [at] host.org now"),
+        (1001, "server 2001:db8:0:12:3:45:6:7 up"),
+        (1002, f"card {card('/')} paid"),
+        (1003, "call 44 20 7946 0958 today"),
+        (1004, "build 999.1.22.3 out"),
+    ]
+    frame = documents(pairs).repartition(3)
+    rows = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    assert [rows[i] for i in range(1000, 1005)] == [
+        "write to [EMAIL] now", "server [IP] up", "card [CARD] paid", "call [PHONE] today", "build 999.1.22.3 out",
+    ]
+
+
 # --- decontamination and licences ---
 
 
