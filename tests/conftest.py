@@ -9,11 +9,10 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from fx import START  # noqa: E402
 from radiolake.schemas import RAW_MESSAGES  # noqa: E402
 from radiolake.session import local_session, ship_package  # noqa: E402
 
-START = dt.datetime(2024, 5, 1, 12, 0, 0)
-
 
 @pytest.fixture(scope="session")
 def spark():

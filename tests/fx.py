@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from radiolake.operators.decode import _record
 from radiolake_checks.records import SPEC
 
+#: When the first fixture message arrives.
+START = dt.datetime(2024, 5, 1, 12, 0, 0)
+
 TOPIC = "msh/EU_868/2/e/LongFast/!abcdef12"
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import START
+from fx import START
 from model import random_messages, sequential, to_pair
 from pyspark.sql import functions as F
 
