@@ -128,9 +128,17 @@ u AS (SELECT doc_id, count(DISTINCT license) AS c, string_agg(DISTINCT license,
 SELECT d.doc_id, coalesce(u.c, 0) AS n_licenses, coalesce(u.s, '') AS licenses FROM d LEFT JOIN u ON u.doc_id = d.doc_id"""
 
 
+EXACT_SQL = """
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS same FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY same) AS keep_id, count(*) OVER (PARTITION BY same) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY same) AS kept, sha256(same) AS text_sha256
+FROM t"""
+
+
 SQL: dict[str, str] = {
     "op6_license_scan": license_sql(),
     "op7_decontamination": decontamination_sql(),
     "op9_preference_formatting": preference_sql(),
     "op10_quality_rules": quality_sql(),
+    "op12_exact_dedup": EXACT_SQL,
 }

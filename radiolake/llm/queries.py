@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from radiolake.llm import (
     decontamination,
     empirical_bayes,
+    exact_dedup,
     hmm,
     license_scan,
     minhash,
@@ -18,6 +19,7 @@ from radiolake.llm import (
     preference,
     quality_rules,
     sharding,
+    turn_repair,
 )
 from radiolake.session import ship_package
 
@@ -104,6 +106,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return turn_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_scoring": op1_hmm_scoring,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -115,4 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_preference_formatting": op9_preference_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_turn_repair": op13_turn_repair,
 }
