@@ -135,10 +135,34 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY same) AS keep_id, count(*) OVER (P
 FROM t"""
 
 
+COLLOCATION_SQL = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)),
+c AS (SELECT lang, k, list_slice(ws, i, i + k - 1) AS p, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+often AS (SELECT * FROM c WHERE f >= 30 AND k > 1),
+cut AS (SELECT lang, k, p, f AS a, unnest(range(1, k)) AS j FROM often),
+s AS (SELECT cut.*, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * a // (x.f + y.f) AS BIGINT) AS score
+  FROM cut JOIN c x ON x.lang = cut.lang AND x.p = list_slice(cut.p, 1, j)
+  JOIN c y ON y.lang = cut.lang AND y.p = list_slice(cut.p, j + 1, cut.k)
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.p ORDER BY score, j) = 1),
+inner_parts AS (SELECT lang, list_slice(p, i, i + m - 1) AS p, f FROM
+  (SELECT *, unnest(range(1, k - m + 2)) AS i FROM often, (SELECT unnest([2, 3]) AS m) WHERE m < k)),
+around AS (SELECT lang, p, max(f) AS f FROM inner_parts GROUP BY ALL),
+r AS (SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.p, ' ')) AS rank,
+    array_to_string(s.p, ' ') AS phrase, a, l, r, n.n, score
+  FROM s JOIN n ON n.lang = s.lang LEFT JOIN around ON around.lang = s.lang AND around.p = s.p
+  WHERE NOT coalesce(100 * around.f >= 80 * a, false))
+SELECT * FROM r WHERE rank <= 2000"""
+
+
 SQL: dict[str, str] = {
     "op6_license_scan": license_sql(),
     "op7_decontamination": decontamination_sql(),
     "op9_preference_formatting": preference_sql(),
     "op10_quality_rules": quality_sql(),
+    "op11_phrase_collocations": COLLOCATION_SQL,
     "op12_exact_dedup": EXACT_SQL,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radiolake.llm import (
+    collocations,
     decontamination,
     empirical_bayes,
     exact_dedup,
@@ -106,6 +107,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return collocations.top_collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_preference_formatting": op9_preference_formatting,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_turn_repair": op13_turn_repair,
 }
