@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from radiolake.operators.dedup import first_new
 from radiolake.schemas import PACKET_HISTORY, PACKET_KEY, conform
 from radiolake.sources.keys import drop_keys, earlier_keys, write_keys
-from radiolake.sources.storage import delete, exists, read_text, replace_text
+from radiolake.sources.storage import delete, exists, numbered, read_text, replace_text
 
 _PLACE = T.StructType(
     [T.StructField("batch", T.LongType()), T.StructField("ingest_date", T.DateType())]
@@ -58,8 +58,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_batch(spark: SparkSession, path: str) -> int:
-    """The highest batch written, finished or not; -1 when there is none. Reads one small file."""
-    return int(read_text(spark, f"{path}/_last") or -1)
+    """The highest batch written, finished or not; -1 when there is none. Reads one small file.
+
+    Where that file is missing or cut off, the folders are listed.
+    """
+    noted = read_text(spark, f"{path}/_last")
+    return int(noted) if noted else max(numbered(spark, path, "batch"), default=-1)
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:

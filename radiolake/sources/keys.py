@@ -4,7 +4,7 @@ Layout: v=V/batch=N/bucket=B. BUCKETS is fixed for the life of a table. Within a
 sorted by key. A batch replaces its own folder, reads only earlier batches, and only the buckets that
 its own keys fall in; the history itself is never read or listed. compact_keys, called when there are
 many small batches, rewrites all but the last as one, in a new version that readers turn to once it is
-whole.
+marked whole.
 """
 
 from __future__ import annotations
@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 
 from radiolake.operators.dedup import keyed_rows
 from radiolake.schemas import PACKET_HISTORY, PACKET_KEY
-from radiolake.sources.storage import delete, exists, read_text, replace_text
+from radiolake.sources.storage import delete, exists, numbered, write_new
 
 #: A power of two; a busy day's keys should fill a bucket with some megabytes.
 BUCKETS = 64
 
+#: The mark of a version that is whole; a name that readers of parquet skip.
+_WHOLE = "_whole"
+
 _STORED = T.StructType(
     [T.StructField(k, PACKET_HISTORY[k].dataType) for k in PACKET_KEY]
     + [T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
@@ -31,7 +34,9 @@ def _bucket() -> Column:
 
 
 def _version(spark: SparkSession, path: str) -> str:
-    return f"{path}/v={read_text(spark, f'{path}/_version') or 0}"
+    """The newest version that is whole. No file names it, so none can be cut off; there are two at most."""
+    whole = [v for v in numbered(spark, path, "v") if v == 0 or exists(spark, f"{path}/v={v}/{_WHOLE}")]
+    return f"{path}/v={max(whole, default=0)}"
 
 
 def _write(keys: DataFrame, folder: str) -> None:
@@ -85,5 +90,5 @@ def compact_keys(spark: SparkSession, path: str) -> None:
     if before is not None:
         _write(below.select(*PACKET_KEY), f"{new}/batch={before}")
     _write(stored.filter(F.col("batch") == last).select(*PACKET_KEY), f"{new}/batch={last}")
-    replace_text(spark, f"{path}/_version", new.rsplit("=", 1)[1])
+    write_new(spark, f"{new}/{_WHOLE}", "whole")
     delete(spark, old)

@@ -5,7 +5,9 @@ a number before it writes and marks it done after, so a batch that comes again f
 that it is done already. Numbers are never used twice: claims are files that only one writer can
 create. Writers take turns; a number that is claimed but not done belongs to a writer that failed.
 
-No call lists a folder: a claim is looked up by its name, the last number is noted beside them.
+No call lists a folder: a claim is looked up by its name, the last number is noted beside them. Files
+appear whole, by a rename. One that was cut off all the same says nothing: the last number is then
+counted from 0 and a claim is found by the text of its number.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ class Ledger:
         own = f"{self.place}/claim/{quote(writer, safe='')}/{batch}"
         last = self.last()
         open_number = last if last >= 0 and not self._closed(last) else None
-        held = read_text(self.spark, own)
+        held = read_text(self.spark, own) or self._noted(own, f"{writer} {batch}", last)
         if held is not None:
             number = int(held)
             if self._state(number, "done"):
@@ -59,12 +61,19 @@ class Ledger:
         replace_text(self.spark, f"{self.place}/last", str(number))
         return Claim(number, done=False, left_over=open_number)
 
+    def _noted(self, own: str, text: str, last: int) -> int | None:
+        """The number of a claim whose own file was cut off: the number's file says whose it is."""
+        if not exists(self.spark, own):
+            return None
+        numbers = (n for n in range(last, -1, -1) if read_text(self.spark, f"{self.place}/number/{n}") == text)
+        return next(numbers, None)
+
     def _closed(self, number: int) -> bool:
         return self._state(number, "done") or self._state(number, "dropped")
 
     def drop(self, number: int) -> None:
         """The rows of this number are gone and it will not be used."""
-        write_new(self.spark, f"{self.place}/dropped/{number}", "")
+        write_new(self.spark, f"{self.place}/dropped/{number}", "dropped")
 
     def finish(self, number: int) -> None:
-        write_new(self.spark, f"{self.place}/done/{number}", "")
+        write_new(self.spark, f"{self.place}/done/{number}", "done")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -32,40 +33,74 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers N, ascending, of the folders and files path/name=N, whatever is in them."""
+    files, pattern = _open(spark, f"{path}/{name}=*")
+    names = [status.getPath().getName() for status in files.globStatus(pattern) or []]
+    return sorted(int(m.group(1)) for m in map(re.compile(rf"{name}=(\d+)").fullmatch, names) if m)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
-    """A small text file; None where there is none."""
+    """A small text file; None where there is none, and for an empty one.
+
+    No value is empty, so an empty file is one that a failure cut off: it says nothing, and the
+    caller finds its value again from the folders.
+    """
     files, file = _open(spark, path)
     if not files.exists(file):
         return None
     stream = files.open(file)
     try:
-        return bytes(stream.readAllBytes()).decode()
+        return bytes(stream.readAllBytes()).decode() or None
     finally:
         stream.close()
 
 
+def _write_beside(spark: SparkSession, path: str, text: str):
+    """The text in a new file beside `path`, closed: what is renamed from there is whole."""
+    files, beside = _open(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return files, beside
+
+
+def _rename(spark: SparkSession, beside, path: str, mode: str) -> None:
+    """One step of the file system: readers see the old file or the new one, never a part."""
+    jvm = spark._jvm
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = getattr(option, mode)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        beside.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(beside, target, options)
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small text file; False, and nothing changed, if it is there already."""
     files, file = _open(spark, path)
     if files.exists(file):
         return False
+    files, beside = _write_beside(spark, path, text)
     try:
-        stream = files.create(file, False)
+        _rename(spark, beside, path, "NONE")
     except Py4JJavaError:
+        files.delete(beside, False)
         if files.exists(file):  # another writer was faster
             return False
         raise
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
     return True
 
 
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    files, file = _open(spark, path)
-    stream = files.create(file, True)
+    """Put a small text file in the place of another, or of none, in one step."""
+    files, beside = _write_beside(spark, path, text)
     try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
+        _rename(spark, beside, path, "OVERWRITE")
+    except Py4JJavaError:
+        files.delete(beside, False)
+        raise

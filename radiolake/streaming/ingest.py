@@ -16,10 +16,17 @@ from radiolake.sources.storage import read_text, write_new
 
 
 def stream_writer(spark: SparkSession, checkpoint: str) -> str:
-    """The name under which this checkpoint's batches are counted, fixed when the checkpoint is new."""
+    """The name under which this checkpoint's batches are counted, fixed when the checkpoint is new.
+
+    Without it a batch that is done could come again under another name, so a name that was cut off is
+    an error, not a reason for a new one.
+    """
     place = f"{checkpoint}/writer"
     write_new(spark, place, f"stream {uuid.uuid4().hex}")
-    return read_text(spark, place)
+    name = read_text(spark, place)
+    if name is None:
+        raise ValueError(f"{place} is empty; restore it from the texts in the tables' _ledger/number")
+    return name
 
 
 def _run(df: DataFrame, write, checkpoint: str, interval: str | None) -> StreamingQuery:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from fx import START
 from model import random_messages, sequential, to_pair
@@ -22,12 +24,12 @@ from radiolake.plans.tables import (
 from radiolake.schemas import NODE_INFO, NODE_VALUES, PACKET_HISTORY, RAW_MESSAGES, conform, ensure_table
 from radiolake.session import scratch_dir, stage
 from radiolake.sources.directory import drop_old_snapshots, read_nodes, write_nodes
-from radiolake.sources.history import append_history, read_history, read_rejected
+from radiolake.sources.history import append_history, last_batch, read_history, read_rejected
 from radiolake.sources.keys import compact_keys, drop_keys, earlier_keys, write_keys
 from radiolake.sources.ledger import Ledger
 from radiolake.sources.messages import messages_from_kafka, read_messages
-from radiolake.sources.storage import finished_versions
-from radiolake.streaming.ingest import start_first_arrival, start_ingest
+from radiolake.sources.storage import finished_versions, read_text, replace_text, write_new
+from radiolake.streaming.ingest import start_first_arrival, start_ingest, stream_writer
 from radiolake_checks.records import SETTINGS
 
 COUNT = 240
@@ -150,6 +152,68 @@ def test_numbers_are_claimed_once(spark):
     assert ledger.claim("b", 0).number == 3
 
 
+def cut_off(path):
+    assert Path(path).stat().st_size > 0
+    Path(path).write_text("")
+    for crc in Path(path).parent.glob(f".{Path(path).name}.crc"):
+        crc.unlink()
+
+
+def state_files(out):
+    return {"/".join(p.relative_to(out).parts): p for p in Path(out).rglob("*") if p.is_file() and "=" not in str(p.relative_to(out)) and p.suffix != ".crc" and p.name != "_SUCCESS"}
+
+
+def test_state_files_cut_to_nothing(spark, sample, decoded):
+    """Every state file in turn is emptied; later batches and batches that come again store the same."""
+    out = scratch_dir(spark, "cut")
+    half = F.col("seq") < COUNT // 2
+    write_tables(decoded.filter(half), SETTINGS, out, "w", 0)
+    compact_keys(spark, f"{out}/packet_history_keys")
+    names = set(state_files(out))
+    assert {"_ledger/last", "_ledger/claim/w/0", "_ledger/number/0", "_ledger/done/0", "packet_history/_last"} <= names
+    assert not any(n.endswith(".tmp") for n in names)
+    for name in sorted(names - {"_ledger/number/0"}):
+        cut_off(state_files(out)[name])
+        assert not write_tables(decoded.filter(half), SETTINGS, out, "w", 0), name
+    assert write_tables(decoded.filter(~half), SETTINGS, out, "v", 0)
+    for name in ("_ledger/last", "_ledger/claim/v/0", "packet_history/_last"):
+        cut_off(state_files(out)[name])
+    assert not write_tables(decoded.filter(~half), SETTINGS, out, "v", 0)
+    assert last_batch(spark, f"{out}/packet_history") == 1
+    check_history(read_history(spark, f"{out}/packet_history"), sample[0])
+    check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
+
+
+def test_a_compaction_that_failed_changes_nothing(spark):
+    keys = scratch_dir(spark, "keys")
+    every = spark.createDataFrame([(i, "a") for i in range(9)], "mesh_packet_id bigint, gateway_id string")
+    for i in range(3):
+        write_keys(every.filter(F.col("mesh_packet_id") == i), keys, i)
+    write_keys(every, f"{keys}/v=1", 0)  # a version without its mark
+    assert sorted(r.mesh_packet_id for r in earlier_keys(every, keys, 3).collect()) == [0, 1, 2]
+    compact_keys(spark, keys)
+    cut_off(f"{keys}/v=1/_whole")
+    assert sorted(r.mesh_packet_id for r in earlier_keys(every, keys, 3).collect()) == [0, 1, 2]
+
+
+def test_a_stream_without_its_name_is_refused(spark):
+    place = scratch_dir(spark, "progress")
+    name = stream_writer(spark, place)
+    assert stream_writer(spark, place) == name
+    cut_off(f"{place}/writer")
+    with pytest.raises(ValueError, match="is empty"):
+        stream_writer(spark, place)
+
+
+def test_text_files_are_whole(spark):
+    place = scratch_dir(spark, "texts")
+    assert write_new(spark, f"{place}/a", "1") and not write_new(spark, f"{place}/a", "2")
+    replace_text(spark, f"{place}/a", "3")
+    replace_text(spark, f"{place}/b", "4")
+    assert (read_text(spark, f"{place}/a"), read_text(spark, f"{place}/b"), read_text(spark, f"{place}/c")) == ("3", "4", None)
+    assert sorted(p.name for p in Path(place).iterdir() if p.suffix != ".crc") == ["a", "b"]
+
+
 def test_older_batches_are_refused(spark, decoded):
     out = scratch_dir(spark, "older")
     kept, _ = storable(packet_rows(decoded, SETTINGS.ports))
