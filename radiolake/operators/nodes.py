@@ -86,12 +86,8 @@ def gateway_edges(df: DataFrame) -> DataFrame:
     """
     named = df.filter(F.length("env.gateway_id") > 0)
     gateway = F.col("env.gateway_id").alias("gateway_id")
-    # A moment as one number: a hash table can hold that, a struct it cannot.
-    micros, time = _micros(df, "ingest_ts")
-    moment = F.expr(
-        f"CAST((CAST({micros} AS DECIMAL(20, 0)) + {_TIME_SHIFT}) * {_SEQ_RANGE}"
-        f" + (CAST(seq AS DECIMAL(20, 0)) + {_SEQ_SHIFT}) AS DECIMAL(38, 0))"
-    )
+    _, time = _micros(df, "ingest_ts")
+    moment = _moment(df, "ingest_ts")
     edges = (
         named.groupBy(gateway)
         .agg(F.min(moment).alias("first"), F.max(moment).alias("last"))
@@ -183,13 +179,16 @@ def node_changes(gateways: DataFrame, nodeinfos: DataFrame) -> DataFrame:
     return gateways.unionByName(nodeinfos)
 
 
-def fold_nodes(changes: DataFrame) -> DataFrame:
-    """One row per node: the last non-NULL value of each column, first and last time heard.
+def _moment(df: DataFrame, time: str) -> Column:
+    """`time` and `seq` as one ordered number, which a hash table can hold; a struct it cannot."""
+    micros, _ = _micros(df, time)
+    return F.expr(
+        f"CAST((CAST({micros} AS DECIMAL(20, 0)) + {_TIME_SHIFT}) * {_SEQ_RANGE}"
+        f" + (CAST(seq AS DECIMAL(20, 0)) + {_SEQ_SHIFT}) AS DECIMAL(38, 0))"
+    )
 
-    The aggregates combine before the exchange, so a node with a third of all changes leaves one
-    row per input partition.
-    """
-    order = f"struct({', '.join(CHANGE_ORDER)})"
+
+def _fold(changes: DataFrame, order: str) -> DataFrame:
     latest = [
         F.expr(f"max_by({c}, {order}) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in NODE_VALUES
     ]
@@ -201,6 +200,32 @@ def fold_nodes(changes: DataFrame) -> DataFrame:
     return folded.select(*NODE_INFO.fieldNames())
 
 
+def distinct_changes(changes: DataFrame) -> DataFrame:
+    """Changes that say the same of a node as one, with the last moment at which it was said.
+
+    Nodes repeat themselves, so nearly all rows go here, in a hash table before any exchange: values
+    are its keys, moments and times its sums. They fold to the same result.
+    """
+    return changes.groupBy("node_id", *NODE_VALUES, "step").agg(
+        F.max(_moment(changes, "last_updated")).alias("moment"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_updated").alias("last_updated"),
+    )
+
+
+def fold_nodes(changes: DataFrame) -> DataFrame:
+    """One row per node: the last non-NULL value of each column, first and last time heard.
+
+    Equal changes are first made one, in a hash table; the fold itself, whose buffers hold texts and
+    which Spark therefore sorts, meets only what differs. Both combine before their exchange, so a
+    node with a third of all changes leaves a row per input partition and difference. A stream
+    takes the fold alone, as it may hold one aggregate.
+    """
+    if changes.isStreaming:
+        return _fold(changes, f"struct({', '.join(CHANGE_ORDER)})")
+    return _fold(distinct_changes(changes), "struct(moment, step)")
+
+
 def merge_nodes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """The stored directory brought up to date with a later batch of changes."""
     new = fold_nodes(changes).alias("new")

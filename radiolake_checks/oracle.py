@@ -144,6 +144,11 @@ SELECT {_SHOWN} FROM heard b WHERE ingest_ts >= TIMESTAMP '2024-01-16' AND NOT E
   SELECT 1 FROM history h WHERE h.mesh_packet_id = b.mesh_packet_id AND h.gateway_id = b.gateway_id)"""
 
 
+_KEPT = f"""{_HEARD} SELECT mesh_packet_id, gateway_id,
+  CASE WHEN mesh_packet_id IS NULL OR gateway_id IS NULL THEN count(*) ELSE 1 END AS kept
+FROM heard GROUP BY mesh_packet_id, gateway_id"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "o01_read_messages": _MESSAGES.format(seq="seq"),
@@ -238,6 +243,9 @@ def all_sql() -> dict[str, str]:
             CASE WHEN bad_user THEN 'node description does not parse'
               WHEN {_HW_NAME} IS NULL THEN 'hw_model has no name' ELSE 'role has no name' END AS reject_reason
             FROM heard WHERE port = 4 AND (bad_user OR {_HW_NAME} IS NULL OR {_ROLE_NAME} IS NULL)""",
+        "o33_state_stream": _KEPT,
+        "o33_within_watermark": _KEPT,
+        "o36_stateful_stream": _NODES,
         "o33_ingest_history": _HISTORY,
         "o34_node_changes": f"""{_CHANGES}
             SELECT * FROM changes""",

@@ -8,6 +8,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from radiolake.functions import crypto, scalars
 from radiolake.operators import decode, decrypt, dedup, filters, nodes
@@ -25,6 +26,7 @@ from radiolake.sources.directory import read_nodes, write_nodes
 from radiolake.sources.keys import compact_keys, earlier_keys, write_keys
 from radiolake.sources.history import append_history, append_rejected, read_history, read_rejected
 from radiolake.sources.messages import messages_from_kafka, read_messages
+from radiolake.streaming.directory import compact_directory, read_directory, start_directory
 from radiolake.streaming.ingest import start_first_arrival, start_ingest, stream_writer
 from radiolake_checks.records import HW_MODELS, PORTS, SETTINGS, SPEC
 from radiolake_checks.views import (
@@ -553,6 +555,59 @@ def o33_first_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out).select(*df.columns)
 
 
+def _in_two_runs(spark: SparkSession, df: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> None:
+    """A stream over df in micro-batches, ended halfway and started again from its checkpoint."""
+    source, progress = scratch_dir(spark, "source"), scratch_dir(spark, "progress")
+    first, *later = _parts(df)
+    for run in ([first], later):
+        for part in run:
+            part.repartition(FILES).write.mode("append").parquet(source)
+        read = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(source)
+        start(read, progress).awaitTermination()
+
+
+def _once(spark: SparkSession, sf_dir: str, within: str | None) -> DataFrame:
+    out = scratch_dir(spark, "once")
+    df = _heard(spark, sf_dir).select(
+        "seq", F.col("ingest_ts").cast("timestamp").alias("timestamp"), "mesh_packet_id", "gateway_id"
+    )
+
+    def start(read: DataFrame, progress: str) -> StreamingQuery:
+        once = dedup.first_arrival_stream(read, within=within, order=("seq",))
+        writer = once.writeStream.option("checkpointLocation", progress)
+        return writer.trigger(availableNow=True).start(out)
+
+    _in_two_runs(spark, df, start)
+    stored = spark.read.schema(df.schema).parquet(out)
+    return stored.groupBy("mesh_packet_id", "gateway_id").agg(F.count("*").alias("kept"))
+
+
+@query
+def o33_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The endless form over Spark's own state, across a restart: how many rows of each key stay."""
+    return _once(spark, sf_dir, None)
+
+
+@query
+def o33_within_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form whose state is bounded by time; copies of a packet come within two days here."""
+    return _once(spark, sf_dir, "2 days")
+
+
+@query
+def o36_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directory held in state, across a restart, its folders folded into one in between."""
+    out = scratch_dir(spark, "directory")
+
+    def start(read: DataFrame, progress: str) -> StreamingQuery:
+        compact_directory(spark, out)
+        return start_directory(read, out, progress)
+
+    _in_two_runs(spark, _changes(spark, sf_dir), start)
+    compact_directory(spark, out)
+    return _show_nodes(read_directory(spark, out))
+
+
 @query
 def o33_ingest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_history(read_history(spark, f"{_ingest(spark, sf_dir)}/packet_history"))

@@ -53,6 +53,12 @@ def test_each_record_is_parsed_once_per_table(spark, stored):
     assert plan(packet_rows(whole, SETTINGS.ports)).count("parse_envelope") == 1
 
 
+def test_history_reads_and_parses_its_input_once(spark, stored):
+    whole = decoded_messages(stored, SETTINGS, make_key_ring(spark, [("Wx", "AQ==")]))
+    text = plan(packet_history(whole, SETTINGS))
+    assert text.count("FileScan") == 1 and text.count("ArrowEvalPython") == 3
+
+
 def test_dedup_has_one_exchange_and_cuts_hot_keys_before_it(decoded):
     text = plan(packet_history(decoded, SETTINGS))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
@@ -89,10 +95,35 @@ def test_keyless_rows_spread_evenly(spark):
     assert max(r["count"] for r in sizes) < 8_000 / 2
 
 
-def test_fold_combines_before_the_exchange(decoded):
+def test_fold_meets_all_rows_in_a_hash_table(decoded):
+    """Below the first exchange equal changes become one, without a sort."""
     text = plan(node_directory(decoded, SETTINGS))
-    assert "partial_max_by" in text and "partial_min" in text
-    assert text.count("parse_user") == 1
+    assert text.count("parse_user") == 1 and "partial_max_by" in text
+    lowest = text[text.rindex("Exchange hashpartitioning(node_id") :]
+    assert "HashAggregate(keys=[node_id" in lowest and "Sort" not in lowest and "partial_max(" in lowest
+
+
+def test_hot_keys_are_cut_before_the_state(spark):
+    schema = "mesh_packet_id bigint, gateway_id string, seq bigint, timestamp timestamp"
+    source = scratch_dir(spark, "hot")
+    spark.range(0, 30_000, 1, 2).select(
+        F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id")).alias("mesh_packet_id"),
+        F.lit("g").alias("gateway_id"),
+        (30_000 - F.col("id")).alias("seq"),
+        F.timestamp_seconds("id").alias("timestamp"),
+    ).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    once = dedup.first_arrival_stream(stream, order=("seq",))
+    query = once.writeStream.format("memory").queryName("hot").option(
+        "checkpointLocation", scratch_dir(spark, "progress")
+    )
+    run = query.trigger(availableNow=True).start()
+    run.awaitTermination()
+    text = spark._jvm.PythonSQLUtils.explainString(once._jdf.queryExecution(), "simple")
+    state = run.lastProgress["stateOperators"][0]
+    assert spark.table("hot").count() == 10_000 == state["numRowsTotal"]
+    assert state["customMetrics"]["numDroppedDuplicateRows"] < 10
+    assert text.index("StreamingDeduplicate") < text.index("Exchange") < text.index("MapInArrow")
 
 
 def test_gateway_part_reads_three_columns(decoded):

@@ -28,7 +28,8 @@ from radiolake.sources.history import append_history, last_batch, read_history,
 from radiolake.sources.keys import compact_keys, drop_keys, earlier_keys, write_keys
 from radiolake.sources.ledger import Ledger
 from radiolake.sources.messages import messages_from_kafka, read_messages
-from radiolake.sources.storage import finished_versions, read_text, replace_text, write_new
+from radiolake.sources.storage import finished_versions, numbered, read_text, replace_text, write_new
+from radiolake.streaming.directory import compact_directory, read_directory, start_directory
 from radiolake.streaming.ingest import start_first_arrival, start_ingest, stream_writer
 from radiolake_checks.records import SETTINGS
 
@@ -268,29 +269,41 @@ def test_stream_batch_job_and_the_stream_again(spark, sample, ring):
 
 
 def test_directory_held_in_state(spark, sample, decoded):
-    """Without a stored snapshot: the fold as a streaming aggregate, across a restart."""
-    source, progress = scratch_dir(spark, "changes"), scratch_dir(spark, "progress")
+    """The fold as a streaming aggregate, in four runs from one checkpoint, compacted now and then."""
+    source, progress, out = (scratch_dir(spark, n) for n in ("changes", "progress", "state"))
     full = nodes.node_changes(
         nodes.gateway_changes(decoded), nodes.nodeinfo_changes(decoded, SETTINGS.spec, SETTINGS.names)
     )
-    seen = {}
-
-    def keep(batch, _):
-        seen.update({r.node_id: r for r in batch.collect()})
-
-    for half in (F.col("seq") < COUNT // 2, F.col("seq") >= COUNT // 2):
-        full.filter(half).coalesce(1).write.mode("append").parquet(source)
+    assert read_directory(spark, out).count() == 0
+    for quarter in range(4):
+        part = full.filter(F.floor(F.col("seq") / (COUNT // 4)) == quarter)
+        part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(full.schema).parquet(source)
-        writer = nodes.fold_nodes(stream).writeStream.outputMode("update").foreachBatch(keep)
-        writer = writer.option("checkpointLocation", progress).trigger(availableNow=True)
-        writer.start().awaitTermination()
-    _, expected = sequential(sample[0])
-    assert {k: v.long_name for k, v in seen.items()} == {
-        k: v.get("long_name") for k, v in expected.items()
-    }
-    assert {k: number(v.last_updated) for k, v in seen.items()} == {
-        k: v["last"] for k, v in expected.items()
-    }
+        start_directory(stream, out, progress).awaitTermination()
+        if quarter % 2:
+            compact_directory(spark, out)
+        seen = [m for m in sample[0][: (quarter + 1) * COUNT // 4]]
+        check_nodes(read_directory(spark, out), seen)
+    assert numbered(spark, out, "batch") == [3] and numbered(spark, out, "base") == [2]
+    # A compaction that failed: its base lacks the mark and does not count.
+    read_directory(spark, out).limit(0).write.parquet(f"{out}/base=3")
+    (Path(out) / "base=3" / "_SUCCESS").unlink()
+    check_nodes(read_directory(spark, out), sample[0])
+
+
+def test_a_micro_batch_writes_only_the_nodes_it_touches(spark):
+    source, progress, out = (scratch_dir(spark, n) for n in ("changes", "progress", "state"))
+    none = [f"CAST(NULL AS {NODE_INFO[c].dataType.simpleString()}) AS {c}" for c in NODE_VALUES if c != "hex_id"]
+    for first, count in ((0, 500), (7, 1)):
+        changes = spark.range(first, first + count).selectExpr(
+            "id AS node_id", "concat('!', id) AS hex_id", *none, "current_timestamp() AS first_seen",
+            "current_timestamp() AS last_updated", "id AS seq", "0 AS step",
+        )
+        changes.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(changes.schema).parquet(source)
+        start_directory(stream, out, progress).awaitTermination()
+    assert [spark.read.parquet(f"{out}/batch={n}").count() for n in (0, 1)] == [500, 1]
+    assert read_directory(spark, out).count() == 500
 
 
 def test_endless_dedup_keeps_the_earlier_batch(spark):
