@@ -30,14 +30,19 @@ def keyless_rows(df: DataFrame, keys: Sequence[str] = PACKET_KEY) -> DataFrame:
 _SALT = "__salt"
 
 
-def _salted(df: DataFrame, keys: Sequence[str], unique: bool = True) -> DataFrame:
+def _salted(
+    df: DataFrame, keys: Sequence[str], unique: bool = True, apart: Column | None = None
+) -> DataFrame:
     """Add a part of the key that makes each keyless row a key of its own; 0 and up for those, else -1.
 
+    So are rows for which `apart` holds.
+
     The number is a row's place in its input partition, so rows that are equal in all columns differ
     too. It only tells keyless rows apart and spreads them.
     """
     place = F.monotonically_increasing_id() if unique else F.lit(0).cast("bigint")
-    return df.withColumn(_SALT, F.when(_any_null(keys), place).otherwise(F.lit(-1).cast("bigint")))
+    own = _any_null(keys) if apart is None else _any_null(keys) | apart
+    return df.withColumn(_SALT, F.when(own, place).otherwise(F.lit(-1).cast("bigint")))
 
 
 def _first(salted: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -76,10 +81,16 @@ def _known(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def first_new(
-    batch: DataFrame, stored: DataFrame, order: Sequence[str] = ("timestamp", "seq")
+    batch: DataFrame,
+    stored: DataFrame,
+    order: Sequence[str] = ("timestamp", "seq"),
+    apart: Column | None = None,
 ) -> DataFrame:
-    """first_arrival, then new_only, on packet keys: rows are read and exchanged once for both."""
-    once = _first(_salted(batch, PACKET_KEY), PACKET_KEY, order)
+    """first_arrival, then new_only, on packet keys: rows are read and exchanged once for both.
+
+    Rows for which `apart` holds go through as they are.
+    """
+    once = _first(_salted(batch, PACKET_KEY, apart=apart), PACKET_KEY, order)
     return once.join(_known(stored, PACKET_KEY), [*PACKET_KEY, _SALT], "left_anti").drop(_SALT)
 
 

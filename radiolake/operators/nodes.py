@@ -150,6 +150,17 @@ def refused_nodes(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFram
     )
 
 
+def with_node_reason(df: DataFrame, spec: RecordSpec, names: NodeNames) -> DataFrame:
+    """Add `node_reason` to decoded messages: why a node description changes no node, else NULL."""
+    described = is_nodeinfo(F.col("env.packet"), names.nodeinfo_port)
+    payload = F.when(described, F.col("env.packet.decoded.payload"))
+    named = named_users(
+        decode_user(df.withColumn("channel_id", F.col("env.channel_id")), spec, payload), names
+    )
+    reason = F.when(described, F.col("reject_reason"))
+    return named.select(*df.columns, reason.alias("node_reason"))
+
+
 def user_changes(df: DataFrame, names: NodeNames) -> DataFrame:
     """Change rows from frames that hold node_id, channel_id and a parsed `user`."""
     return _user_rows(named_users(df, names))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +45,11 @@ def status_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def packet_rows(df: DataFrame, port_names: Mapping[int, str] | DataFrame) -> DataFrame:
-    """The 29 history columns plus `seq`. Integers stay wide, so that storable() can judge them."""
+def packet_rows(
+    df: DataFrame, port_names: Mapping[int, str] | DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The 29 history columns plus `seq` and `extra` columns of df. Integers stay wide, so that
+    storable() can judge them."""
     size, content = payload_columns(F.col("env.packet.decoded.payload"))
     copied = [F.expr(f"env.packet.`{field}` AS {column}") for column, field in _COPIED.items()]
     flat = status_columns(df).select(
@@ -63,6 +66,7 @@ def packet_rows(df: DataFrame, port_names: Mapping[int, str] | DataFrame) -> Dat
         F.col("payload").alias("raw_service_envelope"),
         "parsing_error",
         "seq",
+        *extra,
     )
     named = enum_name(flat, F.col("portnum"), port_names, "portnum_name")
-    return named.select(*PACKET_HISTORY.fieldNames(), "seq")
+    return named.select(*PACKET_HISTORY.fieldNames(), "seq", *extra)

@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from radiolake.operators.decode import RecordSpec, decode_envelope
 from radiolake.operators.decrypt import decrypt_packets
@@ -16,6 +17,7 @@ from radiolake.operators.filters import (
     DEFAULT_PATTERN,
     NODEINFO_PORT,
     UNKNOWN_PORT,
+    reject_reason,
     skip_json,
     storable,
     storable_changes,
@@ -27,17 +29,20 @@ from radiolake.operators.nodes import (
     gateway_edges,
     node_changes,
     nodeinfo_changes,
-    refused_nodes,
+    with_node_reason,
 )
 from radiolake.operators.packets import packet_rows
 from radiolake.schemas import NODE_INFO, PACKET_HISTORY, conform
 from radiolake.session import staged
 from radiolake.sources.directory import drop_snapshot, write_nodes
 from radiolake.sources.history import (
-    append_history,
-    append_refused_nodes,
-    append_rejected,
+    HISTORY,
+    REFUSED_NODES,
+    REJECTED,
+    TABLES,
+    append_routed,
     drop_batch,
+    table_path,
 )
 from radiolake.sources.ledger import Ledger
 
@@ -99,6 +104,36 @@ def node_directory(decoded: DataFrame, settings: Settings) -> DataFrame:
     return conform(fold_nodes(directory_changes(decoded, settings)), NODE_INFO)
 
 
+# Columns of a routed row that its table does not have are NULL; a stored row has all of the history's.
+_REJECTED_ONLY = ("timestamp", "topic", "from_node_id", "portnum", "gateway_id", "mesh_packet_id", "raw_service_envelope")
+_REFUSED_ONLY = ("timestamp", "channel_id")
+
+
+def routed_rows(decoded: DataFrame, settings: Settings) -> DataFrame:
+    """Every row that a batch stores, with its `table`, `reject_reason` and `seq`: stored and rejected
+    packets and refused node descriptions, marked in one pass over the messages."""
+    marked = with_node_reason(decoded, settings.spec, settings.names)
+    judged = packet_rows(marked, settings.ports, ("node_reason",)).withColumn("reject_reason", reject_reason())
+    packet = F.when(F.col("reject_reason").isNull(), F.lit(HISTORY)).otherwise(F.lit(REJECTED))
+    tables = F.array_compact(F.array(packet, F.when(F.col("node_reason").isNotNull(), F.lit(REFUSED_NODES))))
+    dealt = judged.withColumn("table", F.explode(tables))
+    table = F.col("table")
+
+    def column(field: T.StructField) -> Column:
+        others = [t for t, names in ((REJECTED, _REJECTED_ONLY), (REFUSED_NODES, _REFUSED_ONLY)) if field.name in names]
+        return F.when(table.isin(HISTORY, *others), F.col(field.name)).cast(field.dataType).alias(field.name)
+
+    refused = table == REFUSED_NODES
+    return dealt.select(
+        *[column(field) for field in PACKET_HISTORY.fields],
+        F.when(refused, F.col("from_node_id")).alias("node_id"),
+        F.when(refused, F.col("raw_payload")).alias("payload"),
+        F.when(refused, F.col("node_reason")).otherwise(F.col("reject_reason")).alias("reject_reason"),
+        "seq",
+        "table",
+    )
+
+
 def write_tables(decoded: DataFrame, settings: Settings, out: str, writer: str, batch: int) -> bool:
     """Bring all tables up to date with one batch of decoded messages of a writer.
 
@@ -116,19 +151,15 @@ def write_tables(decoded: DataFrame, settings: Settings, out: str, writer: str,
         _drop(spark, out, claim.left_over)
         if claim.left_over != claim.number:
             ledger.drop(claim.left_over)
-    kept, rejected = storable(packet_rows(decoded, settings.ports))
-    append_history(kept, f"{out}/packet_history", claim.number)
-    append_rejected(rejected, f"{out}/rejected", claim.number)
-    refused = refused_nodes(decoded, settings.spec, settings.names)
-    append_refused_nodes(refused, f"{out}/rejected_nodes", claim.number)
+    append_routed(routed_rows(decoded, settings), out, claim.number)
     write_nodes(directory_changes(decoded, settings), f"{out}/node_info", claim.number)
     ledger.finish(claim.number)
     return True
 
 
 def _drop(spark: SparkSession, out: str, number: int) -> None:
-    for table in ("packet_history", "rejected", "rejected_nodes"):
-        drop_batch(spark, f"{out}/{table}", number)
+    for table in TABLES:
+        drop_batch(spark, table_path(out, table), number)
     drop_snapshot(spark, f"{out}/node_info", number)
 
 

@@ -1,6 +1,7 @@
 """The packet history: append-only, each key once, safe to replay batch by batch.
 
-Layout: batch=N/ingest_date=D, the date in UTC. A batch replaces its own folder as a whole and is
+Layout: batch=N/ingest_date=D, the date in UTC. append_routed keeps it, the rejected rows and the
+refused node descriptions side by side, table=T/batch=N/ingest_date=D, from one pass and one write. A batch replaces its own folder as a whole and is
 checked against the keys of earlier batches, which lie in a table of their own, so running the last
 batch again gives the same rows. A batch older than the last one stored is refused.
 """
@@ -38,19 +39,57 @@ def _replace_batch(df: DataFrame, path: str, schema: T.StructType, batch_id: int
     small files.
     """
     spark = df.sparkSession
+    last = _check_turn(spark, path, batch_id)
+    placed = _by_date(conform(df, schema))
+    placed.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch={batch_id}")
+    if batch_id > last:
+        replace_text(spark, f"{path}/_last", str(batch_id))
+
+
+def _check_turn(spark: SparkSession, path: str, batch_id: int) -> int:
+    """The last batch stored; an older one than that is refused."""
     last = last_batch(spark, path)
     if batch_id < last:
         raise ValueError(f"batch {batch_id} comes after batch {last} is stored in {path}")
-    placed = conform(df, schema).withColumn("ingest_date", F.expr(_UTC_DATE))
-    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        placed = placed.hint("rebalance", "ingest_date")
-    else:
-        # A date is dealt over a few tasks, as nothing can split it later.
-        salt = F.pmod(F.xxhash64("timestamp"), F.lit(8))
-        placed = placed.repartition("ingest_date", salt)
-    placed.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch={batch_id}")
+    return last
+
+
+def _by_date(df: DataFrame, *more: str) -> DataFrame:
+    placed = df.withColumn("ingest_date", F.expr(_UTC_DATE))
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return placed.hint("rebalance", *more, "ingest_date")
+    # A date is dealt over a few tasks, as nothing can split it later.
+    return placed.repartition(*more, "ingest_date", F.pmod(F.xxhash64("timestamp"), F.lit(8)))
+
+
+#: The tables that one pass over a batch fills.
+HISTORY, REJECTED, REFUSED_NODES = "packet_history", "rejected", "rejected_nodes"
+TABLES = (HISTORY, REJECTED, REFUSED_NODES)
+
+
+def table_path(out: str, table: str) -> str:
+    return f"{out}/table={table}"
+
+
+def append_routed(rows: DataFrame, out: str, batch_id: int) -> None:
+    """Store marked rows, each in the table that its column `table` names; history rows only if new.
+
+    `rows` come from plans.tables.routed_rows. One pass, one exchange and one write: rows of the other
+    tables go through the check as keys of their own. What an earlier attempt left of the batch is
+    removed first.
+    """
+    spark = rows.sparkSession
+    history = table_path(out, HISTORY)
+    last = _check_turn(spark, history, batch_id)
+    for table in TABLES:
+        delete(spark, f"{table_path(out, table)}/batch={batch_id}")
+    stays = F.col("table") == HISTORY
+    fresh = first_new(rows, earlier_keys(rows.filter(stays), _keys(history), batch_id), apart=~stays)
+    placed = fresh.drop("seq").withColumn("batch", F.lit(batch_id).cast("bigint"))
+    _by_date(placed, "table").write.mode("append").partitionBy("table", "batch", "ingest_date").parquet(out)
     if batch_id > last:
-        replace_text(spark, f"{path}/_last", str(batch_id))
+        replace_text(spark, f"{history}/_last", str(batch_id))
+    _keep_keys(spark, history, batch_id)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
@@ -78,15 +117,21 @@ def _keys(path: str) -> str:
 
 def append_history(rows: DataFrame, path: str, batch_id: int) -> None:
     """Store the rows whose key is new. `rows` are storable packet rows with `seq`; they are read for
-    their buckets, their keyed and their keyless part, so stage or persist them.
+    their keys and for themselves, so stage or persist them.
 
-    Cost follows the batch and the keys in its buckets; the stored packets are not read.
+    Cost follows the batch and a scan of the stored keys; the stored packets are not read.
     """
     spark = rows.sparkSession
     fresh = first_new(rows, earlier_keys(rows, _keys(path), batch_id))
     _replace_batch(fresh, path, PACKET_HISTORY, batch_id)
+    _keep_keys(spark, path, batch_id)
+
+
+def _keep_keys(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Note the keys that the batch has stored, from what it stored."""
     keys = T.StructType([PACKET_HISTORY[k] for k in PACKET_KEY])
-    stored = spark.read.schema(keys).parquet(f"{path}/batch={batch_id}")
+    folder = f"{path}/batch={batch_id}"
+    stored = spark.read.schema(keys).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], keys)
     write_keys(stored, _keys(path), batch_id)
 
 

@@ -1,15 +1,15 @@
 """The keys of stored packets, apart from the packets: what a batch is checked against.
 
-Layout: v=V/batch=N/bucket=B. BUCKETS is fixed for the life of a table. Within a bucket rows are
-sorted by key. A batch replaces its own folder, reads only earlier batches, and only the buckets that
-its own keys fall in; the history itself is never read or listed. compact_keys, called when there are
-many small batches, rewrites all but the last as one, in a new version that readers turn to once it is
-marked whole.
+Layout: v=V/batch=N, rows sorted by key, files as large as the rows ask for. A batch replaces its own
+folder and reads only earlier batches; the history itself is never read or listed. A batch takes from
+the stored keys those that it has too, so that what goes on to the check is no larger than the batch.
+compact_keys, called when there are many small batches, rewrites all but the last as one, in a new
+version that readers turn to once it is marked whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,22 +17,15 @@ from radiolake.operators.dedup import keyed_rows
 from radiolake.schemas import PACKET_HISTORY, PACKET_KEY
 from radiolake.sources.storage import delete, exists, numbered, write_new
 
-#: A power of two; a busy day's keys should fill a bucket with some megabytes.
-BUCKETS = 64
-
 #: The mark of a version that is whole; a name that readers of parquet skip.
 _WHOLE = "_whole"
 
 _STORED = T.StructType(
     [T.StructField(k, PACKET_HISTORY[k].dataType) for k in PACKET_KEY]
-    + [T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
+    + [T.StructField("batch", T.LongType())]
 )
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64(*PACKET_KEY), F.lit(BUCKETS)).cast("int")
-
-
 def _version(spark: SparkSession, path: str) -> str:
     """The newest version that is whole. No file names it, so none can be cut off; there are two at most."""
     whole = [v for v in numbered(spark, path, "v") if v == 0 or exists(spark, f"{path}/v={v}/{_WHOLE}")]
@@ -40,9 +33,8 @@ def _version(spark: SparkSession, path: str) -> str:
 
 
 def _write(keys: DataFrame, folder: str) -> None:
-    keys.withColumn("bucket", _bucket()).repartition("bucket").sortWithinPartitions(
-        "bucket", *PACKET_KEY
-    ).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    dealt = keys.hint("rebalance", *PACKET_KEY).sortWithinPartitions(*PACKET_KEY)
+    dealt.write.mode("overwrite").parquet(folder)
 
 
 def write_keys(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -63,13 +55,13 @@ def _all_keys(spark: SparkSession, path: str) -> DataFrame:
 
 
 def earlier_keys(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Stored keys of earlier batches in the buckets of this batch, which is read for them."""
-    spark = batch.sparkSession
-    stored = _all_keys(spark, path).filter(F.col("batch") < batch_id)
-    buckets = keyed_rows(batch).select(_bucket().alias("b")).distinct().collect()  # BUCKETS rows at most
-    if len(buckets) < BUCKETS:
-        stored = stored.filter(F.col("bucket").isin([r["b"] for r in buckets]))
-    return stored.select(*PACKET_KEY)
+    """The keys of `batch`, which is read for them, that earlier batches have stored.
+
+    Where the batch's keys are small enough to be broadcast, as those of a micro-batch, the stored ones
+    are only scanned; a larger batch meets them in an exchange of both.
+    """
+    stored = _all_keys(batch.sparkSession, path).filter(F.col("batch") < batch_id).select(*PACKET_KEY)
+    return stored.join(keyed_rows(batch).select(*PACKET_KEY), list(PACKET_KEY), "left_semi")
 
 
 def compact_keys(spark: SparkSession, path: str) -> None:

@@ -55,8 +55,8 @@ def start_first_arrival(
     """Endless dedup on packet keys with the first arrival kept, also inside a micro-batch.
 
     Rows are appended to `path`, a folder per micro-batch, replaced on a replay. Each micro-batch is
-    cut to the first row per key before its one exchange, then checked against the stored keys of
-    its buckets, so a hot key costs a row per task. One stream writes to a path.
+    cut to the first row per key before its one exchange, then checked against the stored keys that
+    it has too, so a hot key costs a row per task. One stream writes to a path.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -610,7 +610,7 @@ def o36_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def o33_ingest_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_history(read_history(spark, f"{_ingest(spark, sf_dir)}/packet_history"))
+    return _show_history(read_history(spark, f"{_ingest(spark, sf_dir)}/table=packet_history"))
 
 
 @query
@@ -639,7 +639,7 @@ def _mixed(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def o02_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show_history(read_history(spark, f"{_mixed(spark, sf_dir)}/packet_history"))
+    return _show_history(read_history(spark, f"{_mixed(spark, sf_dir)}/table=packet_history"))
 
 
 @query
@@ -695,8 +695,8 @@ def o37_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def o37_new_only_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against a table of keys, of which only those of the batch go on to the check."""
     history, batch = _halves(spark, sf_dir)
-    """Against a table of keys, of which only the buckets of the batch are read."""
     keys = scratch_dir(spark, "keys")
     write_keys(history, keys, 0)
     compact_keys(spark, keys)

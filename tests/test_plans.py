@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from radiolake.functions.crypto import make_key_ring
 from radiolake.operators import dedup, nodes
-from radiolake.plans.tables import decoded_messages, node_directory, packet_history
+from radiolake.plans.tables import decoded_messages, node_directory, packet_history, routed_rows
 from radiolake.schemas import RAW_MESSAGES
 from radiolake.operators.filters import storable
 from radiolake.operators.packets import packet_rows
@@ -148,6 +148,29 @@ def test_key_check_reads_no_history(spark, decoded):
     assert "LeftAnti" in text and "WindowGroupLimit" in text
 
 
+def test_stored_keys_are_not_exchanged_for_a_small_batch(spark, decoded):
+    out = scratch_dir(spark, "history")
+    kept, _ = storable(packet_rows(decoded, SETTINGS.ports))
+    append_history(kept, out, 0)
+    known = earlier_keys(kept, f"{out}_keys", 1)
+    known.collect()
+    text = plan(known)
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_a_batch_is_read_once_for_all_rows_it_stores(spark, decoded):
+    """Stored, rejected and refused rows come from one scan, but for the keys of the batch."""
+    out = scratch_dir(spark, "routed")
+    rows = routed_rows(decoded, SETTINGS)
+    assert plan(rows).count("FileScan") == 1 and plan(rows).count("Generate") == 1
+    stays = F.col("table") == "packet_history"
+    known = earlier_keys(rows.filter(stays), f"{out}_keys", 0)
+    text = plan(dedup.first_new(rows, known, apart=~stays))
+    scans = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert sum("payload:binary" in s and "topic" in s for s in scans) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(mesh_packet_id", text)) <= 2
+
+
 def test_dedup_and_key_check_share_one_exchange(spark):
     schema = "mesh_packet_id bigint, gateway_id string, topic string, seq bigint, timestamp timestamp"
     path = scratch_dir(spark, "history")

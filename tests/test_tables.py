@@ -97,13 +97,13 @@ def test_batch_job(spark, sample, ring):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     load_batch(sample[1].filter("seq < 50"), SETTINGS, ring, f"{out}/plain")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    check_history(read_history(spark, f"{out}/plain/packet_history"), sample[0][:50])
+    check_history(read_history(spark, f"{out}/plain/table=packet_history"), sample[0][:50])
     load_batch(sample[1], SETTINGS, ring, out)
-    check_history(read_history(spark, f"{out}/packet_history"), sample[0])
+    check_history(read_history(spark, f"{out}/table=packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
-    reasons = {r.reject_reason for r in read_rejected(spark, f"{out}/rejected").collect()}
+    reasons = {r.reject_reason for r in read_rejected(spark, f"{out}/table=rejected").collect()}
     assert reasons == {"portnum has no name", "rx_time out of range"}
-    assert read_history(spark, f"{out}/packet_history").columns == PACKET_HISTORY.fieldNames()
+    assert read_history(spark, f"{out}/table=packet_history").columns == PACKET_HISTORY.fieldNames()
     assert read_nodes(spark, f"{out}/node_info").columns == NODE_INFO.fieldNames()
 
 
@@ -113,7 +113,7 @@ def test_batches_in_turn_and_again(spark, sample, decoded):
     for batch in (0, 1, 2, 1, 2, 3, 3):
         part = decoded.filter(F.floor(F.col("seq") / (COUNT // 4)) == batch)
         write_tables(part, SETTINGS, out, "writer", batch)
-    check_history(read_history(spark, f"{out}/packet_history"), sample[0])
+    check_history(read_history(spark, f"{out}/table=packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
 
 
@@ -124,15 +124,15 @@ def test_a_failed_batch_goes_before_the_next_writer(spark, sample, decoded):
     first, second = decoded.filter(half), decoded.filter(~half)
     claim = Ledger(spark, out).claim("a", 0)
     kept, _ = storable(packet_rows(first, SETTINGS.ports))
-    append_history(kept, f"{out}/packet_history", claim.number)
+    append_history(kept, f"{out}/table=packet_history", claim.number)
     write_tables(second, SETTINGS, out, "b", 0)
-    assert read_history(spark, f"{out}/packet_history").filter(F.col("mesh_packet_id").isNull()).count() < COUNT
+    assert read_history(spark, f"{out}/table=packet_history").filter(F.col("mesh_packet_id").isNull()).count() < COUNT
     assert write_tables(first, SETTINGS, out, "a", 0)
     assert not write_tables(first, SETTINGS, out, "a", 0)
     once = scratch_dir(spark, "once")
     write_tables(decoded, SETTINGS, once, "c", 0)
     keys = ("mesh_packet_id", "gateway_id")
-    stored, wanted = (read_history(spark, f"{p}/packet_history").select(*keys) for p in (out, once))
+    stored, wanted = (read_history(spark, f"{p}/table=packet_history").select(*keys) for p in (out, once))
     assert stored.count() == wanted.count()
     assert stored.exceptAll(wanted).count() == 0
 
@@ -161,7 +161,7 @@ def cut_off(path):
 
 
 def state_files(out):
-    return {"/".join(p.relative_to(out).parts): p for p in Path(out).rglob("*") if p.is_file() and "=" not in str(p.relative_to(out)) and p.suffix != ".crc" and p.name != "_SUCCESS"}
+    return {"/".join(p.relative_to(out).parts): p for p in Path(out).rglob("*") if p.is_file() and p.suffix not in (".crc", ".parquet") and p.name != "_SUCCESS"}
 
 
 def test_state_files_cut_to_nothing(spark, sample, decoded):
@@ -169,19 +169,19 @@ def test_state_files_cut_to_nothing(spark, sample, decoded):
     out = scratch_dir(spark, "cut")
     half = F.col("seq") < COUNT // 2
     write_tables(decoded.filter(half), SETTINGS, out, "w", 0)
-    compact_keys(spark, f"{out}/packet_history_keys")
+    compact_keys(spark, f"{out}/table=packet_history_keys")
     names = set(state_files(out))
-    assert {"_ledger/last", "_ledger/claim/w/0", "_ledger/number/0", "_ledger/done/0", "packet_history/_last"} <= names
+    assert {"_ledger/last", "_ledger/claim/w/0", "_ledger/number/0", "_ledger/done/0", "table=packet_history/_last"} <= names
     assert not any(n.endswith(".tmp") for n in names)
     for name in sorted(names - {"_ledger/number/0"}):
         cut_off(state_files(out)[name])
         assert not write_tables(decoded.filter(half), SETTINGS, out, "w", 0), name
     assert write_tables(decoded.filter(~half), SETTINGS, out, "v", 0)
-    for name in ("_ledger/last", "_ledger/claim/v/0", "packet_history/_last"):
+    for name in ("_ledger/last", "_ledger/claim/v/0", "table=packet_history/_last"):
         cut_off(state_files(out)[name])
     assert not write_tables(decoded.filter(~half), SETTINGS, out, "v", 0)
-    assert last_batch(spark, f"{out}/packet_history") == 1
-    check_history(read_history(spark, f"{out}/packet_history"), sample[0])
+    assert last_batch(spark, f"{out}/table=packet_history") == 1
+    check_history(read_history(spark, f"{out}/table=packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
 
 
@@ -263,7 +263,7 @@ def test_stream_batch_job_and_the_stream_again(spark, sample, ring):
     assert load_batch(sample[1].filter(place == 2), SETTINGS, ring, out, job="middle")
     stream(3, 4)
     assert not load_batch(sample[1].filter(place == 2), SETTINGS, ring, out, job="middle")
-    check_history(read_history(spark, f"{out}/packet_history"), sample[0])
+    check_history(read_history(spark, f"{out}/table=packet_history"), sample[0])
     check_nodes(read_nodes(spark, f"{out}/node_info"), sample[0])
     assert finished_versions(spark, f"{out}/node_info") == [0, 1, 2, 3, 4]
 
