@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,9 +104,17 @@ def node_directory(decoded: DataFrame, settings: Settings) -> DataFrame:
     return conform(fold_nodes(directory_changes(decoded, settings)), NODE_INFO)
 
 
-# Columns of a routed row that its table does not have are NULL; a stored row has all of the history's.
-_REJECTED_ONLY = ("timestamp", "topic", "from_node_id", "portnum", "gateway_id", "mesh_packet_id", "raw_service_envelope")
-_REFUSED_ONLY = ("timestamp", "channel_id")
+# The history's columns that the other tables have too; the rest are NULL in their rows.
+_SHARED = {
+    REJECTED: ("timestamp", "topic", "from_node_id", "portnum", "gateway_id", "mesh_packet_id", "raw_service_envelope"),
+    REFUSED_NODES: ("timestamp", "channel_id"),
+}
+
+
+def _routed_column(field: T.StructField) -> str:
+    tables = ", ".join(f"'{t}'" for t in (HISTORY, *(t for t, names in _SHARED.items() if field.name in names)))
+    kept = f"CASE WHEN table IN ({tables}) THEN `{field.name}` END"
+    return f"CAST({kept} AS {field.dataType.simpleString()}) AS `{field.name}`"
 
 
 def routed_rows(decoded: DataFrame, settings: Settings) -> DataFrame:
@@ -114,21 +122,15 @@ def routed_rows(decoded: DataFrame, settings: Settings) -> DataFrame:
     packets and refused node descriptions, marked in one pass over the messages."""
     marked = with_node_reason(decoded, settings.spec, settings.names)
     judged = packet_rows(marked, settings.ports, ("node_reason",)).withColumn("reject_reason", reject_reason())
-    packet = F.when(F.col("reject_reason").isNull(), F.lit(HISTORY)).otherwise(F.lit(REJECTED))
-    tables = F.array_compact(F.array(packet, F.when(F.col("node_reason").isNotNull(), F.lit(REFUSED_NODES))))
-    dealt = judged.withColumn("table", F.explode(tables))
-    table = F.col("table")
-
-    def column(field: T.StructField) -> Column:
-        others = [t for t, names in ((REJECTED, _REJECTED_ONLY), (REFUSED_NODES, _REFUSED_ONLY)) if field.name in names]
-        return F.when(table.isin(HISTORY, *others), F.col(field.name)).cast(field.dataType).alias(field.name)
-
-    refused = table == REFUSED_NODES
-    return dealt.select(
-        *[column(field) for field in PACKET_HISTORY.fields],
-        F.when(refused, F.col("from_node_id")).alias("node_id"),
-        F.when(refused, F.col("raw_payload")).alias("payload"),
-        F.when(refused, F.col("node_reason")).otherwise(F.col("reject_reason")).alias("reject_reason"),
+    tables = f"""explode(array_compact(array(
+        CASE WHEN reject_reason IS NULL THEN '{HISTORY}' ELSE '{REJECTED}' END,
+        CASE WHEN node_reason IS NOT NULL THEN '{REFUSED_NODES}' END)))"""
+    refused = f"table = '{REFUSED_NODES}'"
+    return judged.withColumn("table", F.expr(tables)).selectExpr(
+        *map(_routed_column, PACKET_HISTORY.fields),
+        f"CASE WHEN {refused} THEN from_node_id END AS node_id",
+        f"CASE WHEN {refused} THEN raw_payload END AS payload",
+        f"CASE WHEN {refused} THEN node_reason ELSE reject_reason END AS reject_reason",
         "seq",
         "table",
     )
