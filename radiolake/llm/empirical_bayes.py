@@ -24,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from radiolake.llm.bitmap import bitmap_of, in_bitmap
 from radiolake.llm.text import ascii_lower, count_of, join_same, space_words, text_of
 from radiolake.session import stage
 
@@ -85,7 +86,7 @@ def _weights(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     named = ("good", "toxic")
     sums = [a for c in named for a in (F.coalesce(F.sum(c), F.lit(0)).alias(c), F.count(c).alias(f"n_{c}"))]
     counts = (
-        labelled.select(*named, F.explode(F.array_distinct("slots")).alias("slot")).groupBy("slot").agg(*sums).toPandas()
+        labelled.select(*named, F.explode("slots").alias("slot")).groupBy("slot").agg(*sums).toPandas()
     )
     good, bad, toxic, judged = np.zeros((4, SLOTS))
     good[counts["slot"]] = counts["good"]
@@ -193,18 +194,20 @@ def quality(documents: DataFrame, labels: DataFrame, host: Column, path: Column)
         )
     )
     features = _measured(documents.select("doc_id", "text", *_inputs(documents)), host, path)
-    with_label = features.join(judged, "doc_id", "left")
     half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2))
-    words = stage(features.join(judged, "doc_id").filter(half == 0).select("good", "toxic", "slots"), "evidence_words")
+    # Slots go into an exchange for documents with a label only; texts are hashed for those alone.
+    known, token = judged.filter(half == 0), F.xxhash64("doc_id")
+    bits = bitmap_of(known.select(token.alias("token")))
+    told = features.filter((half == 0) & in_bitmap(bits, token)).select("doc_id", F.array_distinct("slots").alias("slots"))
+    words = stage(told.join(known, "doc_id").select("good", "toxic", "slots"), "evidence_words")
     weights, toxic = _weights(words)
-    kept = [c for c in with_label.columns if c != "slots"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in with_label.schema if f.name != "slots")
-    scored = stage(
-        with_label.select(*kept, "slots").mapInArrow(
-            _evidence(weights, toxic, kept), f"{schema}, evidence double, toxic_first double, toxic_sum double"
-        ),
-        "evidence",
+    # All documents meet their labels after their slots have become three numbers.
+    kept = [c for c in features.columns if c != "slots"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in features.schema if f.name != "slots")
+    evidence = features.select(*kept, "slots").mapInArrow(
+        _evidence(weights, toxic, kept), f"{schema}, evidence double, toxic_first double, toxic_sum double"
     )
+    scored = stage(evidence.join(judged, "doc_id", "left"), "evidence")
 
     share, toxic_share = scored.agg(
         F.coalesce(F.avg("good"), F.lit(0.5)), F.coalesce(F.avg("toxic"), F.lit(0.0))
