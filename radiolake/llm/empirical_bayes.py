@@ -58,6 +58,9 @@ def _slots(text: Column) -> Column:
 
 
 MEASURES = ("evidence", "marks", "capitals", "size", "repeats")
+#: Rows whose slots a task holds as numbers at once.
+ROWS = 512
+
 TOXIC_MEASURES = ("toxic_first", "toxic_sum", "size")
 
 
@@ -121,19 +124,21 @@ def _strongest(values: np.ndarray, slots: np.ndarray, row: np.ndarray, rows: int
 
 def _evidence(weights: np.ndarray, toxic: np.ndarray, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("slots")
-            offsets = lists.offsets.to_numpy()
-            slots = lists.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
-            sums = np.concatenate([[0.0], np.cumsum(weights[slots])])
-            lengths = np.maximum(np.diff(offsets), 1)
-            mean = (sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]) / lengths
-            row = np.repeat(np.arange(len(lists)), np.diff(offsets))
-            added = (mean, *_strongest(toxic[slots], slots, row, len(lists)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), *map(pa.array, added)],
-                names=[*kept, "evidence", "toxic_first", "toxic_sum"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                lists = batch.column("slots")
+                offsets = lists.offsets.to_numpy()
+                slots = lists.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64)
+                sums = np.concatenate([[0.0], np.cumsum(weights[slots])])
+                lengths = np.maximum(np.diff(offsets), 1)
+                mean = (sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]) / lengths
+                row = np.repeat(np.arange(len(lists)), np.diff(offsets))
+                added = (mean, *_strongest(toxic[slots], slots, row, len(lists)))
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in kept), *map(pa.array, added)],
+                    names=[*kept, "evidence", "toxic_first", "toxic_sum"],
+                )
 
     return run
 
