@@ -81,7 +81,6 @@ def main() -> None:
         "o17_decrypt_0_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 0))),
         "o17_decrypt_1_key": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 1))),
         "o17_decrypt_8_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 8))),
-        "o17_decrypt_50_keys": lambda: _run(decoded_messages(raw, SETTINGS, _ring(spark, 50))),
         "o18_o32_history_from_decoded": lambda: _run(packet_history(decoded, SETTINGS)),
         "o32_first_arrival": lambda: _run(first_arrival(rows)),
         "o34_o35_directory_from_decoded": lambda: _run(node_directory(decoded, SETTINGS)),
