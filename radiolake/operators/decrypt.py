@@ -17,8 +17,24 @@ from radiolake.operators.decode import RecordSpec, open_data
 from radiolake.operators.filters import is_encrypted
 
 
-#: Ring entries tried in one step; a packet carries three key streams of its own size for each.
+#: Ring entries tried in the first step; a packet carries three key streams of its own size for each.
 RING_STEP = 4
+#: Each further step tries this many times as many entries as the one before it.
+RING_GROWTH = 4
+
+
+def ring_steps(ring_size: int) -> list[tuple[int, int]]:
+    """First entry and number of entries of each step: few for the common case, then ever more.
+
+    Every step is an evaluation in Python with workers of its own, so their number must not grow
+    with the ring; it grows with its logarithm. A packet tries at most RING_GROWTH times as many
+    entries as it needs, or RING_STEP.
+    """
+    steps, first, count = [], 0, RING_STEP
+    while first < ring_size:
+        steps.append((first, min(count, ring_size - first)))
+        first, count = first + count, count * RING_GROWTH
+    return steps
 
 
 def _opened(blocks: Column, keys: Column, spec: RecordSpec, unknown_port: int) -> Column:
@@ -38,9 +54,10 @@ def decrypt_packets(
     """Replace `env.packet.decoded` where a key opens the packet; leave every other row as it is.
 
     Narrow: no shuffle, and the same for a stream. The default key is tried on its own first, then
-    the ring in steps of RING_STEP entries, each only for packets that are still closed; so what a
-    packet sends to Python does not grow with the ring. The number of steps is part of the plan:
-    give `ring_size`, at least the number of entries, or the one row of the ring is asked for it.
+    the ring in growing steps, each only for packets that are still closed. Only a packet that no
+    earlier step opens sends the streams of the last and largest step to Python; Spark bounds the
+    bytes of a batch (spark.sql.execution.arrow.maxBytesPerBatch). The number of steps is part of
+    the plan: give `ring_size`, at least the number of entries, or the one row of the ring is asked.
     """
     if ring_size is None:
         ring_size = key_ring.select(F.size("ring")).first()[0]
@@ -59,9 +76,9 @@ def decrypt_packets(
     opened = prepared.withColumn(
         "__found", _opened(F.col("__blocks"), default_candidates(channel, keys), spec, unknown_port)
     )
-    for first in range(0, ring_size, RING_STEP):
+    for first, count in ring_steps(ring_size):
         rest = F.when(F.col("__found").isNull(), F.col("__blocks"))
-        candidates = ring_candidates(channel, keys, first, RING_STEP)
+        candidates = ring_candidates(channel, keys, first, count)
         opened = opened.withColumn(
             "__by_ring", _opened(rest, candidates, spec, unknown_port)
         ).withColumn("__found", F.coalesce("__found", "__by_ring"))

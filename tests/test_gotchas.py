@@ -202,6 +202,16 @@ def test_every_key_step_opens(spark, history, name):
     assert (row.portnum_name, bytes(row.raw_payload)) == ("FX_ONE", b"secret words")
 
 
+@pytest.mark.parametrize("place", [0, 3, 4, 19, 20, 49])
+def test_a_long_ring_is_searched_to_its_end(spark, history, place):
+    """Keys at the borders of the steps."""
+    ring = [(f"idle{i}", base64.b64encode(bytes([i]) * 16).decode()) for i in range(50)]
+    sealed = seal(spark, data(1, b"secret words"), 77, 8, bytes([place]) * 16)
+    message = envelope(portnum=None, id=77, sender=8, encrypted=sealed)
+    (row,) = history((TOPIC, message), keys=make_key_ring(spark, ring))
+    assert (row.portnum_name, bytes(row.raw_payload)) == ("FX_ONE", b"secret words")
+
+
 def test_g12_wrong_length_keys_fail_quietly(spark, history):
     keys = make_key_ring(spark, [("", "AQ==")], default_key="AQID")
     (row,) = history((TOPIC, envelope(portnum=None, encrypted=b"xyz")), keys=keys)

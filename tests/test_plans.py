@@ -11,6 +11,7 @@ from radiolake.functions.crypto import make_key_ring
 from radiolake.operators import dedup, nodes
 from radiolake.plans.tables import decoded_messages, node_directory, packet_history, routed_rows
 from radiolake.schemas import RAW_MESSAGES
+from radiolake.operators.decrypt import ring_steps
 from radiolake.operators.filters import storable
 from radiolake.operators.packets import packet_rows
 from radiolake.session import check_local, scratch_dir, stage
@@ -189,10 +190,18 @@ def test_dedup_and_key_check_share_one_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_ring_goes_to_python_in_steps(spark, stored):
-    long_ring = make_key_ring(spark, [(f"n{i}", "AQ==") for i in range(9)])
-    text = plan(decoded_messages(stored, SETTINGS, long_ring))
-    assert text.count("ArrowEvalPython") == 2 + 3
+def test_ring_goes_to_python_in_growing_steps(spark, stored):
+    """Python evaluations grow with the logarithm of the ring: 4, 16 and 30 of 50 entries."""
+    for entries, steps in ((4, 1), (9, 2), (20, 2), (50, 3)):
+        ring = make_key_ring(spark, [(f"n{i}", "AQ==") for i in range(entries)])
+        assert plan(decoded_messages(stored, SETTINGS, ring)).count("ArrowEvalPython") == 2 + steps
+
+
+def test_ring_steps_take_each_entry_once_in_order():
+    for size in (0, 1, 4, 5, 20, 21, 50, 84, 85, 1000):
+        taken = [i for first, count in ring_steps(size) for i in range(first, first + count)]
+        assert taken == list(range(size))
+    assert len(ring_steps(5000)) == 6
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():
