@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from radiolake.llm.license_scan import PERCENT, SHINGLE, STRIDES, TEMPLATES
-from radiolake.llm.quality_rules import FENCES, MEASURES, MIN_GROUP
+from radiolake.llm.quality_rules import FENCES, MEASURES, PRIOR
 
 _MEASURE_SQL = {
     "word_length": "word_chars * 1000 // greatest(n_words, 1)",
@@ -15,9 +15,20 @@ assert set(_MEASURE_SQL) == set(MEASURES)
 
 
 def quality_sql() -> str:
-    spread = " ".join(f"WHEN '{f.measure}' THEN {f.spread}" for f in FENCES)
-    reach = " ".join(f"WHEN '{f.measure}' THEN {f.reach}" for f in FENCES)
-    low = ", ".join(f"'{f.measure}'" for f in FENCES if f.low)
+    def each(field: str) -> str:
+        cases = [(f.measure, getattr(f, field)) for f in FENCES]
+        return "CASE measure " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in cases if v is not None) + " END"
+
+    def tails(name: str, table: str, *keys: str) -> str:
+        by = ", ".join([*keys, "measure"])
+        return f"""{name} AS (SELECT {by}, max(n) AS n, min(b) FILTER (100 * u >= {each("lower")} * n) AS lo,
+  min(b) FILTER (100 * u >= {each("upper")} * n) AS hi FROM (SELECT *, sum(c) OVER (PARTITION BY {by} ORDER BY b) AS u,
+  sum(c) OVER (PARTITION BY {by}) AS n FROM {table}) GROUP BY ALL)"""
+
+    def drawn(q: str) -> str:
+        lang = f"floor((q2.{q} * q2.n + q3.{q} * {PRIOR}) / (q2.n + {PRIOR}))"
+        return f"CAST(floor((q1.{q} * q1.n + {lang} * {PRIOR}) / (q1.n + {PRIOR})) AS BIGINT)"
+
     values = " UNION ALL ".join(
         f"SELECT lang, source, doc_id, '{k}' AS measure, {v} AS v FROM counts" for k, v in _MEASURE_SQL.items()
     )
@@ -35,30 +46,20 @@ counts AS (SELECT s.doc_id, lang, source, len(ws) AS n_words,
   len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM split s LEFT JOIN rep ON rep.doc_id = s.doc_id),
 vals AS ({values}),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
 sk AS (SELECT lang, source, measure, v - v % CAST(pow(2, greatest(length(bin(v)) - 7, 0)) AS BIGINT) AS b, count(*) AS c
-  FROM vals WHERE doc_id IN (SELECT doc_id FROM counts WHERE n_words > 0) GROUP BY ALL),
-q1 AS (SELECT lang, source, measure, max(n) AS n, min(b) FILTER (4 * u >= n) AS q1, min(b) FILTER (4 * u >= 3 * n) AS q3
-  FROM (SELECT *, sum(c) OVER (PARTITION BY lang, source, measure ORDER BY b) AS u,
-    sum(c) OVER (PARTITION BY lang, source, measure) AS n FROM sk) GROUP BY ALL),
+  FROM vals WHERE doc_id IN (SELECT doc_id FROM base WHERE NOT base_failed) GROUP BY ALL),
+{tails("q1", "sk", "lang", "source")},
 sk2 AS (SELECT lang, measure, b, sum(c) AS c FROM sk GROUP BY ALL),
-q2 AS (SELECT lang, measure, max(n) AS n, min(b) FILTER (4 * u >= n) AS q1, min(b) FILTER (4 * u >= 3 * n) AS q3
-  FROM (SELECT *, sum(c) OVER (PARTITION BY lang, measure ORDER BY b) AS u,
-    sum(c) OVER (PARTITION BY lang, measure) AS n FROM sk2) GROUP BY ALL),
+{tails("q2", "sk2", "lang")},
 sk3 AS (SELECT measure, b, sum(c) AS c FROM sk GROUP BY ALL),
-q3 AS (SELECT measure, max(n) AS n, min(b) FILTER (4 * u >= n) AS q1, min(b) FILTER (4 * u >= 3 * n) AS q3
-  FROM (SELECT *, sum(c) OVER (PARTITION BY measure ORDER BY b) AS u,
-    sum(c) OVER (PARTITION BY measure) AS n FROM sk3) GROUP BY ALL),
-lv AS (SELECT q1.lang, q1.source, q1.measure,
-  CASE WHEN q1.n >= {MIN_GROUP} THEN q1.q1 WHEN q2.n >= {MIN_GROUP} THEN q2.q1 ELSE q3.q1 END AS a,
-  CASE WHEN q1.n >= {MIN_GROUP} THEN q1.q3 WHEN q2.n >= {MIN_GROUP} THEN q2.q3 ELSE q3.q3 END AS z
+{tails("q3", "sk3")},
+lv AS (SELECT q1.lang, q1.source, q1.measure, {drawn("lo")} AS lo, {drawn("hi")} AS hi
   FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.measure = q2.measure JOIN q3 ON q1.measure = q3.measure),
-fence AS (SELECT lang, source, measure,
-  z + CASE measure {reach} END * greatest(z - a, CASE measure {spread} END) AS high,
-  CASE WHEN measure IN ({low}) THEN a - CASE measure {reach} END * greatest(z - a, CASE measure {spread} END) END AS low
-  FROM lv),
+fence AS (SELECT lang, source, measure, hi + hi * {each("slack")} // 100 + {each("least")} AS high,
+  lo - lo * {each("slack")} // 100 - {each("least")} AS low FROM lv),
 out AS (SELECT DISTINCT v.doc_id FROM vals v JOIN fence f ON v.lang IS NOT DISTINCT FROM f.lang
-  AND v.source IS NOT DISTINCT FROM f.source AND v.measure = f.measure WHERE v.v > f.high OR v.v < f.low),
-base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+  AND v.source IS NOT DISTINCT FROM f.source AND v.measure = f.measure WHERE v.v > f.high OR v.v < f.low)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM out) AS kept
 FROM base"""

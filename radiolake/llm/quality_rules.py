@@ -2,9 +2,10 @@
 
 One pass measures every document. Measures go into histograms with buckets of bounded relative
 width, one per language, source and measure: a quantile sketch whose merge is a sum of counts, so
-it combines before every exchange and does not depend on the order of rows. Sources with few
-documents are judged by the merged sketch of their language, and small languages by that of all.
-Fences of Tukey's kind, read from the sketches, are joined back to the documents.
+it combines before every exchange and does not depend on the order of rows. Documents that fail the
+base rules are not in them. The thresholds are tail quantiles of each sketch, drawn towards those of
+the language, and these towards those of all, the more the fewer documents there are; a join brings
+them to the documents.
 """
 
 from __future__ import annotations
@@ -24,26 +25,29 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 
 @dataclass(frozen=True)
 class Fence:
-    """A measure is an outlier beyond a quartile by `reach` times the quartile distance.
+    """A measure is an outlier above a group's upper quantile, or below its lower one, by a margin.
 
-    `spread` is the least distance taken, in thousandths, so that a source of equal documents
-    does not reject the first one that differs a little.
+    `upper` and `lower` are percents of the group's documents. `upper` stays below the share of
+    documents that bad sources spoil, so 90 for what junk shows and 99 for what good texts show now
+    and then too. The margin is `slack` percent of the quantile and `least` thousandths, which keep
+    a source of equal documents from rejecting the first one that differs a little.
     """
 
     measure: str
-    spread: int
-    low: bool
-    reach: int = 3
+    upper: int
+    slack: int
+    least: int
+    lower: int | None = None
 
 
 FENCES = (
-    Fence("word_length", 1000, low=True),
-    Fence("symbols_per_word", 150, low=False),
-    Fence("duplicate_lines", 100, low=False),
-    Fence("repeated_words", 80, low=False),
+    Fence("word_length", upper=90, slack=10, least=100, lower=1),
+    Fence("symbols_per_word", upper=90, slack=50, least=50),
+    Fence("duplicate_lines", upper=99, slack=50, least=50),
+    Fence("repeated_words", upper=99, slack=100, least=50),
 )
-#: A sketch of fewer documents is replaced by that of the level above.
-MIN_GROUP = 100
+#: A group's quantile counts as many documents as the group has, that of the level above as many as this.
+PRIOR = 200
 
 
 def _repeated_words(words: Column) -> Column:
@@ -158,11 +162,11 @@ def bucket(value: Column) -> Column:
 
 
 def sketches(counts: DataFrame) -> DataFrame:
-    """lang, source, measure, bucket, n: the sketches of all documents with a word.
+    """lang, source, measure, bucket, n: the sketches of all documents that pass the base rules.
 
     Two sketches are merged by adding n.
     """
-    each = counts.filter("n_words > 0").select(
+    each = counts.filter(~base_failed()).select(
         "lang",
         "source",
         F.explode(
@@ -176,8 +180,13 @@ def sketches(counts: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Per key and measure the number of documents and the first and third quartile.
+def _by_measure(values: dict[str, int | None]) -> Column:
+    named = [F.when(F.col("measure") == k, F.lit(v)) for k, v in values.items() if v is not None]
+    return F.coalesce(*named)
+
+
+def _tails(sketch: DataFrame, *keys: str) -> DataFrame:
+    """Per key and measure the number of documents and the fence's lower and upper quantile.
 
     A window holds one sketch, of a few thousand buckets at most.
     """
@@ -191,41 +200,43 @@ def _quartiles(sketch: DataFrame, *keys: str) -> DataFrame:
         F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         F.sum("n").over(whole).alias("n"),
     )
+
+    def quantile(percents: dict[str, int | None], name: str) -> Column:
+        reached = 100 * F.col("upto") >= _by_measure(percents) * F.col("n")
+        return F.min(F.when(reached, F.col("bucket"))).alias(name)
+
     return ranked.groupBy(*keys, "measure").agg(
         F.max("n").alias("n"),
-        F.min(F.when(4 * F.col("upto") >= F.col("n"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("n"), F.col("bucket"))).alias("q3"),
+        quantile({f.measure: f.lower for f in FENCES}, "low"),
+        quantile({f.measure: f.upper for f in FENCES}, "high"),
     )
 
 
+def _drawn(name: str, count: str, towards: Column) -> Column:
+    """The mean of a quantile, counted `count` times, and that of the level above, counted PRIOR times."""
+    return F.floor((F.col(name) * F.col(count) + towards * PRIOR) / (F.col(count) + PRIOR))
+
+
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source and, per measure, the bounds <measure>_low and <measure>_high."""
-    own = _quartiles(sketch, "lang", "source")
-    lang = _quartiles(sketch, "lang").withColumnsRenamed({k: f"{k}_2" for k in ("n", "q1", "q3")})
-    every = _quartiles(sketch).withColumnsRenamed({k: f"{k}_3" for k in ("n", "q1", "q3")})
-    joined = (
-        own.join(
-            lang.withColumnsRenamed({"lang": "lang_2", "measure": "measure_2"}),
-            F.col("lang").eqNullSafe(F.col("lang_2")) & (F.col("measure") == F.col("measure_2")),
-        )
-        .join(every.withColumnRenamed("measure", "measure_3"), F.expr("measure = measure_3"))
-    )
+    names = ("n", "low", "high")
+    own = _tails(sketch, "lang", "source")
+    lang = _tails(sketch, "lang").withColumnsRenamed({k: f"{k}_2" for k in names})
+    every = _tails(sketch).withColumnsRenamed({k: f"{k}_3" for k in names})
+    joined = join_same(join_same(own, lang, ["lang", "measure"]), every, ["measure"])
 
-    def level(name: str) -> Column:
-        return (
-            F.when(F.col("n") >= MIN_GROUP, F.col(name))
-            .when(F.col("n_2") >= MIN_GROUP, F.col(f"{name}_2"))
-            .otherwise(F.col(f"{name}_3"))
-        )
+    def drawn(name: str) -> Column:
+        return _drawn(name, "n", _drawn(f"{name}_2", "n_2", F.col(f"{name}_3")))
 
-    taken = joined.select("lang", "source", "measure", level("q1").alias("q1"), level("q3").alias("q3"))
+    taken = joined.select("lang", "source", "measure", drawn("low").alias("low"), drawn("high").alias("high"))
     bounds = []
     for fence in FENCES:
         here = F.col("measure") == fence.measure
-        reach = fence.reach * F.greatest(F.col("q3") - F.col("q1"), F.lit(fence.spread))
-        bounds.append(F.max(F.when(here, F.col("q3") + reach)).alias(f"{fence.measure}_high"))
-        if fence.low:
-            bounds.append(F.max(F.when(here, F.col("q1") - reach)).alias(f"{fence.measure}_low"))
+        high = F.expr(f"high + high * {fence.slack} div 100 + {fence.least}")
+        bounds.append(F.max(F.when(here, high)).alias(f"{fence.measure}_high"))
+        if fence.lower is not None:
+            low = F.expr(f"low - low * {fence.slack} div 100 - {fence.least}")
+            bounds.append(F.max(F.when(here, low)).alias(f"{fence.measure}_low"))
     return taken.groupBy("lang", "source").agg(*bounds)
 
 
@@ -236,7 +247,7 @@ def judged(counts: DataFrame, bounds: DataFrame) -> DataFrame:
     for fence in FENCES:
         value = _thousandths(fence.measure)
         kept = kept & (value <= F.coalesce(F.col(f"{fence.measure}_high"), value))
-        if fence.low:
+        if fence.lower is not None:
             kept = kept & (value >= F.coalesce(F.col(f"{fence.measure}_low"), value))
     return (
         join_same(counts, bounds, ["lang", "source"], "left")
@@ -246,6 +257,14 @@ def judged(counts: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
+def _verdicts(counts: DataFrame) -> DataFrame:
+    """judged() with the counts' own bounds. The bounds are stored first: Spark then knows their size
+    when it plans the join, and does not exchange the documents for a few rows."""
+    from radiolake.session import stage
+
+    return judged(counts, stage(thresholds(sketches(counts)), "quality_bounds"))
+
+
 def quality_verdicts(documents: DataFrame) -> DataFrame:
     """doc_id, lang, source, the counts, base_failed and kept: one row for each row.
 
@@ -254,21 +273,21 @@ def quality_verdicts(documents: DataFrame) -> DataFrame:
     """
     from radiolake.session import stage
 
-    counts = stage(
-        measured(only(documents, "doc_id", "text", "lang", "source")).drop("text"), "quality_counts"
-    )
-    return judged(counts, thresholds(sketches(counts)))
+    counts = measured(only(documents, "doc_id", "text", "lang", "source")).drop("text")
+    return _verdicts(stage(counts, "quality_counts"))
 
 
 def quality_filter(documents: DataFrame) -> DataFrame:
     """The documents that are kept, with the columns they came with.
 
-    The text is measured twice, once for the sketches and once for the filter, and never exchanged.
+    The text is measured once, stored with its counts, and exchanged only if the bounds of all
+    languages and sources are too many to broadcast.
     """
+    from radiolake.session import stage
+
     names = documents.columns
     inner = documents.select(
         "text", "lang", "source", F.struct(*[documents[c] for c in names]).alias("_all")
     )
-    counts = measured(inner)
-    bounds = thresholds(sketches(measured(only(documents, "text", "lang", "source"))))
-    return judged(counts, bounds).filter("kept").select("_all.*")
+    counts = stage(measured(inner).drop("text"), "quality_documents")
+    return _verdicts(counts).filter("kept").select("_all.*")

@@ -524,3 +524,43 @@ def test_pipeline(spark):
         if name != "packing":
             assert current.columns == docs.columns
     assert {r.doc_id for r in current.collect()} == before
+
+
+def _source(first: int, name: str, texts: list[str]) -> list[tuple]:
+    return [(first + i, t, "en", name) for i, t in enumerate(texts)]
+
+
+def test_sources_with_other_tails_get_other_thresholds(spark):
+    """Prose and source code: each is judged by its own upper quantiles, and junk goes from both."""
+    prose = [f"a{i} " + "plain words of a text " * 2 + f"{i} " + " ".join(f"w{i}x{j}" for j in range(20)) for i in range(600)]
+    code = [" ".join(f"v{i}x{j} <" if j % 2 else f"f{i}x{j}" for j in range(40)) for i in range(600)]
+    junk = [" ".join(f"j{i}x{j}###$$$" for j in range(40)) for i in range(2)]
+    rows = _source(0, "prose", prose) + _source(1000, "code", code)
+    rows += _source(5000, "prose", junk[:1]) + _source(5001, "code", junk[1:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counts = quality_rules.measured(docs).drop("text")
+    bounds = {r.source: r for r in quality_rules.thresholds(quality_rules.sketches(counts)).collect()}
+    assert bounds["code"].symbols_per_word_high > 300 + bounds["prose"].symbols_per_word_high
+    gone = {r.doc_id for r in quality_rules.quality_verdicts(docs).filter("NOT kept").collect()}
+    assert gone == {5000, 5001}
+
+
+def test_a_small_source_is_judged_by_its_language(spark):
+    many = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(400)]
+    few = [" ".join(f"v{i}x{j}$" for j in range(40)) for i in range(3)]
+    rows = _source(0, "large", many) + _source(1000, "small", few)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r.doc_id for r in quality_rules.quality_verdicts(docs).filter("NOT kept").collect()}
+    assert gone == {1000, 1001, 1002}
+
+
+def test_low_quality_labels_go_and_good_ones_stay(spark):
+    """Of what passes the base rules, on sf0.01."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    counts = (
+        quality_rules.quality_verdicts(docs).filter("NOT base_failed").join(labels, "doc_id")
+        .groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()
+    )
+    share = {r.quality: r.share for r in counts}
+    assert share[1] >= 0.98 and share[0] <= 0.2
