@@ -46,6 +46,9 @@ def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     agree = placed.groupBy("pair_id", "position").agg(
         (
             (F.count("*") == 2)
+            # A missing value on one side only; min, max and the hash pass over NULL.
+            & (F.count("role") != 1)
+            & (F.count("text") != 1)
             & (F.min(F.xxhash64("role", "text")) == F.max(F.xxhash64("role", "text")))
             & F.min("text").eqNullSafe(F.max("text"))
             & F.min("role").eqNullSafe(F.max("role"))

@@ -564,3 +564,48 @@ def test_low_quality_labels_go_and_good_ones_stay(spark):
     )
     share = {r.quality: r.share for r in counts}
     assert share[1] >= 0.98 and share[0] <= 0.2
+
+
+def _brute_pairs(rows):
+    """(pair, part, position, role, rendered, trained) of neighbouring conversations, one at a time."""
+    sides = defaultdict(lambda: ([], []))
+
+    def key(row):
+        conv, turn, role, text = row
+        return conv, turn is not None, turn or 0, role is not None, role or "", text is not None, text or ""
+
+    for conv, _, role, text in sorted((r for r in rows if r[0] is not None), key=key):
+        sides[conv // 2][conv % 2].append((role, text))
+    out = []
+    for pair, (chosen, rejected) in sides.items():
+        common = 0
+        while common < min(len(chosen), len(rejected)) and chosen[common] == rejected[common]:
+            common += 1
+        for part, turns in (("chosen", chosen), ("rejected", rejected)):
+            for place, (role, text) in enumerate(turns):
+                if place < common and part == "rejected":
+                    continue
+                name = "prompt" if place < common else part
+                shown = f"<|{role or ''}|>\n{text or ''}<|end|>\n"
+                out.append((pair, name, place, role, shown, place >= common and role == "assistant"))
+    return Counter(out)
+
+
+def test_odd_conversations_equal_brute_force(spark):
+    """NULLs in every column, ties, repeated rows, very long turns, one-sided pairs, clashing names, no rows."""
+    long = "long words " * 50_000
+    rows = [
+        (0, 0, "user", "q"), (0, 1, "assistant", "a"), (1, 0, "user", "q"), (1, 1, "assistant", "b"),
+        (2, None, None, "a"), (3, None, "a", None), (4, 0, None, None), (5, 0, None, None),
+        (6, 0, "user", long), (7, 0, "user", long), (6, 1, "assistant", "x"), (7, 1, "assistant", long),
+        (8, 0, "user", "tie"), (8, 0, "user", "tie"), (8, 0, "system", "tie"), (9, 0, "user", "tie"),
+        (10, 0, "assistant", ""), (10, 1, "assistant", None), (11, 0, "assistant", None),
+        (12, 0, "user", "alone"), (15, 3, "assistant", "alone too"), (None, 0, "user", "nobody"),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    extra = frame.withColumns({n: F.lit(n) for n in ("pair_id", "side", "rank", "position", "same", "common", "part")})
+    found = preference.format_preferences(extra, preference.neighbours(extra))
+    got = Counter((r.pair_id, r.part, r.position, r.role, r.rendered, r.trained) for r in found.collect())
+    assert got == _brute_pairs(rows)
+    none = extra.limit(0)
+    assert preference.format_preferences(none, preference.neighbours(none)).count() == 0
