@@ -239,8 +239,12 @@ def fold_nodes(changes: DataFrame) -> DataFrame:
 
 def merge_nodes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """The stored directory brought up to date with a later batch of changes."""
-    new = fold_nodes(changes).alias("new")
-    joined = snapshot.alias("old").join(new, "node_id", "full_outer")
+    return merge_folded(snapshot, fold_nodes(changes))
+
+
+def merge_folded(snapshot: DataFrame, folded: DataFrame) -> DataFrame:
+    """merge_nodes for changes that are folded already."""
+    joined = snapshot.alias("old").join(folded.alias("new"), "node_id", "full_outer")
     latest = {c: f"coalesce(new.{c}, old.{c})" for c in (*NODE_VALUES, "last_updated")}
     merged = {"node_id": "node_id", "first_seen": "coalesce(old.first_seen, new.first_seen)", **latest}
     return joined.selectExpr(*[f"{merged[n]} AS {n}" for n in NODE_INFO.fieldNames()])

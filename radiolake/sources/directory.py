@@ -1,49 +1,138 @@
-"""The node directory: one row per node, kept as numbered snapshots.
+"""The node directory: one row per node, in buckets of its id, kept as numbered snapshots.
 
-Batch N reads the newest finished snapshot before N and writes v=N, so running it again gives the
-same snapshot, and readers always see a finished one.
+Layout: batch=N/bucket=K holds a bucket as batch N left it; v=N is a table of BUCKETS rows at most that
+names the batch of each bucket. A batch writes only the buckets with a node that it changes, then v=N,
+which counts once its write is finished. So readers always see a finished snapshot, and a batch that
+runs again starts from the snapshot before it and gives the same one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from radiolake.operators.nodes import merge_nodes
+from radiolake.operators.nodes import fold_nodes, merge_folded
 from radiolake.schemas import NODE_INFO, conform
-from radiolake.sources.storage import delete, finished_versions
+from radiolake.session import staged
+from radiolake.sources.storage import delete, finished_times, finished_versions, numbered
 
-def _snapshot(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
+#: A new directory has so many buckets; one that is stored keeps its own number.
+BUCKETS = 64
+#: A snapshot so many hours older than the newest one goes with the next batch.
+KEEP_HOURS = 24
+
+_PLACES = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
+    ]
+)
+
+
+def _places(spark: SparkSession, path: str, *versions: int) -> DataFrame:
     if not versions:
+        return spark.createDataFrame([], _PLACES)
+    return spark.read.schema(_PLACES).parquet(*[f"{path}/v={v}" for v in versions])
+
+
+def _folder(path: str, bucket: int, batch: int) -> str:
+    return f"{path}/batch={batch}/bucket={bucket}"
+
+
+def _read(spark: SparkSession, folders: list[str]) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], NODE_INFO)
-    return spark.read.schema(NODE_INFO).parquet(f"{path}/v={versions[-1]}")
+    return spark.read.schema(NODE_INFO).parquet(*folders)
 
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
-    return _snapshot(spark, path, finished_versions(spark, path))
+    places = _places(spark, path, *finished_versions(spark, path)[-1:]).collect()
+    return _read(spark, [_folder(path, p.bucket, p.batch) for p in places])
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("node_id"), F.lit(buckets)).cast("int")
+
+
+def _write(nodes: DataFrame, folder: str, buckets: int) -> None:
+    """The rows of a bucket in few files; a bucket too large for one is split."""
+    placed = conform(nodes, NODE_INFO).withColumn("bucket", _bucket(buckets))
+    if nodes.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        placed = placed.hint("rebalance", "bucket")
+    else:
+        placed = placed.repartition("bucket")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(folder)
+
 
+def write_nodes(
+    changes: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS, keep_hours: float = KEEP_HOURS
+) -> None:
+    """Merge a batch of changes into the directory, reading and writing the buckets it touches.
 
-def write_nodes(changes: DataFrame, path: str, batch_id: int) -> None:
-    """Merge a batch of changes into the directory. A batch older than the last one is refused."""
+    A batch older than the last one is refused.
+    """
     spark = changes.sparkSession
     versions = finished_versions(spark, path)
     if versions and versions[-1] > batch_id:
         raise ValueError(f"batch {batch_id} comes after snapshot {versions[-1]} is stored in {path}")
+    drop_snapshot(spark, path, batch_id)  # its rows go before they are written again
     earlier = [v for v in versions if v < batch_id]
-    merged = merge_nodes(_snapshot(spark, path, earlier), changes)
-    conform(merged, NODE_INFO).write.mode("overwrite").option(
+    stored = _places(spark, path, *earlier[-1:]).collect()
+    buckets = stored[0].buckets if stored else buckets
+    place = {p.bucket: p.batch for p in stored}
+    out = f"{path}/batch={batch_id}"
+    if place:
+        with staged(fold_nodes(changes), "folded") as new:
+            touched = new.select(_bucket(buckets).alias("bucket")).distinct().collect()
+            old = [_folder(path, t.bucket, place[t.bucket]) for t in touched if t.bucket in place]
+            _write(merge_folded(_read(spark, old), new), out, buckets)
+    else:
+        _write(fold_nodes(changes), out, buckets)
+    place |= {bucket: batch_id for bucket in numbered(spark, out, "bucket")}
+    rows = [(bucket, batch, buckets) for bucket, batch in sorted(place.items())]
+    spark.createDataFrame(rows, _PLACES).coalesce(1).write.mode("overwrite").option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
     ).parquet(f"{path}/v={batch_id}")
+    _drop_aged(spark, path, keep_hours)
 
 
 def drop_snapshot(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Remove what a failed writer left under a number."""
+    """Remove what a failed writer left under a number; the snapshot goes before its rows."""
     delete(spark, f"{path}/v={batch_id}")
+    delete(spark, f"{path}/batch={batch_id}")
+
+
+def _drop(spark: SparkSession, path: str, versions: list[int], oldest_kept: int) -> None:
+    """Remove snapshots, and the buckets that no later one has.
+
+    A bucket replaced once never comes back, so the oldest snapshot that stays tells what is needed.
+    Buckets go first: a call that failed is made good by the next one.
+    """
+    if not versions:
+        return
+    held = _places(spark, path, *versions).select("bucket", "batch").distinct()
+    kept = _places(spark, path, oldest_kept).select("bucket", "batch")
+    for place in held.exceptAll(kept).collect():
+        delete(spark, _folder(path, place.bucket, place.batch))
+    for version in versions:
+        delete(spark, f"{path}/v={version}")
+
+
+def _drop_aged(spark: SparkSession, path: str, hours: float) -> None:
+    times = finished_times(spark, path)
+    versions = sorted(times)
+    keep_from = times[versions[-1]] - hours * 3_600_000
+    aged = [v for v in versions[:-2] if times[v] < keep_from]
+    _drop(spark, path, aged, versions[len(aged)])
 
 
 def drop_old_snapshots(spark: SparkSession, path: str, keep: int) -> None:
     """Remove all but the newest snapshots, when asked: readers may still hold an older one.
 
-    Keep 2 at least, so that the last batch can run again.
+    Two at least stay, so that the last batch can run again.
     """
-    for version in finished_versions(spark, path)[: -max(keep, 2)]:
-        delete(spark, f"{path}/v={version}")
+    versions = finished_versions(spark, path)
+    old = versions[: -max(keep, 2)]
+    _drop(spark, path, old, versions[len(old)] if versions else -1)

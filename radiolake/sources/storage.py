@@ -19,12 +19,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def finished_times(spark: SparkSession, path: str) -> dict[int, int]:
+    """Numbers N for which path/v=N holds the mark of a finished write, and when it came, in milliseconds."""
+    files, pattern = _open(spark, f"{path}/v=*/_SUCCESS")
+    marks = {s.getPath().getParent().getName(): s.getModificationTime() for s in files.globStatus(pattern) or []}
+    return {int(name[2:]): time for name, time in marks.items() if re.fullmatch(r"v=\d+", name)}
+
+
 def finished_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers N, ascending, for which path/v=N holds the mark of a finished write."""
-    files, pattern = _open(spark, f"{path}/v=*/_SUCCESS")
-    found = files.globStatus(pattern) or []
-    names = [status.getPath().getParent().getName() for status in found]
-    return sorted(int(m.group(1)) for m in map(re.compile(r"v=(\d+)").fullmatch, names) if m)
+    return sorted(finished_times(spark, path))
 
 
 def delete(spark: SparkSession, path: str) -> None:

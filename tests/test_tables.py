@@ -23,12 +23,12 @@ from radiolake.plans.tables import (
 )
 from radiolake.schemas import NODE_INFO, NODE_VALUES, PACKET_HISTORY, RAW_MESSAGES, conform, ensure_table
 from radiolake.session import scratch_dir, stage
-from radiolake.sources.directory import drop_old_snapshots, read_nodes, write_nodes
+from radiolake.sources.directory import drop_old_snapshots, drop_snapshot, read_nodes, write_nodes
 from radiolake.sources.history import append_history, last_batch, read_history, read_rejected
 from radiolake.sources.keys import compact_keys, drop_keys, earlier_keys, write_keys
 from radiolake.sources.ledger import Ledger
 from radiolake.sources.messages import messages_from_kafka, read_messages
-from radiolake.sources.storage import finished_versions, numbered, read_text, replace_text, write_new
+from radiolake.sources.storage import delete, finished_versions, numbered, read_text, replace_text, write_new
 from radiolake.streaming.directory import compact_directory, read_directory, start_directory
 from radiolake.streaming.ingest import start_first_arrival, start_ingest, stream_writer
 from radiolake_checks.records import SETTINGS
@@ -247,6 +247,80 @@ def test_old_snapshots_are_dropped_when_asked(spark, decoded):
     assert finished_versions(spark, out) == [2, 3]
 
 
+def _heard(spark, rows):
+    """Changes (node_id, second, long_name) as write_nodes takes them."""
+    values = {"long_name": "name"}
+    made = spark.createDataFrame(rows, "node_id long, second long, name string")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("second"))
+    return made.select(
+        "node_id",
+        *[
+            (F.col(values[f.name]) if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in NODE_INFO.fields
+            if f.name in NODE_VALUES
+        ],
+        at.alias("first_seen"),
+        at.alias("last_updated"),
+        F.col("second").alias("seq"),
+        F.lit(1).alias("step"),
+    )
+
+
+def _folders(spark, out):
+    return {b: numbered(spark, f"{out}/batch={b}", "bucket") for b in numbered(spark, out, "batch")}
+
+
+def _names(spark, out):
+    return {r.node_id: r.long_name for r in read_nodes(spark, out).collect()}
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
+    out = scratch_dir(spark, "buckets")
+    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(200)]), out, 0, buckets=16)
+    assert _folders(spark, out) == {0: list(range(16))}
+    write_nodes(_heard(spark, [(7, 300, "new")]), out, 1)
+    touched = _folders(spark, out)[1]
+    assert len(touched) == 1
+    rewritten = spark.read.parquet(f"{out}/batch=1")
+    assert len(rewritten.inputFiles()) == 1 and 1 <= rewritten.count() < 40
+    write_nodes(_heard(spark, [(7, 400, None), (1000, 401, "late")]), out, 2, buckets=3)  # keeps its 16
+    assert _folders(spark, out)[2][0] < 16
+    want = {n: f"n{n}" for n in range(200)} | {7: "new", 1000: "late"}
+    assert _names(spark, out) == want
+    write_nodes(_heard(spark, []), out, 3)
+    assert _folders(spark, out)[3] == [] and _names(spark, out) == want
+
+
+def test_a_batch_cut_off_before_its_snapshot_leaves_the_last_one(spark):
+    out = scratch_dir(spark, "cut")
+    write_nodes(_heard(spark, [(1, 1, "a"), (2, 2, "b")]), out, 0)
+    write_nodes(_heard(spark, [(1, 3, "c")]), out, 1)
+    delete(spark, f"{out}/v=1/_SUCCESS")  # its rows are written, its snapshot is not finished
+    assert _names(spark, out) == {1: "a", 2: "b"}
+    write_nodes(_heard(spark, [(2, 4, "d")]), out, 1)  # comes again, and has other rows
+    assert _names(spark, out) == {1: "a", 2: "d"}
+    drop_snapshot(spark, out, 1)
+    assert _names(spark, out) == {1: "a", 2: "b"}
+
+
+def test_dropped_snapshots_take_the_buckets_that_nobody_has(spark):
+    out = scratch_dir(spark, "aged")
+    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(50)]), out, 0, buckets=4)
+    for batch in range(1, 5):
+        write_nodes(_heard(spark, [(7, 100 + batch, f"b{batch}")]), out, batch)
+    (hot,) = _folders(spark, out)[1]
+    rest = [b for b in range(4) if b != hot]
+    drop_old_snapshots(spark, out, keep=2)
+    assert finished_versions(spark, out) == [3, 4]
+    assert _folders(spark, out) == {0: rest, 1: [], 2: [], 3: [hot], 4: [hot]}
+    assert _names(spark, out) == {n: f"n{n}" for n in range(50)} | {7: "b4"}
+    write_nodes(_heard(spark, [(7, 200, "b5")]), out, 5, keep_hours=-1)  # any age is too old
+    assert finished_versions(spark, out) == [4, 5]
+    assert _folders(spark, out) == {0: rest, 1: [], 2: [], 3: [], 4: [hot], 5: [hot]}
+    write_nodes(_heard(spark, [(7, 201, "b5")]), out, 5)  # the last batch can run again
+    assert _names(spark, out)[7] == "b5"
+
+
 def test_stream_batch_job_and_the_stream_again(spark, sample, ring):
     source, out = scratch_dir(spark, "incoming"), scratch_dir(spark, "tables")
     progress = scratch_dir(spark, "progress")
