@@ -1,24 +1,29 @@
 """The node directory: one row per node, in buckets of its id, kept as numbered snapshots.
 
-Layout: batch=N/bucket=K holds a bucket as batch N left it; v=N is a table of BUCKETS rows at most that
-names the batch of each bucket. A batch writes only the buckets with a node that it changes, then v=N,
-which counts once its write is finished. So readers always see a finished snapshot, and a batch that
-runs again starts from the snapshot before it and gives the same one.
+Layout: batch=N/bucket=K holds a bucket as batch N left it; v=N is a small table that names the batch of
+each bucket and its rows. A batch writes only the buckets with a node that it changes, then v=N, which
+counts once its write is finished. So readers always see a finished snapshot, and a batch that runs
+again starts from the snapshot before it and gives the same one.
+
+A directory begins with one bucket. When the snapshot has grown beyond BUCKET_ROWS a bucket, the next
+batch deals all nodes to twice as many, or as often twice as it takes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from radiolake.operators.nodes import fold_nodes, merge_folded
 from radiolake.schemas import NODE_INFO, conform
 from radiolake.session import staged
-from radiolake.sources.storage import delete, finished_times, finished_versions, numbered
+from radiolake.sources.storage import delete, finished_times, finished_versions
 
-#: A new directory has so many buckets; one that is stored keeps its own number.
-BUCKETS = 64
+#: Nodes of a bucket in the mean, at most, when a batch begins.
+BUCKET_ROWS = 500_000
 #: A snapshot so many hours older than the newest one goes with the next batch.
 KEEP_HOURS = 24
 
@@ -27,6 +32,7 @@ _PLACES = T.StructType(
         T.StructField("bucket", T.IntegerType()),
         T.StructField("batch", T.LongType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
     ]
 )
 
@@ -61,13 +67,25 @@ def _write(nodes: DataFrame, folder: str, buckets: int) -> None:
     placed = conform(nodes, NODE_INFO).withColumn("bucket", _bucket(buckets))
     if nodes.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         placed = placed.hint("rebalance", "bucket")
-    else:
-        placed = placed.repartition("bucket")
+    else:  # a bucket is dealt over a few tasks, as nothing can split it later
+        placed = placed.repartition("bucket", F.pmod(F.xxhash64("node_id", F.lit(1)), F.lit(8)))
     placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(folder)
 
 
+def _grown(places: list[Row], bucket_rows: int) -> int:
+    """The number of buckets for the nodes stored."""
+    buckets, rows = places[0].buckets, sum(p.rows for p in places)
+    while rows > buckets * bucket_rows:
+        buckets *= 2
+    return buckets
+
+
 def write_nodes(
-    changes: DataFrame, path: str, batch_id: int, buckets: int = BUCKETS, keep_hours: float = KEEP_HOURS
+    changes: DataFrame,
+    path: str,
+    batch_id: int,
+    bucket_rows: int = BUCKET_ROWS,
+    keep_hours: float = KEEP_HOURS,
 ) -> None:
     """Merge a batch of changes into the directory, reading and writing the buckets it touches.
 
@@ -80,18 +98,24 @@ def write_nodes(
     drop_snapshot(spark, path, batch_id)  # its rows go before they are written again
     earlier = [v for v in versions if v < batch_id]
     stored = _places(spark, path, *earlier[-1:]).collect()
-    buckets = stored[0].buckets if stored else buckets
-    place = {p.bucket: p.batch for p in stored}
+    places = {p.bucket: p for p in stored}
+    buckets = _grown(stored, bucket_rows) if stored else 1
     out = f"{path}/batch={batch_id}"
-    if place:
-        with staged(fold_nodes(changes), "folded") as new:
-            touched = new.select(_bucket(buckets).alias("bucket")).distinct().collect()
-            old = [_folder(path, t.bucket, place[t.bucket]) for t in touched if t.bucket in place]
-            _write(merge_folded(_read(spark, old), new), out, buckets)
+
+    def folders(wanted: Iterable[int]) -> list[str]:
+        return [_folder(path, b, places[b].batch) for b in wanted if b in places]
+
+    if buckets == 1 or buckets != stored[0].buckets:
+        _write(merge_folded(_read(spark, folders(places)), fold_nodes(changes)), out, buckets)
+        places = {}
     else:
-        _write(fold_nodes(changes), out, buckets)
-    place |= {bucket: batch_id for bucket in numbered(spark, out, "bucket")}
-    rows = [(bucket, batch, buckets) for bucket, batch in sorted(place.items())]
+        with staged(fold_nodes(changes), "folded") as new:
+            touched = [r.bucket for r in new.select(_bucket(buckets).alias("bucket")).distinct().collect()]
+            _write(merge_folded(_read(spark, folders(touched)), new), out, buckets)
+    written = spark.read.schema(T.StructType([*NODE_INFO.fields, _PLACES["bucket"]])).parquet(out)
+    for r in written.groupBy("bucket").agg(F.count("*").alias("rows")).collect():
+        places[r.bucket] = Row(bucket=r.bucket, batch=batch_id, buckets=buckets, rows=r.rows)
+    rows = [tuple(places[bucket]) for bucket in sorted(places)]
     spark.createDataFrame(rows, _PLACES).coalesce(1).write.mode("overwrite").option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
     ).parquet(f"{path}/v={batch_id}")
@@ -107,7 +131,7 @@ def drop_snapshot(spark: SparkSession, path: str, batch_id: int) -> None:
 def _drop(spark: SparkSession, path: str, versions: list[int], oldest_kept: int) -> None:
     """Remove snapshots, and the buckets that no later one has.
 
-    A bucket replaced once never comes back, so the oldest snapshot that stays tells what is needed.
+    What was replaced once never comes back, so the oldest snapshot that stays tells what is needed.
     Buckets go first: a call that failed is made good by the next one.
     """
     if not versions:

@@ -276,19 +276,33 @@ def _names(spark, out):
 
 def test_a_batch_rewrites_only_the_buckets_it_touches(spark):
     out = scratch_dir(spark, "buckets")
-    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(200)]), out, 0, buckets=16)
-    assert _folders(spark, out) == {0: list(range(16))}
-    write_nodes(_heard(spark, [(7, 300, "new")]), out, 1)
-    touched = _folders(spark, out)[1]
-    assert len(touched) == 1
-    rewritten = spark.read.parquet(f"{out}/batch=1")
+    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(200)]), out, 0)
+    write_nodes(_heard(spark, [(7, 250, "seven")]), out, 1, bucket_rows=13)
+    assert _folders(spark, out) == {0: [0], 1: list(range(16))}  # all nodes are dealt anew
+    write_nodes(_heard(spark, [(7, 300, "new")]), out, 2, bucket_rows=13)
+    assert len(_folders(spark, out)[2]) == 1
+    rewritten = spark.read.parquet(f"{out}/batch=2")
     assert len(rewritten.inputFiles()) == 1 and 1 <= rewritten.count() < 40
-    write_nodes(_heard(spark, [(7, 400, None), (1000, 401, "late")]), out, 2, buckets=3)  # keeps its 16
-    assert _folders(spark, out)[2][0] < 16
+    write_nodes(_heard(spark, [(7, 400, None), (1000, 401, "late")]), out, 3, bucket_rows=13)
+    assert 1 <= len(_folders(spark, out)[3]) <= 2
     want = {n: f"n{n}" for n in range(200)} | {7: "new", 1000: "late"}
     assert _names(spark, out) == want
-    write_nodes(_heard(spark, []), out, 3)
-    assert _folders(spark, out)[3] == [] and _names(spark, out) == want
+    write_nodes(_heard(spark, []), out, 4, bucket_rows=13)
+    assert _folders(spark, out)[4] == [] and _names(spark, out) == want
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_buckets_double_as_nodes_grow(spark, adaptive):
+    out = scratch_dir(spark, "grow")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    for batch in range(4):
+        rows = [(n, batch, f"b{batch}") for n in range(batch * 20, batch * 20 + 40)]
+        write_nodes(_heard(spark, rows), out, batch, bucket_rows=10)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    numbers = {b: {r.buckets for r in spark.read.parquet(f"{out}/v={b}").collect()} for b in range(4)}
+    assert numbers == {0: {1}, 1: {4}, 2: {8}, 3: {8}}  # 0, 40, 60 and 80 nodes stored
+    assert sum(r.rows for r in spark.read.parquet(f"{out}/v=3").collect()) == 100
+    assert _names(spark, out) == {n: f"b{min(n // 20, 3)}" for n in range(100)}
 
 
 def test_a_batch_cut_off_before_its_snapshot_leaves_the_last_one(spark):
@@ -305,19 +319,19 @@ def test_a_batch_cut_off_before_its_snapshot_leaves_the_last_one(spark):
 
 def test_dropped_snapshots_take_the_buckets_that_nobody_has(spark):
     out = scratch_dir(spark, "aged")
-    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(50)]), out, 0, buckets=4)
+    write_nodes(_heard(spark, [(n, n, f"n{n}") for n in range(50)]), out, 0)
     for batch in range(1, 5):
-        write_nodes(_heard(spark, [(7, 100 + batch, f"b{batch}")]), out, batch)
-    (hot,) = _folders(spark, out)[1]
+        write_nodes(_heard(spark, [(7, 100 + batch, f"b{batch}")]), out, batch, bucket_rows=15)
+    (hot,) = _folders(spark, out)[2]
     rest = [b for b in range(4) if b != hot]
     drop_old_snapshots(spark, out, keep=2)
     assert finished_versions(spark, out) == [3, 4]
-    assert _folders(spark, out) == {0: rest, 1: [], 2: [], 3: [hot], 4: [hot]}
+    assert _folders(spark, out) == {0: [], 1: rest, 2: [], 3: [hot], 4: [hot]}
     assert _names(spark, out) == {n: f"n{n}" for n in range(50)} | {7: "b4"}
-    write_nodes(_heard(spark, [(7, 200, "b5")]), out, 5, keep_hours=-1)  # any age is too old
+    write_nodes(_heard(spark, [(7, 200, "b5")]), out, 5, bucket_rows=15, keep_hours=-1)  # any age is too old
     assert finished_versions(spark, out) == [4, 5]
-    assert _folders(spark, out) == {0: rest, 1: [], 2: [], 3: [], 4: [hot], 5: [hot]}
-    write_nodes(_heard(spark, [(7, 201, "b5")]), out, 5)  # the last batch can run again
+    assert _folders(spark, out) == {0: [], 1: rest, 2: [], 3: [], 4: [hot], 5: [hot]}
+    write_nodes(_heard(spark, [(7, 201, "b5")]), out, 5, bucket_rows=15)  # the last batch can run again
     assert _names(spark, out)[7] == "b5"
 
 
