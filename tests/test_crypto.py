@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -65,6 +67,19 @@ def test_published_counter_mode_vector(spark):
     assert bytes(out).hex() == "874d6191b620e3261bef6864990db6ce"
 
 
+def test_xor_takes_little_more_than_its_bytes():
+    """Whole batches of long and of short values, against Python's own XOR, one byte each."""
+    for size, count in ((2500, 1600), (40, 100_000)):
+        data = [bytes([i % 251]) * (size - i % 3) for i in range(count)]
+        batch, stream = pa.array(data), pa.array([bytes([i % 13]) * (size + 16) for i in range(count)])
+        tracemalloc.start()
+        mixed = crypto.xor_bytes.func(batch, stream)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 4 * sum(map(len, data))
+        assert mixed.to_pylist() == [bytes([i % 251 ^ i % 13]) * len(d) for i, d in enumerate(data)]
+
+
 def test_failures_give_no_bytes(spark):
     good = (PLAIN, 1, 2, DEFAULT)
     bad = [
