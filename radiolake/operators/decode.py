@@ -7,11 +7,12 @@ message classes are built once per Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 from google.protobuf.descriptor import FieldDescriptor
@@ -138,6 +139,38 @@ def _once(function):
     return function.asNondeterministic()
 
 
+#: Rows whose records and Python values are in memory at once: they take many times the bytes of the batch.
+ROWS_TOGETHER = 1000
+
+
+def by_rows(function: Callable[..., pa.Array], *columns: pa.Array) -> pa.Array:
+    """What a function of whole columns gives, called for ROWS_TOGETHER rows at a time."""
+    starts = range(0, len(columns[0]), ROWS_TOGETHER) or [0]
+    return pa.concat_arrays([function(*[c.slice(at, ROWS_TOGETHER) for c in columns]) for at in starts])
+
+
+def numpy_type(kind: pa.DataType) -> str:
+    """The numpy name of a number or flag; Arrow's own answer imports pandas."""
+    return {"float": "float32", "double": "float64"}.get(str(kind), str(kind))
+
+
+def to_array(values: list, kind: pa.DataType) -> pa.Array:
+    """pa.array for numbers, flags, texts and bytes. That one imports pandas, if it is there, and so takes
+    30 MB more of every worker; a task has a worker for each parse in its plan."""
+    there = np.fromiter((v is not None for v in values), bool, len(values))
+    bits = None if there.all() else pa.py_buffer(np.packbits(there, bitorder="little"))
+    if pa.types.is_string(kind) or pa.types.is_binary(kind):
+        blobs = [b"" if v is None else v.encode() if isinstance(v, str) else v for v in values]
+        ends = np.cumsum([0, *map(len, blobs)])
+        if ends[-1] > np.iinfo(np.int32).max:
+            raise ValueError("more than 2 GB of texts in some rows of a batch")
+        parts = [bits, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(b"".join(blobs))]
+    else:
+        plain = np.array([0 if v is None else v for v in values], numpy_type(kind))
+        parts = [bits, pa.py_buffer(np.packbits(plain, bitorder="little") if pa.types.is_boolean(kind) else plain)]
+    return pa.Array.from_buffers(kind, len(values), parts)
+
+
 def _columns(messages: list, present: Iterable[str], schema: T.StructType) -> list[pa.Array]:
     """One Arrow array per scalar field; NULL for a field the descriptor lacks or a failed parse."""
     arrays = []
@@ -145,7 +178,7 @@ def _columns(messages: list, present: Iterable[str], schema: T.StructType) -> li
         kind = to_arrow_type(field.dataType)
         if field.name in present:
             values = [None if m is None else getattr(m, field.name) for m in messages]
-            arrays.append(pa.array(values, kind))
+            arrays.append(to_array(values, kind))
         else:
             arrays.append(pa.nulls(len(messages), kind))
     return arrays
@@ -153,7 +186,7 @@ def _columns(messages: list, present: Iterable[str], schema: T.StructType) -> li
 
 def _struct(arrays: list[pa.Array], schema: T.StructType, missing: list[bool]) -> pa.StructArray:
     return pa.StructArray.from_arrays(
-        arrays, names=schema.fieldNames(), mask=pa.array(missing, pa.bool_())
+        arrays, names=schema.fieldNames(), mask=to_array(missing, pa.bool_())
     )
 
 
@@ -181,8 +214,7 @@ def envelope_udf(spec: RecordSpec):
     spec.check()
     descriptor, name = spec.descriptor, spec.envelope
 
-    @F.arrow_udf(ENVELOPE)
-    def parse_envelope(payload: pa.Array) -> pa.Array:
+    def parse(payload: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
         outer = _fields(record)
         packet_fields = outer["packet"].message_type.fields_by_name
@@ -202,19 +234,23 @@ def envelope_udf(spec: RecordSpec):
             if field not in outer:
                 return pa.nulls(len(envelopes), pa.string())
             # The record object exists even after a failed parse, so its texts read as empty.
-            return pa.array(["" if e is None else getattr(e, field) for e in envelopes], pa.string())
+            return to_array(["" if e is None else getattr(e, field) for e in envelopes], pa.string())
 
         return pa.StructArray.from_arrays(
             [
                 text("gateway_id"),
                 text("channel_id"),
                 packet,
-                pa.array(errors, pa.string()),
-                pa.array(bad_text, pa.bool_()),
+                to_array(errors, pa.string()),
+                to_array(bad_text, pa.bool_()),
             ],
             names=ENVELOPE.fieldNames(),
         )
 
+    @F.arrow_udf(ENVELOPE)
+    def parse_envelope(payload: pa.Array) -> pa.Array:
+        return by_rows(parse, payload)
+
     return _once(parse_envelope)
 
 
@@ -241,7 +277,7 @@ def _first_valid(record: type, candidates: Iterable[bytes | None], unknown_port:
 def _found_array(rows: list[tuple | None]) -> pa.Array:
     missing = [r is None for r in rows]
     arrays = [
-        pa.array([None if r is None else r[i] for r in rows], to_arrow_type(f.dataType))
+        to_array([None if r is None else r[i] for r in rows], to_arrow_type(f.dataType))
         for i, f in enumerate(FOUND.fields)
     ]
     return _struct(arrays, FOUND, missing)
@@ -251,11 +287,14 @@ def decode_data(candidates: Column, spec: RecordSpec, unknown_port: int = 0) ->
     """array of plain candidates -> FOUND of the first valid one, NULL when none is."""
     descriptor, name = spec.descriptor, spec.data
 
-    @F.arrow_udf(FOUND)
-    def first_valid(blobs: pa.Array) -> pa.Array:
+    def find(blobs: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
         return _found_array([b and _first_valid(record, b, unknown_port) or None for b in blobs.to_pylist()])
 
+    @F.arrow_udf(FOUND)
+    def first_valid(blobs: pa.Array) -> pa.Array:
+        return by_rows(find, blobs)
+
     return _once(first_valid)(candidates)
 
 
@@ -263,12 +302,15 @@ def open_data(sealed: Column, streams: Column, spec: RecordSpec, unknown_port: i
     """Ciphertext and an array of key streams -> FOUND; XOR and parse stop at the first valid one."""
     descriptor, name = spec.descriptor, spec.data
 
-    @F.arrow_udf(FOUND)
-    def first_opened(data: pa.Array, keys: pa.Array) -> pa.Array:
+    def find(data: pa.Array, keys: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
         plain = xor_lists(data, keys)
         return _found_array([p and _first_valid(record, p, unknown_port) or None for p in plain])
 
+    @F.arrow_udf(FOUND)
+    def first_opened(data: pa.Array, keys: pa.Array) -> pa.Array:
+        return by_rows(find, data, keys)
+
     return _once(first_opened)(sealed, streams)
 
 
@@ -277,12 +319,15 @@ def decode_user(df: DataFrame, spec: RecordSpec, payload: Column | None = None)
     spec.check()
     descriptor, name = spec.descriptor, spec.user
 
-    @F.arrow_udf(USER)
-    def parse_user(blobs: pa.Array) -> pa.Array:
+    def parse(blobs: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
         users, _, _ = _parse_all(record, blobs.to_pylist())
         missing = [u is None for u in users]
         return _struct(_columns(users, _fields(record), USER), USER, missing)
 
+    @F.arrow_udf(USER)
+    def parse_user(blobs: pa.Array) -> pa.Array:
+        return by_rows(parse, blobs)
+
     source = F.col("env.packet.decoded.payload") if payload is None else payload
     return df.withColumn("user", _once(parse_user)(source))

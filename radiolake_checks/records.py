@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from google.protobuf import descriptor_pb2
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from radiolake.operators.decode import RecordSpec, _record
+from radiolake.functions.crypto import flags
+from radiolake.operators.decode import RecordSpec, _record, by_rows, numpy_type, to_array
 from radiolake.plans.tables import Settings
 
 PORTS = {0: "UNKNOWN_APP", 1: "FX_ONE", 3: "FX_THREE", 4: "NODEINFO_APP"}
@@ -100,22 +102,41 @@ SPEC = make_spec()
 SETTINGS = Settings.from_spec(SPEC, "fx.PortNum", "fx.HardwareModel", "fx.Role")
 
 
+def _values(column: pa.Array) -> list:
+    """The values of a column as Python's; numbers go through numpy, without a scalar object for each."""
+    if pa.types.is_struct(column.type):
+        return _given(column)
+    if not (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        return column.to_pylist()
+    numbers = np.frombuffer(column.buffers()[1], numpy_type(column.type))
+    found = numbers[column.offset : column.offset + len(column)].astype(object)
+    found[flags(column.is_null())] = None
+    return found.tolist()
+
+
+def _given(rows: pa.StructArray) -> list[dict | None]:
+    """Each row as the fields that it gives, column by column; None for a NULL row."""
+    names = [f.name for f in rows.type]
+    values = zip(*map(_values, rows.flatten()))
+    there = flags(rows.is_valid()).tolist()
+    return [
+        {n: v for n, v in zip(names, row) if v is not None} if whole else None
+        for whole, row in zip(there, values)
+    ]
+
+
 def encode(spec: RecordSpec, name: str, fields: Column) -> Column:
     """A struct column, named after the fields of a record, as its serialized bytes."""
     descriptor = spec.descriptor
 
-    @F.arrow_udf(T.BinaryType())
-    def write(rows: pa.Array) -> pa.Array:
+    def serialized(rows: pa.Array) -> pa.Array:
         record = _record(descriptor, name)
-
-        def given(row: dict) -> dict:
-            return {
-                k: given(v) if isinstance(v, dict) else v for k, v in row.items() if v is not None
-            }
-
-        return pa.array(
-            [None if r is None else record(**given(r)).SerializeToString() for r in rows.to_pylist()],
-            pa.binary(),
+        return to_array(
+            [None if r is None else record(**r).SerializeToString() for r in _given(rows)], pa.binary()
         )
 
+    @F.arrow_udf(T.BinaryType())
+    def write(rows: pa.Array) -> pa.Array:
+        return by_rows(serialized, rows)
+
     return write.asNondeterministic()(fields)
