@@ -94,7 +94,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event: what a message says, as plain columns."""
-    return spark.sql(PACKETS_SQL, events=table(spark, sf_dir, "events"))
+    return packets_from(table(spark, sf_dir, "events"))
+
+
+def packets_from(events: DataFrame) -> DataFrame:
+    return events.sparkSession.sql(PACKETS_SQL, events=events)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores. A scan has no more working tasks than its files have row groups,
+    and encoding a row takes far longer than moving it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, df.rdd.getNumPartitions()))
 
 
 def key_ring(spark: SparkSession) -> DataFrame:
@@ -105,7 +116,8 @@ def _bytes(value: bytes) -> Column:
     return F.unhex(F.lit(value.hex()))
 
 
-def user_bytes() -> Column:
+def user_bytes(wanted: Column | None = None) -> Column:
+    """The serialized node description; with `wanted`, rows where it does not hold are not encoded."""
     fields = F.struct(
         F.col("user_id").alias("id"),
         "long_name",
@@ -116,14 +128,14 @@ def user_bytes() -> Column:
         F.unhex("mac_hex").alias("macaddr"),
     )
     return F.when(F.col("bad_user"), F.unhex(F.lit(_TRUNCATED))).otherwise(
-        encode(SPEC, SPEC.user, fields)
+        encode(SPEC, SPEC.user, fields if wanted is None else F.when(wanted, fields))
     )
 
 
 def content_bytes() -> Column:
     """What the packet carries: a node description, or the event's text."""
-    text = F.col("text").cast("binary")
-    return F.when(F.col("portnum") == 4, user_bytes()).otherwise(text)
+    text, described = F.col("text").cast("binary"), F.col("portnum") == 4
+    return F.when(described, user_bytes(described)).otherwise(text)
 
 
 def _sender_key() -> Column:
@@ -173,5 +185,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw message per event, written once per application and read by every query."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
-        _written[key] = stage(messages_from(packets(spark, sf_dir)), "raw_messages")
+        events = spread(table(spark, sf_dir, "events"))
+        _written[key] = stage(messages_from(packets_from(events)), "raw_messages")
     return _written[key]

@@ -7,11 +7,13 @@ import sys
 import tracemalloc
 
 import pyarrow as pa
+from pyspark.sql import functions as F
+
 import fx
 from conftest import ROOT
 from radiolake.functions.crypto import xor_lists
 from radiolake.operators import decode
-from radiolake_checks import records
+from radiolake_checks import records, views
 
 _PARSE = """
 import sys
@@ -74,3 +76,14 @@ def test_rows_as_fields():
     given = [{"packet": {"id": 2**53 + 1, "want_ack": False}, "gateway_id": ""}, None, {}]
     assert records._given(pa.array(rows, kind)) == given
     assert records._given(pa.array(rows, kind).slice(1, 2)) == given[1:]
+
+
+def test_one_row_group_is_dealt_over_all_cores(spark, tmp_path):
+    events = spark.range(0, 64, 1, 1).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-02").cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"), F.lit("a").alias("props"),
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    made = views.messages(spark, str(tmp_path))
+    assert len(made.inputFiles()) >= spark.sparkContext.defaultParallelism
+    assert sorted(r.seq for r in made.select("seq").collect()) == list(range(64))
