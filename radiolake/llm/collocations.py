@@ -41,7 +41,7 @@ INSIDE_PERCENT = 80
 TOP = 2_000
 
 _NEVER = 255
-_SCHEMA = "lang string, k int, phrase binary, act int, n long"
+_SCHEMA = "key binary, act int, n long"
 _KIND = np.zeros(256, np.uint8)  # 0 in a word, 1 between words, 2 between pieces
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
@@ -74,52 +74,71 @@ class _Words:
     def __init__(self, langs: pa.Array, texts: pa.Array) -> None:
         offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-        kind = _KIND[raw]
+        offsets = offsets - offsets[0]
+        kind = _KIND.take(raw)
         inside = kind == 0
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
-        first = offsets[:-1][np.diff(offsets) > 0] - offsets[0]
+        outside = ~inside
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= outside[:-1]
+        ends[:-1] &= outside[1:]
+        first = offsets[:-1][np.diff(offsets) > 0]
         begins[first] = inside[first]
+        ends[first[1:] - 1] = inside[first[1:] - 1]
         starts = np.flatnonzero(begins)
-        text = np.searchsorted(offsets[1:] - offsets[0], starts, side="right")
+        many = np.diff(np.searchsorted(starts, offsets))
         # A piece never goes on into the next text.
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[starts] + text.astype(np.int32)
-        letters = _LOWER[raw[inside]]
-        bounds = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, len(letters)).astype(np.int32)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[starts] + np.repeat(np.arange(len(many), dtype=np.int32), many)
+        letters = _LOWER.take(raw[inside])
+        bounds = np.append(0, np.cumsum(np.flatnonzero(ends) + 1 - starts)).astype(np.int32)
         coded = pa.Array.from_buffers(
-            pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(letters))]
+            pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]
         ).dictionary_encode()
         self.vocabulary = coded.dictionary
+        self.later = pc.binary_join_element_wise(pa.scalar(b"", pa.binary()), coded.dictionary, pa.scalar(b" ", pa.binary()))
         self.word = coded.indices.to_numpy().astype(np.int64)
         named = langs.dictionary_encode()
         self.langs = named.dictionary
-        self.lang = named.indices.to_numpy().astype(np.int64)[text]
+        self.ends = pc.binary_join_element_wise(
+            pa.scalar(b"", pa.binary()), named.dictionary.cast(pa.binary()), pa.scalar(b"\n", pa.binary())
+        )
+        self.lang = np.repeat(named.indices.to_numpy().astype(np.int64), many)
 
-    def phrases(self, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of the phrases of k words that begin at `at`: an index of one occurrence of each, and counts."""
+    def phrases(self, at: np.ndarray, k: int, age: np.ndarray, ages: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """Of the phrases of k words that begin at `at`: language, words, age and how often each occurs. Equal
+        phrases have one age, below `ages`. Codes are sorted by value and taken apart again; only those
+        too long for that need the place of an occurrence, which costs several times as much."""
         size = max(1, len(self.vocabulary))
-        code, top = self.lang[at], max(1, len(self.langs))
+        code, top = self.lang[at] * ages + age, max(1, len(self.langs)) * ages
+        if top * size**k < 1 << 62:
+            for j in range(k):
+                code = code * size + self.word[at + j]
+            code, n = np.unique(code, return_counts=True)
+            words = []
+            for _ in range(k):
+                code, word = np.divmod(code, size)
+                words.append(word)
+            return code // ages, words[::-1], code % ages, n
         for j in range(k):
             if top * size >= 1 << 62:
                 code = np.unique(code, return_inverse=True)[1]
                 top = len(at)
             code, top = code * size + self.word[at + j], top * size
         _, index, n = np.unique(code, return_index=True, return_counts=True)
-        return index, n
-
-    def rows(self, at: np.ndarray, k: int, act: np.ndarray) -> pa.RecordBatch:
-        index, n = self.phrases(at, k)
         place = at[index]
-        words = [self.vocabulary.take(pa.array(self.word[place + j])) for j in range(k)]
-        phrase = words[0] if k == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
-        return _counted(self.langs.take(pa.array(self.lang[place])), k, phrase, act[index], n)
+        return self.lang[place], [self.word[place + j] for j in range(k)], age[index], n
 
+    def rows(self, at: np.ndarray, k: int, age: np.ndarray, ages: int, step: int) -> pa.RecordBatch:
+        lang, (first, *rest), age, n = self.phrases(at, k, age, ages)
+        parts = [self.vocabulary.take(pa.array(first)), *(self.later.take(pa.array(w)) for w in rest)]
+        return _counted([*parts, self.ends.take(pa.array(lang))], step - age, n)
 
-def _counted(langs, k: int, phrases, act: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    count = len(n)
+
+def _counted(parts: list[pa.Array], act: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of counts. Phrase, line end and language are one binary key, which is exchanged and compared at less
+    cost than three columns; no phrase has a line end."""
+    key = parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.binary()))
     return pa.RecordBatch.from_arrays(
-        [langs, pa.array(np.full(count, k, np.int32)), phrases, pa.array(act.astype(np.int32)), pa.array(n.astype(np.int64))],
-        names=["lang", "k", "phrase", "act", "n"],
+        [key, pa.array(act.astype(np.int32)), pa.array(n.astype(np.int64))], names=["key", "act", "n"]
     )
 
 
@@ -128,10 +147,9 @@ def _chunk_rows(words: _Words, slots: np.ndarray, step: int, shards: int, bits:
     if not total:
         return
     if step < shards:
-        yield words.rows(np.arange(total), 1, np.zeros(total))
+        yield words.rows(np.arange(total), 1, np.full(total, step), shards, step)
         used, n = np.unique(words.lang, return_counts=True)
-        empty = pa.array([b""] * len(n), pa.binary())
-        yield _counted(words.langs.take(pa.array(used)), 0, empty, np.zeros(len(n)), n)
+        yield _counted([words.ends.take(pa.array(used))], np.zeros(len(n)), n)
     word_hash = _hashes(words.vocabulary)[words.word]
     h = _mixed(_hashes(words.langs)[words.lang] + word_hash)
     for k in range(2, LONGEST + 1):
@@ -142,7 +160,7 @@ def _chunk_rows(words: _Words, slots: np.ndarray, step: int, shards: int, bits:
         counting = (act <= step) & (act > step - shards) & (words.piece[k - 1 :] == words.piece[: total - k + 1])
         at = np.flatnonzero(counting)
         if len(at):
-            yield words.rows(at, k, act[at])
+            yield words.rows(at, k, step - act[at], shards, step)
         h = _extended(h[:-1], word_hash[k - 1 :])
 
 
@@ -165,8 +183,9 @@ def _slots_of(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = _hashes(batch.column("lang"))
-            split = [p.split(b" ") for p in batch.column("phrase").to_pylist()]
+            keys = [key.split(b"\n", 1) for key in batch.column("key").to_pylist()]
+            langs = _hashes(pa.array([lang.decode() for _, lang in keys], pa.string()))
+            split = [phrase.split(b" ") for phrase, _ in keys]
             lengths = np.array([len(p) for p in split], np.int64)
             flat = pd.util.hash_array(np.array([w for p in split for w in p], object), categorize=False)
             first = np.cumsum(lengths) - lengths
@@ -197,6 +216,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, bit
     named.write.partitionBy("shard").parquet(path)
     texts = spark.read.schema("lang string, text string, shard int").parquet(path)
     slots = np.full(1 << bits, _NEVER, np.uint8)
+    # The words of a phrase: none before the line end, or one more than it has spaces.
+    text = F.col("key").cast("string")
+    k = F.when(text.startswith("\n"), 0).otherwise(F.size(F.split(F.substring_index(text, "\n", 1), " ")))
     known, step, last = None, 0, -1
     while step < shards or step <= last + shards:
         held = spark.sparkContext.broadcast(slots)
@@ -204,23 +226,28 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shards: int = SHARDS, bit
         found = shard.mapInArrow(_scan(held, step, shards, bits), _SCHEMA).withColumn("reach", F.lit(None).cast("int"))
         if known is not None:
             found = found.unionByName(known)
-        total = found.groupBy("lang", "k", "phrase").agg(
+        total = found.groupBy("key").agg(
             F.min("act").alias("act"), F.sum("n").alias("n"), F.min("reach").alias("reach")
         )
-        now = F.when((F.col("n") >= least) & F.col("k").between(1, LONGEST - 1), F.lit(step))
+        now = F.when((F.col("n") >= least) & k.between(1, LONGEST - 1), F.lit(step))
         # A count that is whole and too small is not needed any more.
-        wanted = (F.col("n") >= least) | (F.col("k") == 0) | (F.col("act") + shards - 1 > step)
+        wanted = (F.col("n") >= least) | (F.col("act") + shards - 1 > step) | text.startswith("\n")
         known = stage(total.withColumn("reach", F.coalesce("reach", now)).filter(wanted), "phrase_counts")
         held.destroy()
         if _mark(slots, known.filter(F.col("reach") == step), step, bits):
             last = step
         step += 1
-    return known.filter((F.col("n") >= least) | (F.col("k") == 0)).select("lang", "k", "phrase", "n")
+    return known.filter((F.col("n") >= least) | text.startswith("\n")).select(
+        F.expr("substring(CAST(key AS STRING), instr(CAST(key AS STRING), '\n') + 1)").alias("lang"),
+        k.alias("k"),
+        F.substring_index(text, "\n", 1).cast("binary").alias("phrase"),
+        "n",
+    )
 
 
 def _mark(slots: np.ndarray, reached: DataFrame, step: int, bits: int) -> bool:
     """Note the step in the slots of these phrases. The driver gets the slots as bits, 2 ** bits / 8 bytes."""
-    slot = reached.select("lang", "phrase").mapInArrow(_slots_of(bits), "slot long")
+    slot = reached.select("key").mapInArrow(_slots_of(bits), "slot long")
     bit = F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")
     held = slot.groupBy(F.shiftright("slot", 6).alias("i")).agg(F.bit_or(bit).alias("bits")).toArrow()
     if held.num_rows == 0:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import fx
 from conftest import ROOT
 from radiolake.functions.crypto import xor_lists
-from radiolake.llm import packing
+from radiolake.llm import collocations, packing
 from radiolake.operators import decode
 from radiolake.schemas import RAW_MESSAGES
 from radiolake.session import scratch_dir
@@ -152,3 +152,27 @@ def test_packing_splits_odd_words():
     assert [ids.tolist() for ids in words.ids(texts)] == wanted
     assert [ids.tolist() for ids in packing._ids_of(words, pa.array(["skipped", *texts]).slice(1))] == wanted
     assert list(words.ids([])) == []
+
+
+def test_counted_phrases_have_one_key():
+    langs, texts = ["en", "a\nb", "", "en"], ["a b, A b\nc", "a  b.\ta b", "a b", "\xc9a b"]
+    words = collocations._Words(pa.array(langs), pa.array(texts))
+    batches = list(collocations._chunk_rows(words, np.zeros(1 << 8, np.uint8), 1, 4, 8))
+    assert {tuple(b.schema.names) for b in batches} == {("key", "act", "n")}
+    found = {k: n for b in batches for k, n in zip(b["key"].to_pylist(), b["n"].to_pylist())}
+    assert found == {
+        b"\nen": 7, b"a\nen": 2, b"b\nen": 3, b"c\nen": 1, "\xc9a\nen".encode(): 1,
+        b"a b\nen": 2, "\xc9a b\nen".encode(): 1,
+        b"\na\nb": 4, b"a\na\nb": 2, b"b\na\nb": 2, b"a b\na\nb": 2,
+        b"\n": 2, b"a\n": 1, b"b\n": 1, b"a b\n": 1,
+    }
+
+
+def test_odd_languages_are_told_apart(spark):
+    rows = [("en", "a b c. A b"), ("en\nx", "a b, a B"), (None, "a b"), ("en ", "a b"), ("", "")] * 3
+    found = collocations.phrase_counts(spark.createDataFrame(rows, "lang string, text string").repartition(2), least=3)
+    wanted = {("en", 0, ""): 15, ("en", 1, "a"): 6, ("en", 1, "b"): 6, ("en", 1, "c"): 3, ("en", 2, "a b"): 6}
+    wanted |= {("en", 2, "b c"): 3, ("en", 3, "a b c"): 3}
+    for lang, n in (("en\nx", 2), ("und", 1), ("en ", 1)):
+        wanted |= {(lang, 0, ""): 6 * n, (lang, 1, "a"): 3 * n, (lang, 1, "b"): 3 * n, (lang, 2, "a b"): 3 * n}
+    assert {(r.lang, r.k, r.phrase.decode()): r.n for r in found.collect()} == wanted
