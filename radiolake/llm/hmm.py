@@ -21,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radiolake.llm.arrow_words import numbered_words, portions
 from radiolake.llm.text import ascii_lower, join_same, space_words, text_of
 from radiolake.session import stage
 
@@ -35,6 +37,8 @@ HEAVY = 1 << 16
 SEGMENT = 128
 #: Tokens in the recursion at a time, which bounds a worker's memory.
 CHUNK = 200_000
+#: Bytes of text whose words are numbered together.
+TOGETHER = 4_000_000
 #: Added to expected counts, so that no probability is zero.
 SMOOTH_CLASS, SMOOTH_MOVE = 0.02, 1.0
 
@@ -237,50 +241,83 @@ def _held_out():
     return (F.crc32(identity) % 7 == 2).alias("held_out")
 
 
-def _word_scores(words: DataFrame, counted: DataFrame, sizes: DataFrame, n: int, v: int) -> DataFrame:
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their counts, a row per word and portion of text."""
+    for batch in batches:
+        texts = batch.column("text")
+        for first, last in portions(texts, TOGETHER):
+            words, vocabulary, _ = numbered_words(texts.slice(first, last - first), lower=True)
+            yield pa.RecordBatch.from_arrays(
+                [vocabulary, pa.array(np.bincount(words, minlength=len(vocabulary)))], names=["word", "c"]
+            )
+
+
+def _seldom_words(heavy):
+    """For each row its heavy words summed in one row, and a row for each other word.
+
+    The sums have a key that is no word, as it begins with a space, and of their own, so that they spread."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, lb, li = heavy.value
+        for batch in batches:
+            texts = batch.column("text")
+            for first, last in portions(texts, TOGETHER):
+                rows = batch.slice(first, last - first)
+                words, vocabulary, bounds = numbered_words(rows.column("text"), lower=True)
+                place = pc.fill_null(pc.index_in(vocabulary, value_set=known), -1).to_numpy()[words]
+                row = np.repeat(np.arange(len(rows)), np.diff(bounds))
+                often, seldom = place >= 0, np.flatnonzero(place < 0)
+                n = np.bincount(row[often], minlength=len(rows))
+                sums = (np.bincount(row[often], x[place[often]], len(rows)) for x in (lb, li))
+                own = pc.binary_join_element_wise("", rows.column("text_hash").cast(pa.string()), " ")
+                keys = rows.select(["doc_id", "text_hash"])
+                yield _with_words(keys, own, n, *sums)
+                for k in range(0, len(seldom), CHUNK):
+                    at = seldom[k : k + CHUNK]
+                    none = pa.nulls(len(at), pa.float64())
+                    found = keys.take(pa.array(row[at]))
+                    yield _with_words(found, vocabulary.take(pa.array(words[at])), none.cast(pa.int64()), none, none)
+
+    return run
+
+
+def _with_words(rows: pa.RecordBatch, word: pa.Array, n, base, inner) -> pa.RecordBatch:
+    kept = [rows.column("doc_id"), rows.column("text_hash")]
+    sums = [pa.array(n, pa.int64()), pa.array(base, pa.float64()), pa.array(inner, pa.float64())]
+    return pa.RecordBatch.from_arrays([*kept, word, *sums], names=["doc_id", "text_hash", "word", "n", "base", "inner"])
+
+
+def _word_scores(texts: DataFrame, counted: DataFrame, sizes: DataFrame, n: int, v: int) -> DataFrame:
     """doc_id, text_hash, base, inner, known, words: sums over the words of the texts.
 
     Words that make up 1 / HEAVY of all training tokens or more are HEAVY at most: their table is
     broadcast, which also takes the frequent words out of the exchange. The rest is joined by word.
+    Counted words have their two logarithms beside them, so that a word costs one lookup; only one
+    that was never counted looks for its class.
     """
-    heavy = F.broadcast(counted.filter(F.col("c") * HEAVY >= n))
-    light = counted.filter(F.col("c") * HEAVY < n)
-    c, sized = F.coalesce("c", F.lit(0)), F.broadcast(sizes)  # CLASSES rows
-
-    def summed(found: DataFrame) -> DataFrame:
-        with_class = found.withColumn("class", _class_of(F.col("word"))).join(sized, "class")
-        return with_class.groupBy("doc_id", "text_hash").agg(
-            F.sum(F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base"),
-            F.sum(F.log10((c + 1) / (F.col("tokens") + F.col("kinds") + 1))).alias("inner"),
-            F.sum((c > 0).cast("long")).alias("known"),
-            F.count("*").alias("words"),
-        )
-
-    # Heavy words have their two logarithms beside them, so that a word costs one lookup.
-    ready = F.broadcast(
-        counted.filter(F.col("c") * HEAVY >= n)
-        .join(sized, "class")
-        .select(
-            "word",
-            F.log10((c + 1) / F.lit(float(n + v + 1))).alias("lb"),
-            F.log10((c + 1) / (F.col("tokens") + F.col("kinds") + 1)).alias("li"),
-        )
+    c, sized = F.col("c"), F.broadcast(sizes)  # CLASSES rows
+    base = F.log10((c + 1) / F.lit(float(n + v + 1)))
+    inner = F.log10((c + 1) / (F.col("tokens") + F.col("kinds") + 1))
+    is_heavy = F.col("c") * HEAVY >= n
+    ready = counted.join(sized, "class").select("word", "c", base.alias("lb"), inner.alias("li"))
+    found = ready.filter(is_heavy).toArrow().combine_chunks()
+    heavy = tuple(found.column(x).combine_chunks() for x in ("word", "lb", "li"))
+    held = texts.sparkSession.sparkContext.broadcast((heavy[0].cast(pa.string()), heavy[1].to_numpy(), heavy[2].to_numpy()))
+    words = texts.select("doc_id", "text_hash", "text").mapInArrow(
+        _seldom_words(held), "doc_id long, text_hash long, word string, n long, base double, inner double"
     )
-    often = (
-        words.join(ready, "word")
-        .groupBy("doc_id", "text_hash")
-        .agg(
-            F.sum("lb").alias("base"),
-            F.sum("li").alias("inner"),
-            F.count("*").alias("known"),
-            F.count("*").alias("words"),
-        )
+    # A partition's words are few beside those of the texts: kept in a hash table, nothing is sorted.
+    light = ready.filter(~is_heavy).drop("c").hint("shuffle_hash")
+    classes = sized.withColumnRenamed("class", "_class")
+    is_new = F.col("lb").isNull() & F.col("n").isNull()
+    met = words.join(light, "word", "left").join(
+        classes, F.when(is_new, _class_of(F.col("word"))) == F.col("_class"), "left"
     )
-    seldom = summed(words.join(heavy.select("word"), "word", "left_anti").join(light.select("word", "c"), "word", "left"))
-    return (
-        often.union(seldom)
-        .groupBy("doc_id", "text_hash")
-        .agg(*[F.sum(x).alias(x) for x in ("base", "inner", "known", "words")])
+    return met.groupBy("doc_id", "text_hash").agg(
+        F.sum(F.coalesce("base", "lb", F.log10(F.lit(1 / (n + v + 1.0))))).alias("base"),
+        F.sum(F.coalesce("inner", "li", F.log10(1 / (F.col("tokens") + F.col("kinds") + 1)))).alias("inner"),
+        F.sum(F.coalesce("n", F.col("lb").isNotNull().cast("long"))).alias("known"),
+        F.sum(F.coalesce("n", F.lit(1))).alias("words"),
     )
 
 
@@ -299,10 +336,10 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     counted = stage(
         documents.filter(~_held_out())
-        .select(F.explode_outer(_words()).alias("word"))
-        .filter("word IS NOT NULL")
+        .select(text_of().alias("text"))
+        .mapInArrow(_counted_words, "word string, c long")
         .groupBy("word")
-        .agg(F.count("*").alias("c"))
+        .agg(F.sum("c").alias("c"))
         .withColumn("class", _class_of(F.col("word"))),
         "word_counts",
     )
@@ -323,17 +360,14 @@ def scores(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     sizes = documents.sparkSession.createDataFrame(
         [(c, int(tokens[c]), int(kinds[c])) for c in range(CLASSES)], "class int, tokens long, kinds long"
     )
-    # explode_outer: for the inner form Spark adds a filter that splits every text once more.
-    # The hash comes first: what stands beside a generator is computed for each word.
-    hashed = documents.select("doc_id", "text", _text_hash())
-    words = hashed.select("doc_id", "text_hash", F.explode_outer(_words()).alias("word"))
-    by_word = _word_scores(words.filter("word IS NOT NULL"), counted, sizes, n, v)
+    hashed = documents.select("doc_id", text_of().alias("text"), _text_hash())
+    by_word = _word_scores(hashed, counted, sizes, n, v)
     # Rows that repeat are summed together; the mean over their words is that of each.
     end = float(np.log10((ends + 1) / (n + v + 1)))
     found = join_same(by_model, by_word, ["doc_id", "text_hash"], "left")
 
     def of_row(name: str):
-        return F.coalesce(F.col(name) / F.col("words") * F.col("n_words"), F.lit(0.0))
+        return F.when(F.col("words") > 0, F.col(name) / F.col("words") * F.col("n_words")).otherwise(F.lit(0.0))
 
     return found.select(
         "doc_id",

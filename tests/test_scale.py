@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import subprocess
 import sys
 import tracemalloc
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 import fx
 from conftest import ROOT
 from radiolake.functions.crypto import xor_lists
-from radiolake.llm import collocations, packing
+from radiolake.llm import collocations, hmm, packing
 from radiolake.operators import decode
 from radiolake.schemas import RAW_MESSAGES
 from radiolake.session import scratch_dir
@@ -176,3 +179,18 @@ def test_odd_languages_are_told_apart(spark):
     for lang, n in (("en\nx", 2), ("und", 1), ("en ", 1)):
         wanted |= {(lang, 0, ""): 6 * n, (lang, 1, "a"): 3 * n, (lang, 1, "b"): 3 * n, (lang, 2, "a b"): 3 * n}
     assert {(r.lang, r.k, r.phrase.decode()): r.n for r in found.collect()} == wanted
+
+
+def test_hmm_does_not_split_texts_again_for_each_use(spark):
+    rows = [(i, f"a B b{i}\n\tc\x0bd \xc9a" if i % 5 else None) for i in range(40)]
+    found = hmm.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rounds=1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    training = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    words = {i: ["a", "b", f"b{i}", "c", "d", "\xc9a"] if t else [] for i, t in rows}
+    counts = Counter(w for i, _ in training for w in [*words[i], None])
+    n, v = sum(counts.values()), len(counts)
+    for r in found.collect():
+        tokens = [*words[r.doc_id], None]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(w in counts for w in tokens), n)
+        assert abs(r.base_score - sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)) < 1e-9
